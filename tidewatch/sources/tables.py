@@ -51,6 +51,9 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "dq_incident_status_log": (schemas.INCIDENT_STATUS_LOG, None),
 }
 
+# Tables with a handful of rows per day.
+SMALL_PER_DAY = ("dq_day_stats", "dq_check_results", "dq_anomalies", "dq_run_context")
+
 
 def _ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -94,14 +97,22 @@ class Store:
             sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl_columns(schema)}) "
                 f"USING parquet {by} LOCATION '{self.root}/{table}'")
             if part:
-                sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+                try:
+                    sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+                except Exception as e:  # noqa: BLE001 - a new table has no folder yet
+                    if "FileNotFound" not in str(e) and "does not exist" not in str(e):
+                        raise
         return self
 
     # -- writes --------------------------------------------------------------
     def _ordered(self, table: str, df: DataFrame) -> DataFrame:
-        schema, _ = TABLES[table]
+        schema, part = TABLES[table]
+        # Catalog order: data columns, then the partition column (insertInto
+        # matches by position).
+        fields = [f for f in schema.fields if f.name != part] + [
+            f for f in schema.fields if f.name == part]
         cols = []
-        for f in schema.fields:
+        for f in fields:
             if f.name in df.columns:
                 cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
             elif f.name == "created_at":
@@ -125,8 +136,18 @@ class Store:
             self.spark.catalog.dropTempView(view)
 
     def overwrite_days(self, table: str, df: DataFrame) -> None:
-        """Replace every day present in ``df`` (dynamic partition overwrite)."""
-        (self._ordered(table, df).write.option("partitionOverwriteMode", "dynamic")
+        """Replace every day present in ``df`` (dynamic partition overwrite).
+
+        Monitoring tables hold a few rows per day, so they are clustered by
+        day first (one file per day instead of one per task and day); the
+        event tables are written as they come, so a large day stays spread
+        over many tasks.
+        """
+        rows = self._ordered(table, df)
+        _, part = TABLES[table]
+        if table in SMALL_PER_DAY:
+            rows = rows.repartition(part)
+        (rows.write.option("partitionOverwriteMode", "dynamic")
          .insertInto(self.name(table), overwrite=True))
 
     def clear_days(self, table: str, days: Iterable[DateLike]) -> None:
@@ -139,7 +160,12 @@ class Store:
         self._ordered(table, df).write.insertInto(self.name(table), overwrite=False)
 
     def truncate(self, table: str) -> None:
-        self.spark.sql(f"TRUNCATE TABLE {self.name(table)}")
+        """Remove every row (external tables refuse ``TRUNCATE``): a static
+        overwrite with no rows and no partition spec clears all partitions."""
+        schema, _ = TABLES[table]
+        empty = self._ordered(table, self.spark.createDataFrame([], schema))
+        (empty.write.option("partitionOverwriteMode", "static")
+         .insertInto(self.name(table), overwrite=True))
 
 
 def export_csv(df: DataFrame, path: str, order_by: list, single_file: bool = True) -> str:
