@@ -2,10 +2,10 @@
 
 A rule is data: a name, a severity, which day it reads (the run date or the
 calendar day before), a metric built from the per-day aggregates, a pass
-condition and two texts.  All rules for all requested days are evaluated in
-one projection over ``spine ⟕ stats(d) ⟕ stats(d-1)`` and turned into long
-form with ``inline(array(struct...))`` — no union, so the aggregates are
-computed once.
+condition and two texts.  The fact table is aggregated once per day; a
+window over those day rows supplies the calendar day before; all rules for
+all requested days are then evaluated in one projection and turned into
+long form with ``inline(array(struct...))`` -- no union, no self-join.
 
 Status is ``PASS`` when the condition holds and ``FAIL`` otherwise; a NULL
 metric (e.g. a null rate over zero rows) therefore fails.
@@ -17,17 +17,12 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.arith import guarded_ratio
-from tidewatch.functions.dates import DateLike, as_date, day_start, on_days
-from tidewatch.operators.stats import (
-    DUP_KEY,
-    day_stats,
-    dup_groups_per_day,
-    with_running_latest,
-)
+from tidewatch.functions.dates import DateLike, as_date, on_days
+from tidewatch.operators.stats import DUP_KEY, day_stats, day_stats_with_dups
 
 # Fixed value: the table name the reference's rules report on.
 FACT_TABLE = "core.fact_events"
@@ -136,31 +131,55 @@ def _needs(rules: Sequence[Rule]) -> set[str]:
 
 def rule_stats(fact: DataFrame, rules: Sequence[Rule], first: DateLike | None = None,
                last: DateLike | None = None, dup_key: Sequence[str] = DUP_KEY) -> DataFrame:
-    """Per-day aggregates the rules need, for days ``[first-1, last]`` (all when None)."""
+    """Per-day aggregates the rules need, from one scan of the fact table.
+
+    With a range, only days ``[first-1, last]`` are read (every day up to
+    ``last`` when a rule needs the newest event so far).
+    """
     need = _needs(rules)
-    lo = as_date(first) - dt.timedelta(days=1) if first is not None else None
-    hi = as_date(last) if last is not None else None
-    scoped = on_days(fact, lo, hi) if lo is not None else fact
-    stats = day_stats(scoped)
+    if first is not None:
+        hi = as_date(last if last is not None else first)
+        lo = as_date(first) - dt.timedelta(days=1)
+        if "latest_event_ts" in need:
+            fact = fact.where(F.col("event_date") <= F.lit(hi))
+        else:
+            fact = on_days(fact, lo, hi)
     if "dup_groups" in need:
-        run_days = on_days(fact, first, hi) if first is not None else fact
-        stats = stats.join(dup_groups_per_day(run_days, dup_key), "event_date", "left")
-    if "latest_event_ts" in need:
-        history = fact.where(F.col("event_date") <= F.lit(hi)) if hi is not None else fact
-        latest = with_running_latest(
-            history.groupBy("event_date").agg(F.max("event_ts").alias("max_event_ts"))
-        ).select("event_date", "latest_event_ts")
-        stats = stats.join(latest, "event_date", "full")
-    return stats
-
-
-def _prefixed(stats: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
-    # One row per day: the number of rows is the number of distinct days, a
-    # bound that does not grow with event volume, so broadcasting it is safe.
-    return F.broadcast(stats.select(
-        F.col("event_date").alias(f"{prefix}event_date"),
-        *[F.col(c).alias(f"{prefix}{c}") for c in cols],
-    ))
+        return day_stats_with_dups(fact, dup_key)
+    return day_stats(fact)
+
+
+def _day_rows(stats: DataFrame, spine: DataFrame | None) -> DataFrame:
+    rows = stats.withColumnRenamed("event_date", "check_date")
+    if spine is None:
+        return rows.withColumn("_in_spine", F.lit(True))
+    marks = spine.select("check_date", F.lit(True).alias("_in_spine"))
+    return rows.join(marks, "check_date", "full")
+
+
+def with_prev_day(stats: DataFrame, cols: Sequence[str],
+                  spine: DataFrame | None = None) -> DataFrame:
+    """Day rows with ``d0_<c>`` (the day) and ``d1_<c>`` (the calendar day before).
+
+    One window over the day rows, ordered by day: the previous row is the
+    calendar day before only when its date is exactly one day earlier, so a
+    missing day yields NULL, never the row before the gap.  The same window
+    carries the running newest event.  It has no partition key, so it runs in
+    one task over one row per day -- a bound set by the calendar, not by the
+    event volume.
+    """
+    rows = _day_rows(stats, spine)
+    w = Window.orderBy("check_date")
+    contiguous = F.lag("check_date").over(w) == F.date_sub(F.col("check_date"), 1)
+    out = [F.col("check_date"), F.coalesce(F.col("_in_spine"), F.lit(False)).alias("_in_spine")]
+    for c in cols:
+        if c == "latest_event_ts":
+            running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            out.append(F.max("max_event_ts").over(running).alias("d0_latest_event_ts"))
+            continue
+        out.append(F.col(c).alias(f"d0_{c}"))
+        out.append(F.when(contiguous, F.lag(c).over(w)).alias(f"d1_{c}"))
+    return rows.select(*out)
 
 
 def _result_struct(rule: Rule, table_name: str) -> Column:
@@ -183,35 +202,24 @@ def evaluate_rules(stats: DataFrame, rules: Sequence[Rule], spine: DataFrame | N
                    table_name: str = FACT_TABLE) -> DataFrame:
     """Long-form results ``(check_date, check_name, ..., failure_details)``.
 
-    ``spine`` lists the days to check (column ``check_date``); by default every
-    day present in ``stats``.  A spine day without rows still gets one result
-    per rule (counts 0), like a global aggregate over an empty day.
+    ``stats`` holds one row per event day; ``spine`` lists the days to check
+    (column ``check_date``), by default every day in ``stats``.  A spine day
+    without rows still gets one result per rule (counts 0), like a global
+    aggregate over an empty day.  The results are generated with
+    ``inline(array(struct...))`` from one projection -- no union, so the
+    aggregates below are computed once.
     """
-    if spine is None:
-        spine = stats.select(F.col("event_date").alias("check_date"))
-    cols = sorted(_needs(rules))
-    out = spine.select("check_date")
-    offsets = sorted({r.day_offset for r in rules})
-    for off in offsets:
-        side = _prefixed(stats, f"d{off}_", [c for c in cols if c in stats.columns])
-        key = F.date_sub(F.col("check_date"), off) if off else F.col("check_date")
-        out = out.join(side, key == side[f"d{off}_event_date"], "left")
-    return out.select("check_date", F.inline(F.array(*[_result_struct(r, table_name) for r in rules])))
+    cols = sorted(c for c in _needs(rules) if c in stats.columns or c == "latest_event_ts")
+    days = with_prev_day(stats, cols, spine).where(F.col("_in_spine"))
+    structs = [_result_struct(r, table_name) for r in rules]
+    return days.select("check_date", F.inline(F.array(*structs)))
 
 
 def checks_all_days(fact: DataFrame, rules: Sequence[Rule] | None = None,
                     table_name: str = FACT_TABLE) -> DataFrame:
-    """Every rule for every day present in the fact table (single pass)."""
+    """Every rule for every day present in the fact table (one scan)."""
     rules = list(rules or default_rules())
-    stats = rule_stats(fact, rules)
-    spine = day_stats_days(stats)
-    return evaluate_rules(stats, rules, spine, table_name)
-
-
-def day_stats_days(stats: DataFrame) -> DataFrame:
-    # Days that hold events (the stats may also carry running-only rows).
-    src = stats.where(F.col("n_events").isNotNull()) if "n_events" in stats.columns else stats
-    return src.select(F.col("event_date").alias("check_date"))
+    return evaluate_rules(rule_stats(fact, rules), rules, None, table_name)
 
 
 def checks_for_run_date(spark: SparkSession, fact: DataFrame, run_date: DateLike,
@@ -234,11 +242,3 @@ def checks_for_days(spark: SparkSession, fact: DataFrame, first: DateLike, last:
     rules = list(rules or default_rules())
     stats = rule_stats(fact, rules, first, last)
     return evaluate_rules(stats, rules, date_spine(spark, first, last), table_name)
-
-
-__all__ = [
-    "Rule", "checks_all_days", "checks_for_days", "checks_for_run_date", "default_rules",
-    "dup_composite_key", "evaluate_rules", "freshness_has_events", "latest_event_24h",
-    "latest_event_in_day", "null_rate_session", "purchases_prev_day", "purchases_run_date",
-    "rule_stats", "volume_prev_day", "day_start",
-]

@@ -27,11 +27,15 @@ def is_purchase(c: str = "event_type") -> Column:
     return F.col(c) == F.lit(PURCHASE)
 
 
+def revenue_decimal() -> Column:
+    """Per-row revenue contribution: the price of a purchase, else 0 (fixed point)."""
+    return F.when(is_purchase(), F.col("price").try_cast(REVENUE_DECIMAL)).otherwise(
+        F.lit(0).cast(REVENUE_DECIMAL))
+
+
 def revenue_sum() -> Column:
     """``sum(price of purchases, 0 otherwise)`` as double, via exact decimal."""
-    amount = F.when(is_purchase(), F.col("price").try_cast(REVENUE_DECIMAL)).otherwise(
-        F.lit(0).cast(REVENUE_DECIMAL))
-    return F.sum(amount).cast("double")
+    return F.sum(revenue_decimal()).cast("double")
 
 
 def day_stats(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -45,31 +49,35 @@ def day_stats(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def dup_groups_per_day(fact: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFrame:
-    """Per day, the number of key groups holding more than one row.
+def day_stats_with_dups(fact: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFrame:
+    """``day_stats`` plus ``dup_groups`` from a single scan.
 
-    Two aggregates: the first shuffles on (day, key) — partial aggregation
-    folds a hot key to one row per task first — the second is one row per day.
+    Level 1 groups by (day, key) and keeps partial counts; level 2 folds the
+    groups of a day into the day's totals and counts groups with more than
+    one row.  The first shuffle is the one duplicate detection needs anyway;
+    a hot key is folded to one row per task by the partial aggregate before it.
     NULL key parts group together, as in SQL ``GROUP BY``.
     """
-    groups = fact.groupBy("event_date", *key).agg(F.count(F.lit(1)).alias("rows_in_group"))
-    return (
-        groups.where(F.col("rows_in_group") > 1)
-        .groupBy("event_date")
-        .agg(F.count(F.lit(1)).alias("dup_groups"))
+    groups = fact.groupBy("event_date", *key).agg(
+        F.count(F.lit(1)).alias("rows_in_group"),
+        F.count_if(is_purchase()).alias("g_purchases"),
+        F.count_if(F.col("session_id").isNull()).alias("g_null_session"),
+        F.sum(revenue_decimal()).alias("g_revenue"),
+        F.max("event_ts").alias("g_max_ts"),
+    )
+    return groups.groupBy("event_date").agg(
+        F.sum("rows_in_group").alias("n_events"),
+        F.sum("g_purchases").alias("n_purchases"),
+        F.sum("g_null_session").alias("n_null_session"),
+        F.sum("g_revenue").cast("double").alias("revenue"),
+        F.max("g_max_ts").alias("max_event_ts"),
+        F.count_if(F.col("rows_in_group") > 1).alias("dup_groups"),
     )
 
 
-def with_running_latest(stats: DataFrame) -> DataFrame:
-    """Add ``latest_event_ts``: the newest event on or before each day.
-
-    A running max over one row per day: the window has no partition key, so
-    it runs in one task, over as many rows as there are days.
-    """
-    from pyspark.sql import Window
-
-    w = Window.orderBy("event_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return stats.withColumn("latest_event_ts", F.max("max_event_ts").over(w))
+def dup_groups_per_day(fact: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFrame:
+    """Per day, the number of key groups holding more than one row."""
+    return day_stats_with_dups(fact, key).select("event_date", "dup_groups")
 
 
 def run_context(stats: DataFrame) -> DataFrame:

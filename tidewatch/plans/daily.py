@@ -73,11 +73,9 @@ def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None
 
 
 def _stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
-    stats = ST.day_stats(fact)
     if with_dups:
-        stats = stats.join(ST.dup_groups_per_day(fact), "event_date", "left").withColumn(
-            "dup_groups", F.coalesce(F.col("dup_groups"), F.lit(0)))
-    return stats
+        return ST.day_stats_with_dups(fact)
+    return ST.day_stats(fact).withColumn("dup_groups", F.lit(None).cast("bigint"))
 
 
 def _needs_dups(rules: Sequence[R.Rule]) -> bool:
@@ -88,7 +86,7 @@ def _stored_stats(store: Store, upto: dt.date | None = None) -> DataFrame:
     stats = store.read("dq_day_stats")
     if upto is not None:
         stats = stats.where(F.col("event_date") <= F.lit(upto))
-    return ST.with_running_latest(stats)
+    return stats
 
 
 def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
@@ -126,9 +124,7 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
     store.overwrite_days("fact_events", rows)
 
     store.overwrite_days("dq_day_stats", _stats_for(store.read("fact_events"), _needs_dups(rules)))
-    stats = _stored_stats(store)
-    spine = stats.select(F.col("event_date").alias("check_date"))
-    store.overwrite_days("dq_check_results", R.evaluate_rules(stats, rules, spine))
+    store.overwrite_days("dq_check_results", R.evaluate_rules(_stored_stats(store), rules))
     store.overwrite_days("dq_anomalies", A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats")))))
     open_new_incidents(store, store.read("dq_check_results"))
     store.overwrite_days("dq_run_context", ST.run_context(store.read("dq_day_stats")))

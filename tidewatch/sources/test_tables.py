@@ -44,15 +44,17 @@ def _product_catalog(part: DataFrame) -> DataFrame:
     Product ids are ``event_id % 50 + 1`` by definition, so only keys 1..50 can
     ever match; ``p_partkey`` is the key of ``part``, which bounds this side at
     50 rows no matter how large the catalogue grows, so it is broadcast.
+
+    Grouping by the key states its uniqueness to Catalyst (one row per key
+    either way): a query that uses no catalogue column then loses the left
+    join altogether instead of scanning and broadcasting ``part``.
     """
-    return F.broadcast(
-        part.where(F.col("p_partkey").between(1, PRODUCT_COUNT)).select(
-            F.col("p_partkey"),
-            F.col("p_size").cast("string").alias("category_id"),
-            F.col("p_type").alias("category_code"),
-            F.col("p_brand").alias("brand"),
-        )
+    keyed = part.where(F.col("p_partkey").between(1, PRODUCT_COUNT)).groupBy("p_partkey").agg(
+        F.first("p_size").cast("string").alias("category_id"),
+        F.first("p_type").alias("category_code"),
+        F.first("p_brand").alias("brand"),
     )
+    return F.broadcast(keyed)
 
 
 def _session_text(props: Column) -> Column:
