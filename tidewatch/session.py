@@ -26,7 +26,8 @@ def build_session(
 
     - session time zone UTC (event time is zone-less ``timestamp_ntz``),
     - AQE on, with partition coalescing and skew-join splitting,
-    - no web UI.
+    - no web UI, and no per-call Python call-site capture (a debugging aid
+      that costs several JVM round trips for every Column function).
     """
     builder = (
         SparkSession.builder.master(master)
@@ -41,6 +42,7 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
