@@ -33,7 +33,7 @@ from tidewatch.operators import rules as R
 from tidewatch.operators import stats as ST
 from tidewatch.operators.clean import clean_events, distinct_event_dates
 from tidewatch.plans import daily
-from tidewatch.session import scratch_path
+from tidewatch.session import materialize, scratch_path
 from tidewatch.sources import test_tables as TT
 from tidewatch.sources.raw_csv import read_raw_csv, write_raw_csv
 from tidewatch.sources.tables import Store, export_csv, read_csv_extract
@@ -83,13 +83,19 @@ def checks_default(spark, sf_dir) -> DataFrame:
     return R.checks_all_days(fact(spark, sf_dir))
 
 
-def incidents_and_log(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    checks = checks_default(spark, sf_dir)
+def shared_checks(spark, sf_dir) -> DataFrame:
+    """The default checks computed once, for queries that read them in several
+    branches (column pruning differs per branch, so Spark would not reuse the
+    exchange and would scan the events once per branch)."""
+    return materialize(checks_default(spark, sf_dir))
+
+
+def incidents_and_log(spark, checks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return I.incidents_for_checks(spark, checks)
 
 
-def incidents_current(spark, sf_dir) -> DataFrame:
-    inc, log = incidents_and_log(spark, sf_dir)
+def incidents_current(spark, checks: DataFrame) -> DataFrame:
+    inc, log = incidents_and_log(spark, checks)
     return I.current_state(inc, log)
 
 
@@ -405,32 +411,33 @@ def q_run_context(spark, sf_dir):
 
 @query("incidents_auto_open")
 def q_incidents_auto_open(spark, sf_dir):
-    inc, _ = incidents_and_log(spark, sf_dir)
+    inc, _ = incidents_and_log(spark, checks_default(spark, sf_dir))
     return inc
 
 
 @query("incident_log_append")
 def q_incident_log_append(spark, sf_dir):
     """OPEN rows and automatic RESOLVED rows appended to an empty status log."""
-    _, log = incidents_and_log(spark, sf_dir)
+    _, log = incidents_and_log(spark, checks_default(spark, sf_dir))
     empty = spark.createDataFrame([], schemas.INCIDENT_STATUS_LOG)
     return I.append_status(empty, log)
 
 
 @query("incident_current_state")
 def q_incident_current_state(spark, sf_dir):
-    return incidents_current(spark, sf_dir)
+    return incidents_current(spark, shared_checks(spark, sf_dir))
 
 
 @query("incident_queue")
 def q_incident_queue(spark, sf_dir):
-    return I.incident_queue(incidents_current(spark, sf_dir))
+    return I.incident_queue(incidents_current(spark, shared_checks(spark, sf_dir)))
 
 
 @query("incident_related_failing_checks")
 def q_incident_related_failing_checks(spark, sf_dir):
-    inc, _ = incidents_and_log(spark, sf_dir)
-    return I.related_failing_checks(inc, checks_default(spark, sf_dir))
+    checks = shared_checks(spark, sf_dir)
+    inc, _ = incidents_and_log(spark, checks)
+    return I.related_failing_checks(inc, checks)
 
 
 # ---- reports ---------------------------------------------------------------------
@@ -442,7 +449,8 @@ def q_health_daily(spark, sf_dir):
 
 @query("checks_with_incidents")
 def q_checks_with_incidents(spark, sf_dir):
-    return V.checks_with_incidents(checks_default(spark, sf_dir), incidents_current(spark, sf_dir))
+    checks = shared_checks(spark, sf_dir)
+    return V.checks_with_incidents(checks, incidents_current(spark, checks))
 
 
 @query("fail_warn_trend")
@@ -457,12 +465,12 @@ def q_check_detail_trend(spark, sf_dir):
 
 @query("root_cause_counts")
 def q_root_cause_counts(spark, sf_dir):
-    return V.root_cause_counts(incidents_current(spark, sf_dir))
+    return V.root_cause_counts(incidents_current(spark, shared_checks(spark, sf_dir)))
 
 
 @query("root_cause_pareto")
 def q_root_cause_pareto(spark, sf_dir):
-    return V.root_cause_pareto(incidents_current(spark, sf_dir))
+    return V.root_cause_pareto(incidents_current(spark, shared_checks(spark, sf_dir)))
 
 
 @query("top_failing_checks")
@@ -486,7 +494,8 @@ def q_export_health_csv(spark, sf_dir):
 
 @query("export_checks_csv")
 def q_export_checks_csv(spark, sf_dir):
-    df = V.checks_with_incidents(checks_default(spark, sf_dir), incidents_current(spark, sf_dir))
+    checks = shared_checks(spark, sf_dir)
+    df = V.checks_with_incidents(checks, incidents_current(spark, checks))
     schema = T.StructType([f for f in schemas.CHECK_RESULTS.fields if f.name != "created_at"] + [
         T.StructField(c, T.TimestampType() if c == "incident_opened_at" else T.StringType(), True)
         for c in V.INCIDENT_COLUMNS])
@@ -495,7 +504,7 @@ def q_export_checks_csv(spark, sf_dir):
 
 @query("export_incidents_csv")
 def q_export_incidents_csv(spark, sf_dir):
-    return _extract(spark, incidents_current(spark, sf_dir), "incidents",
+    return _extract(spark, incidents_current(spark, shared_checks(spark, sf_dir)), "incidents",
                     [F.col("opened_at").desc(), "incident_id"], schemas.INCIDENTS)
 
 

@@ -89,3 +89,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder under the work root for one run's side output."""
     suffix = os.urandom(6).hex()
     return work_path(spark, "scratch", f"{label}-{suffix}")
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    The rows go to the session's checkpoint folder (shared storage on a
+    cluster), so plans that read them several times scan the source once, and
+    a lost executor does not force recomputation from the source.
+    """
+    work_root(df.sparkSession)
+    return df.checkpoint(eager=True)
