@@ -26,6 +26,15 @@ def test_ingest_twice_and_empty_second_version(spark):
     assert store.read("fact_events").count() == 0
 
 
+def test_overwrite_days_replaces_only_days_present(spark):
+    store = Store.scratch(spark, "t_days")
+    daily.load_history(store, fact_rows(spark, day_events("2024-01-01", 5) + day_events("2024-01-02", 3)))
+    store.overwrite_days("fact_events_all", fact_rows(spark, day_events("2024-01-02", 7)))
+    got = {r["event_date"].isoformat(): r["n"] for r in
+           store.read("fact_events_all").groupBy("event_date").agg(F.count("*").alias("n")).collect()}
+    assert got == {"2024-01-01": 5, "2024-01-02": 7}
+
+
 def test_daily_loop_equals_single_pass_and_reruns_converge(spark):
     fact = TT.fact_events_from_dir(spark, SF_SMALL)
     loop, single = Store.scratch(spark, "t_loop"), Store.scratch(spark, "t_single")

@@ -28,7 +28,8 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,24 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
 SMALL_PER_DAY = ("dq_day_stats", "dq_check_results", "dq_anomalies", "dq_run_context")
 
 
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Partition overwrite mode for the writes inside the block.
+
+    Catalog inserts take the mode from the session only (a writer option is
+    ignored by ``insertInto``), so it is set around the write and restored.
+    """
+    old = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, old)
+
+
 def _ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -130,8 +149,9 @@ class Store:
         rows.createOrReplaceTempView(view)
         try:
             cols = ", ".join(f"`{c}`" for c in rows.columns)
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} "
-                           f"PARTITION ({part} = DATE '{d.isoformat()}') SELECT {cols} FROM {view}")
+            with overwrite_mode(self.spark, "static"):
+                self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} "
+                               f"PARTITION ({part} = DATE '{d.isoformat()}') SELECT {cols} FROM {view}")
         finally:
             self.spark.catalog.dropTempView(view)
 
@@ -147,8 +167,8 @@ class Store:
         _, part = TABLES[table]
         if table in SMALL_PER_DAY:
             rows = rows.repartition(part)
-        (rows.write.option("partitionOverwriteMode", "dynamic")
-         .insertInto(self.name(table), overwrite=True))
+        with overwrite_mode(rows.sparkSession, "dynamic"):
+            rows.write.insertInto(self.name(table), overwrite=True)
 
     def clear_days(self, table: str, days: Iterable[DateLike]) -> None:
         _, part = TABLES[table]
@@ -164,8 +184,8 @@ class Store:
         overwrite with no rows and no partition spec clears all partitions."""
         schema, _ = TABLES[table]
         empty = self._ordered(table, self.spark.createDataFrame([], schema))
-        (empty.write.option("partitionOverwriteMode", "static")
-         .insertInto(self.name(table), overwrite=True))
+        with overwrite_mode(self.spark, "static"):
+            empty.write.insertInto(self.name(table), overwrite=True)
 
 
 def export_csv(df: DataFrame, path: str, order_by: list, single_file: bool = True) -> str:
