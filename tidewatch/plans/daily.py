@@ -37,8 +37,16 @@ SPIKE_SEED = "session-null-spike"
 
 # ---- load --------------------------------------------------------------------
 
-def load_history(store: Store, source: DataFrame) -> None:
-    """Write cleaned, typed rows into ``fact_events_all`` (one pass, all days)."""
+def load_history(store: Store, source: DataFrame, rebalance: bool = True) -> None:
+    """Write cleaned, typed rows into ``fact_events_all`` (one pass, all days).
+
+    Raw files usually mix days, so a plain partitioned write would leave one
+    small file per task and day.  ``REBALANCE(event_date)`` clusters rows by
+    day first and lets AQE size the write tasks: a small day becomes one
+    file, a huge (skewed) day is split over several tasks.
+    """
+    if rebalance:
+        source = source.hint("rebalance", "event_date")
     store.overwrite_days("fact_events_all", source)
 
 
