@@ -119,3 +119,18 @@ def test_shuffled_input_gives_same_results(spark):
 def test_check_dates_are_dates(spark):
     out = R.checks_all_days(fact_rows(spark, day_events("2024-01-01", 3))).first()
     assert out["check_date"] == D("2024-01-01")
+
+
+def test_dup_strategies_and_broadcast_fallback_agree(spark):
+    from tidewatch.operators import stats as ST
+
+    t = TS("2024-01-01T10:00:00")
+    base = {"user_id": "u", "session_id": "s", "event_type": "view", "product_id": "p", "event_ts": t}
+    ev = [dict(base)] * 3 + [dict(base, user_id="v")] * 2 + day_events("2024-01-02", 50)
+    ev += [dict(base, event_ts=TS("2024-01-02T09:00:00"))] * 2
+    fact = fact_rows(spark, ev)
+    single = {r["event_date"]: r["dup_groups"] for r in ST.day_stats_with_dups(fact).collect()}
+    prepass = {r["event_date"]: r["dup_groups"] for r in ST.day_stats_and_dups(fact).collect()}
+    no_bcast = {r["event_date"]: r["dup_groups"] for r in ST.dup_groups_per_day(fact, broadcast_max=0).collect()}
+    assert single == prepass == {D("2024-01-01"): 2, D("2024-01-02"): 1}
+    assert no_bcast == {D("2024-01-01"): 2, D("2024-01-02"): 1}

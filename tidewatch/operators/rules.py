@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.arith import guarded_ratio
 from tidewatch.functions.dates import DateLike, as_date, on_days
-from tidewatch.operators.stats import DUP_KEY, day_stats, day_stats_with_dups
+from tidewatch.operators.stats import DUP_KEY, day_stats, day_stats_and_dups, day_stats_with_dups
 
 # Fixed value: the table name the reference's rules report on.
 FACT_TABLE = "core.fact_events"
@@ -130,11 +130,16 @@ def _needs(rules: Sequence[Rule]) -> set[str]:
 
 
 def rule_stats(fact: DataFrame, rules: Sequence[Rule], first: DateLike | None = None,
-               last: DateLike | None = None, dup_key: Sequence[str] = DUP_KEY) -> DataFrame:
-    """Per-day aggregates the rules need, from one scan of the fact table.
+               last: DateLike | None = None, dup_key: Sequence[str] = DUP_KEY,
+               dup_strategy: str = "hash_prepass") -> DataFrame:
+    """Per-day aggregates the rules need.
 
     With a range, only days ``[first-1, last]`` are read (every day up to
-    ``last`` when a rule needs the newest event so far).
+    ``last`` when a rule needs the newest event so far).  Without the
+    duplicate rule this is one scan and one small shuffle.  With it,
+    ``dup_strategy`` picks ``hash_prepass`` (shuffle key hashes, then the
+    full key only for repeated hashes: least shuffle when duplicates are
+    rare) or ``single_scan`` (one scan, full key shuffled for every row).
     """
     need = _needs(rules)
     if first is not None:
@@ -145,7 +150,9 @@ def rule_stats(fact: DataFrame, rules: Sequence[Rule], first: DateLike | None =
         else:
             fact = on_days(fact, lo, hi)
     if "dup_groups" in need:
-        return day_stats_with_dups(fact, dup_key)
+        if dup_strategy == "single_scan":
+            return day_stats_with_dups(fact, dup_key)
+        return day_stats_and_dups(fact, dup_key)
     return day_stats(fact)
 
 

@@ -82,7 +82,7 @@ def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None
 
 def _stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
     if with_dups:
-        return ST.day_stats_with_dups(fact)
+        return ST.day_stats_and_dups(fact)
     return ST.day_stats(fact).withColumn("dup_groups", F.lit(None).cast("bigint"))
 
 
