@@ -60,13 +60,14 @@ def _product_catalog(part: DataFrame) -> DataFrame:
     50 rows no matter how large the catalogue grows, so it is broadcast.
 
     Grouping by the key states its uniqueness to Catalyst (one row per key
-    either way): a query that uses no catalogue column then loses the left
-    join altogether instead of scanning and broadcasting ``part``.
+    either way, so ``max`` returns the row's own values, deterministically): a
+    query that uses no catalogue column then loses the left join altogether
+    instead of scanning and broadcasting ``part``.
     """
     keyed = part.where(F.col("p_partkey").between(1, PRODUCT_COUNT)).groupBy("p_partkey").agg(
-        F.first("p_size").cast("string").alias("category_id"),
-        F.first("p_type").alias("category_code"),
-        F.first("p_brand").alias("brand"),
+        F.max("p_size").cast("string").alias("category_id"),
+        F.max("p_type").alias("category_code"),
+        F.max("p_brand").alias("brand"),
     )
     return F.broadcast(keyed)
 
