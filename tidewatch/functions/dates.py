@@ -41,11 +41,6 @@ def day_start(d: DateLike) -> dt.datetime:
     return dt.datetime(d.year, d.month, d.day)
 
 
-def days_between(first: DateLike, last: DateLike) -> list[dt.date]:
-    a, b = as_date(first), as_date(last)
-    return [a + dt.timedelta(days=i) for i in range((b - a).days + 1)]
-
-
 def date_spine(spark: SparkSession, first: DateLike, last: DateLike) -> DataFrame:
     """Every calendar day in ``[first, last]`` as ``check_date`` (computed by Spark)."""
     return spark.range(1).select(

@@ -106,8 +106,8 @@ def root_cause_pareto(incidents: DataFrame) -> DataFrame:
     cum = F.sum("incident_count").over(running)
     return counts.select(
         "root_cause_type", "incident_count",
-        F.row_number().over(order).alias("pareto_rank"),
-        cum.alias("cumulative_count"),
+        F.row_number().over(order).cast("bigint").alias("pareto_rank"),
+        cum.cast("bigint").alias("cumulative_count"),
         (F.lit(100.0) * cum / total).alias("cumulative_pct"),
     )
 

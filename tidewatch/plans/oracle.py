@@ -181,11 +181,14 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _round(sql: str, cols: list[str]) -> str:
-    if not cols:
+def _round(sql: str, cols: list[str], bigints: list[str] = ()) -> str:
+    """Round double columns as the Spark side does; make integer counts BIGINT
+    (DuckDB's ``count_if`` is HUGEINT, Spark's is bigint)."""
+    rep = [f"round({c}, {DIGITS}) AS {c}" for c in cols]
+    rep += [f"CAST({c} AS BIGINT) AS {c}" for c in bigints]
+    if not rep:
         return sql
-    rep = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in cols)
-    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) rounded_q"
+    return f"SELECT * REPLACE ({', '.join(rep)}) FROM (\n{sql}\n) rounded_q"
 
 
 DEFAULT_CHECKS = "\nUNION ALL\n".join(RULES[k] for k in ("freshness", "volume", "purchase_prev", "null_rate"))
@@ -410,8 +413,8 @@ erows AS (
     FROM current_incidents GROUP BY root_cause_type)
   SELECT root_cause_type, incident_count,
     row_number() OVER (ORDER BY incident_count DESC, root_cause_type ASC) AS pareto_rank,
-    sum(incident_count) OVER (ORDER BY incident_count DESC, root_cause_type ASC
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_count,
+    CAST(sum(incident_count) OVER (ORDER BY incident_count DESC, root_cause_type ASC
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative_count,
     100.0 * sum(incident_count) OVER (ORDER BY incident_count DESC, root_cause_type ASC
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(incident_count) OVER () AS cumulative_pct
   FROM counts""",
@@ -451,7 +454,14 @@ erows AS (
             rounding[k] = doubles["metric"]
         if k.startswith(("anomal", "rerun_anomalies", "export_anomalies")) and k not in rounding:
             rounding[k] = doubles["anom"]
-    return {k: _round(v, rounding.get(k, [])) for k, v in s.items()}
+    issues = ["p0_issues", "p1_issues", "p2_issues"]
+    bigints = {
+        "health_daily": issues, "export_health_csv": issues,
+        "fail_warn_trend": ["fail_checks", "warn_checks", "issue_checks"],
+        "null_spike_masked_rate": ["n_null_session"],
+        "top_failing_checks": ["failwarn_rows"],
+    }
+    return {k: _round(v, rounding.get(k, []), bigints.get(k, [])) for k, v in s.items()}
 
 
 def oracle_sql() -> dict[str, str]:

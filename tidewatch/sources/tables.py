@@ -26,7 +26,6 @@ versions in place, and rerunning the same call converges.
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -209,7 +208,3 @@ def read_csv_extract(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return (spark.read.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
             .schema(schema).csv(path))
-
-
-def today() -> dt.date:
-    return dt.date.today()
