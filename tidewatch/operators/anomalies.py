@@ -20,12 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.arith import guarded_ratio, pct_change, z_score
 from tidewatch.functions.dates import DateLike, as_date
-from tidewatch.operators.stats import is_purchase, revenue_sum
+from tidewatch.operators.stats import PURCHASE, revenue_sum
 
 BASELINE_ROWS = 14
 METRICS = ("events_count", "revenue", "cvr")
@@ -41,46 +40,53 @@ THRESHOLDS = {
 SERIES = ("entity_type", "entity_id", "metric_name")
 
 
-def _lookup(idx: int, thresholds: dict) -> Column:
-    pairs = []
-    for metric, values in thresholds.items():
-        pairs += [F.lit(metric), F.lit(values[idx])]
-    return F.create_map(*pairs)[F.col("metric_name")]
+def _by_metric(idx: int, thresholds: dict) -> str:
+    """SQL: the ``idx``-th threshold value of the row's metric."""
+    def lit(v):
+        return "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else f"{float(v)!r}D"
+    whens = " ".join(f"WHEN '{m}' THEN {lit(v[idx])}" for m, v in thresholds.items())
+    return f"CASE metric_name {whens} END"
 
 
 def daily_kpis(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``(d, *by, events_count, purchases, revenue, cvr)``, all doubles."""
     agg = fact.groupBy(F.col("event_date").alias("d"), *by).agg(
-        F.count(F.lit(1)).cast("double").alias("events_count"),
-        F.count_if(is_purchase()).cast("double").alias("purchases"),
+        F.expr("CAST(count(1) AS DOUBLE) AS events_count"),
+        F.expr(f"CAST(count_if(event_type = '{PURCHASE}') AS DOUBLE) AS purchases"),
         revenue_sum().alias("revenue"),
     )
-    return agg.withColumn("cvr", guarded_ratio(F.col("purchases"), F.col("events_count")))
+    return agg.selectExpr("*", "purchases / nullif(events_count, 0.0D) AS cvr")
 
 
 def kpis_from_stats(stats: DataFrame) -> DataFrame:
     """The same KPIs from stored per-day stats (no fact scan)."""
-    return stats.select(
-        F.col("event_date").alias("d"),
-        F.col("n_events").cast("double").alias("events_count"),
-        F.col("n_purchases").cast("double").alias("purchases"),
-        F.col("revenue").cast("double").alias("revenue"),
-        guarded_ratio(F.col("n_purchases"), F.col("n_events")).alias("cvr"),
+    return stats.selectExpr(
+        "event_date AS d",
+        "CAST(n_events AS DOUBLE) AS events_count",
+        "CAST(n_purchases AS DOUBLE) AS purchases",
+        "CAST(revenue AS DOUBLE) AS revenue",
+        "CAST(n_purchases AS DOUBLE) / nullif(CAST(n_events AS DOUBLE), 0.0D) AS cvr",
     )
 
 
-def kpis_long(kpis: DataFrame, entity_type: str | Column = "overall",
-              entity_id: Column | None = None,
+def kpis_long(kpis: DataFrame, entity_type: str | None = "overall",
+              entity_id: str | None = None,
               metrics: Sequence[str] = METRICS) -> DataFrame:
-    """Wide KPIs → ``(anomaly_date, entity_type, entity_id, metric_name, actual_value)``."""
-    et = F.lit(entity_type) if isinstance(entity_type, str) else entity_type
-    eid = entity_id if entity_id is not None else F.lit(None).cast("string")
-    base = kpis.select(
-        F.col("d").alias("anomaly_date"), et.alias("entity_type"), eid.alias("entity_id"),
-        *[F.col(m).cast("double").alias(m) for m in metrics],
+    """Wide KPIs → ``(anomaly_date, entity_type, entity_id, metric_name, actual_value)``.
+
+    ``entity_type`` / ``entity_id`` are a literal type (``None``: take the
+    columns of the same name) and an id column name (``None``: NULL).
+    """
+    et = f"'{entity_type}'" if entity_type is not None else "entity_type"
+    eid = f"CAST({entity_id} AS STRING)" if entity_id is not None else "CAST(NULL AS STRING)"
+    pairs = ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in metrics)
+    return kpis.selectExpr(
+        "d AS anomaly_date", f"{et} AS entity_type", f"{eid} AS entity_id",
+        f"stack({len(metrics)}, {pairs}) AS (metric_name, actual_value)",
     )
-    return base.unpivot(["anomaly_date", "entity_type", "entity_id"], list(metrics),
-                        "metric_name", "actual_value")
+
+
+_SERIES_SQL = "PARTITION BY entity_type, entity_id, metric_name ORDER BY anomaly_date"
 
 
 def baselines(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:
@@ -89,36 +95,29 @@ def baselines(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:
     All three share one partitioning and ordering, so Spark sorts once and
     evaluates them in a single Window operator.
     """
-    order = Window.partitionBy(*SERIES).orderBy("anomaly_date")
-    frame = order.rowsBetween(-baseline_rows, -1)
-    actual = F.col("actual_value")
-    return long.select(
+    frame = f"OVER ({_SERIES_SQL} ROWS BETWEEN {int(baseline_rows)} PRECEDING AND 1 PRECEDING)"
+    return long.selectExpr(
         "*",
-        F.avg(actual).over(frame).alias("baseline_value"),
-        F.stddev_samp(actual).over(frame).alias("baseline_sd"),
-        F.lag(actual).over(order).alias("prev_value"),
+        f"avg(actual_value) {frame} AS baseline_value",
+        f"stddev_samp(actual_value) {frame} AS baseline_sd",
+        f"lag(actual_value) OVER ({_SERIES_SQL}) AS prev_value",
     )
 
 
 def score(long: DataFrame, baseline_rows: int = BASELINE_ROWS,
           thresholds: dict | None = None) -> DataFrame:
     """Baseline, z-score, day change and flag for each row of each series."""
-    thresholds = thresholds or THRESHOLDS
-    enriched = baselines(long, baseline_rows)
-    actual = F.col("actual_value")
-    z = z_score(actual, F.col("baseline_value"), F.col("baseline_sd"))
-    pct = pct_change(actual, F.col("prev_value"))
-    flag = (
-        F.when(F.col("baseline_value").isNull(), F.lit("N"))
-        .when(F.abs(z) > _lookup(0, thresholds), F.lit("Y"))
-        .when(pct > _lookup(1, thresholds), F.lit("Y"))
-        .when(pct < _lookup(2, thresholds), F.lit("Y"))
-        .otherwise(F.lit("N"))
-    )
-    return enriched.select(
+    t = thresholds or THRESHOLDS
+    z = "(actual_value - baseline_value) / nullif(baseline_sd, 0.0D)"
+    pct = "(actual_value - prev_value) / nullif(prev_value, 0.0D)"
+    flag = (f"CASE WHEN baseline_value IS NULL THEN 'N' "
+            f"WHEN abs({z}) > {_by_metric(0, t)} THEN 'Y' "
+            f"WHEN {pct} > {_by_metric(1, t)} THEN 'Y' "
+            f"WHEN {pct} < {_by_metric(2, t)} THEN 'Y' ELSE 'N' END")
+    return baselines(long, baseline_rows).selectExpr(
         "anomaly_date", "entity_type", "entity_id", "metric_name", "actual_value",
-        "baseline_value", z.alias("z_score"), pct.alias("pct_change"),
-        flag.alias("anomaly_flag"), _lookup(3, thresholds).alias("notes"),
+        "baseline_value", f"{z} AS z_score", f"{pct} AS pct_change",
+        f"{flag} AS anomaly_flag", f"{_by_metric(3, t)} AS notes",
     )
 
 
@@ -159,7 +158,7 @@ def anomalies_by_entity(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENT
                                 F.lit(None).cast("string").alias("entity_id")))
     fanned = fact.select("event_date", "event_type", "price", F.inline(F.array(*tags)))
     kpis = daily_kpis(fanned, by=("entity_type", "entity_id"))
-    return score(kpis_long(kpis, F.col("entity_type"), F.col("entity_id")), **kw)
+    return score(kpis_long(kpis, None, "entity_id"), **kw)
 
 
 def rolling_median(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:

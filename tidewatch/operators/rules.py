@@ -1,11 +1,13 @@
 """Data-quality rules: one result row per (check_date, rule).
 
 A rule is data: a name, a severity, which day it reads (the run date or the
-calendar day before), a metric built from the per-day aggregates, a pass
-condition and two texts.  The fact table is aggregated once per day; a
-window over those day rows supplies the calendar day before; all rules for
-all requested days are then evaluated in one projection and turned into
-long form with ``inline(array(struct...))`` -- no union, no self-join.
+calendar day before), a metric and a pass condition written as SQL over the
+per-day aggregates, and two texts.  The fact table is aggregated once per
+day; a window over those day rows supplies the calendar day before; all
+rules for all requested days are then evaluated in one projection and turned
+into long form with ``inline(array(named_struct(...)))`` -- no union, no
+self-join.  Rules being SQL text keeps them declarative (they can be stored
+as configuration) and makes the whole evaluation one expression for Catalyst.
 
 Status is ``PASS`` when the condition holds and ``FAIL`` otherwise; a NULL
 metric (e.g. a null rate over zero rows) therefore fails.
@@ -14,29 +16,30 @@ metric (e.g. a null rate over zero rows) therefore fails.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.arith import guarded_ratio
 from tidewatch.functions.dates import DateLike, as_date, on_days
 from tidewatch.operators.stats import DUP_KEY, day_stats, day_stats_and_dups, day_stats_with_dups
 
 # Fixed value: the table name the reference's rules report on.
 FACT_TABLE = "core.fact_events"
 
-Stat = Callable[[str], Column]
-
 
 @dataclass(frozen=True)
 class Rule:
+    """A rule; ``metric`` is SQL over ``{stat}`` placeholders (the stats of the
+    day the rule reads) and ``{d}`` (the check date); ``passes`` is SQL over
+    ``{m}`` (the metric)."""
+
     name: str
     severity: str
     day_offset: int  # 0: the run date itself, 1: the calendar day before
-    metric: Callable[[Stat, Column], Column]  # (stat accessor, check_date) -> metric
-    passes: Callable[[Column], Column]
+    metric: str
+    passes: str
     expected_range: str
     failure_details: str
     needs: tuple[str, ...] = field(default=("n_events",))
@@ -46,62 +49,58 @@ def _num(x: float) -> str:
     return f"{x:g}"
 
 
-def _count(stat: str) -> Callable[[Stat, Column], Column]:
-    return lambda s, _d: F.coalesce(s(stat), F.lit(0)).cast("double")
+def _count(stat: str) -> str:
+    return f"CAST(coalesce({{{stat}}}, 0) AS DOUBLE)"
 
 
 # ---- the reference's rules (texts are fixed values) ----------------------
 
 def freshness_has_events() -> Rule:
-    return Rule("freshness_has_events_on_run_date", "P0", 0, _count("n_events"),
-                lambda m: m > 0, "> 0 rows on run_date", "No events found for run_date")
+    return Rule("freshness_has_events_on_run_date", "P0", 0, _count("n_events"), "{m} > 0",
+                "> 0 rows on run_date", "No events found for run_date")
 
 
 def volume_prev_day(min_rows: int = 1000) -> Rule:
     return Rule(f"volume_prev_day_events_min_{min_rows}", "P0", 1, _count("n_events"),
-                lambda m: m >= min_rows, f">= {min_rows}",
+                f"{{m}} >= {int(min_rows)}", f">= {min_rows}",
                 f"Previous day events below {min_rows}")
 
 
 def purchases_prev_day() -> Rule:
-    return Rule("purchase_events_vanish_prev_day", "P0", 1, _count("n_purchases"),
-                lambda m: m > 0, "> 0", "No purchases on previous day", ("n_purchases",))
+    return Rule("purchase_events_vanish_prev_day", "P0", 1, _count("n_purchases"), "{m} > 0",
+                "> 0", "No purchases on previous day", ("n_purchases",))
 
 
 def null_rate_session(max_pct: float = 1.0) -> Rule:
-    def metric(s: Stat, _d: Column) -> Column:
-        return F.lit(100.0) * guarded_ratio(s("n_null_session"), s("n_events"))
-
-    return Rule("null_rate_session_id_run_date", "P1", 0, metric, lambda m: m <= max_pct,
+    return Rule("null_rate_session_id_run_date", "P1", 0,
+                "100.0D * CAST({n_null_session} AS DOUBLE) / nullif(CAST({n_events} AS DOUBLE), 0.0D)",
+                f"{{m}} <= {float(max_pct)!r}D",
                 f"<= {_num(max_pct)}%",
                 f"session_id null% exceeded {_num(max_pct)}% on run_date",
                 ("n_events", "n_null_session"))
 
 
 def dup_composite_key() -> Rule:
-    return Rule("dup_composite_key_groups_run_date", "P0", 0, _count("dup_groups"),
-                lambda m: m == 0, "= 0 groups", "Duplicate groups found on run_date",
-                ("dup_groups",))
+    return Rule("dup_composite_key_groups_run_date", "P0", 0, _count("dup_groups"), "{m} = 0",
+                "= 0 groups", "Duplicate groups found on run_date", ("dup_groups",))
 
 
 def purchases_run_date() -> Rule:
-    return Rule("purchase_events_on_run_date", "P0", 0, _count("n_purchases"),
-                lambda m: m > 0, "> 0 purchases", "No purchases found on run_date",
-                ("n_purchases",))
+    return Rule("purchase_events_on_run_date", "P0", 0, _count("n_purchases"), "{m} > 0",
+                "> 0 purchases", "No purchases found on run_date", ("n_purchases",))
 
 
 # ---- declared rules with no source text; thresholds and texts are ours ---
 
-def _hours_until_day_end(ts: Column, d: Column) -> Column:
-    end = F.date_add(d, 1).cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", ts, end).cast("double") / F.lit(3.6e9)
+def _hours_until_day_end(ts: str) -> str:
+    return (f"CAST(timestampdiff(MICROSECOND, {ts}, CAST(date_add({{d}}, 1) AS TIMESTAMP_NTZ)) "
+            "AS DOUBLE) / 3.6e9D")
 
 
 def latest_event_in_day(max_gap_hours: float = 1.0) -> Rule:
     """Newest event of run_date lies at most ``max_gap_hours`` before the day ends."""
     return Rule("freshness_latest_event_within_run_day", "P0", 0,
-                lambda s, d: _hours_until_day_end(s("max_event_ts"), d),
-                lambda m: m <= max_gap_hours,
+                _hours_until_day_end("{max_event_ts}"), f"{{m}} <= {float(max_gap_hours)!r}D",
                 f"<= {_num(max_gap_hours)}h before end of run_date",
                 f"Latest event_ts more than {_num(max_gap_hours)}h before end of run_date",
                 ("max_event_ts",))
@@ -110,8 +109,7 @@ def latest_event_in_day(max_gap_hours: float = 1.0) -> Rule:
 def latest_event_24h(max_age_hours: float = 24.0) -> Rule:
     """Newest event up to run_date is at most ``max_age_hours`` old at the end of run_date."""
     return Rule(f"freshness_latest_event_within_{_num(max_age_hours)}h", "P0", 0,
-                lambda s, d: _hours_until_day_end(s("latest_event_ts"), d),
-                lambda m: m <= max_age_hours,
+                _hours_until_day_end("{latest_event_ts}"), f"{{m}} <= {float(max_age_hours)!r}D",
                 f"<= {_num(max_age_hours)}h",
                 f"Latest event_ts older than {_num(max_age_hours)}h",
                 ("latest_event_ts",))
@@ -164,6 +162,12 @@ def _day_rows(stats: DataFrame, spine: DataFrame | None) -> DataFrame:
     return rows.join(marks, "check_date", "full")
 
 
+def _stat_names(text: str) -> list[str]:
+    import string
+
+    return [f for _, f, _, _ in string.Formatter().parse(text) if f]
+
+
 def with_prev_day(stats: DataFrame, cols: Sequence[str],
                   spine: DataFrame | None = None) -> DataFrame:
     """Day rows with ``d0_<c>`` (the day) and ``d1_<c>`` (the calendar day before).
@@ -176,32 +180,38 @@ def with_prev_day(stats: DataFrame, cols: Sequence[str],
     event volume.
     """
     rows = _day_rows(stats, spine)
-    w = Window.orderBy("check_date")
-    contiguous = F.lag("check_date").over(w) == F.date_sub(F.col("check_date"), 1)
-    out = [F.col("check_date"), F.coalesce(F.col("_in_spine"), F.lit(False)).alias("_in_spine")]
+    w = "OVER (ORDER BY check_date)"
+    exprs = ["check_date", "coalesce(_in_spine, false) AS _in_spine"]
     for c in cols:
         if c == "latest_event_ts":
-            running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            out.append(F.max("max_event_ts").over(running).alias("d0_latest_event_ts"))
+            exprs.append(f"max(max_event_ts) OVER (ORDER BY check_date ROWS BETWEEN UNBOUNDED "
+                         f"PRECEDING AND CURRENT ROW) AS d0_latest_event_ts")
             continue
-        out.append(F.col(c).alias(f"d0_{c}"))
-        out.append(F.when(contiguous, F.lag(c).over(w)).alias(f"d1_{c}"))
-    return rows.select(*out)
+        exprs.append(f"`{c}` AS d0_{c}")
+        exprs.append(f"CASE WHEN lag(check_date) {w} = date_sub(check_date, 1) "
+                     f"THEN lag(`{c}`) {w} END AS d1_{c}")
+    return rows.selectExpr(*exprs)
+
+
+def _sql_text(s: str | None) -> str:
+    return "CAST(NULL AS STRING)" if s is None else "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _result_struct(rule: Rule, table_name: str) -> Column:
+def _result_struct(rule: Rule, table_name: str) -> str:
     prefix = f"d{rule.day_offset}_"
-    metric = rule.metric(lambda c: F.col(prefix + c), F.col("check_date")).cast("double")
-    ok = rule.passes(metric)
-    return F.struct(
-        F.lit(rule.name).alias("check_name"),
-        F.lit(table_name).alias("table_name"),
-        F.lit(rule.severity).alias("severity"),
-        F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
-        metric.alias("metric_value"),
-        F.lit(rule.expected_range).alias("expected_range"),
-        F.when(ok, F.lit(None).cast("string")).otherwise(F.lit(rule.failure_details))
-        .alias("failure_details"),
+    fields = {n: f"{prefix}{n}" for n in _stat_names(rule.metric) if n != "d"}
+    metric = "CAST(" + rule.metric.format(d="check_date", **fields) + " AS DOUBLE)"
+    ok = rule.passes.format(m=metric)
+    return (
+        "named_struct("
+        f"'check_name', {_sql_text(rule.name)}, "
+        f"'table_name', {_sql_text(table_name)}, "
+        f"'severity', {_sql_text(rule.severity)}, "
+        f"'status', CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END, "
+        f"'metric_value', {metric}, "
+        f"'expected_range', {_sql_text(rule.expected_range)}, "
+        f"'failure_details', CASE WHEN {ok} THEN CAST(NULL AS STRING) "
+        f"ELSE {_sql_text(rule.failure_details)} END)"
     )
 
 
@@ -212,14 +222,14 @@ def evaluate_rules(stats: DataFrame, rules: Sequence[Rule], spine: DataFrame | N
     ``stats`` holds one row per event day; ``spine`` lists the days to check
     (column ``check_date``), by default every day in ``stats``.  A spine day
     without rows still gets one result per rule (counts 0), like a global
-    aggregate over an empty day.  The results are generated with
-    ``inline(array(struct...))`` from one projection -- no union, so the
-    aggregates below are computed once.
+    aggregate over an empty day.  The results come from one projection with
+    ``inline(array(named_struct(...)))`` -- no union, so the aggregates below
+    are computed once.
     """
     cols = sorted(c for c in _needs(rules) if c in stats.columns or c == "latest_event_ts")
     days = with_prev_day(stats, cols, spine).where(F.col("_in_spine"))
-    structs = [_result_struct(r, table_name) for r in rules]
-    return days.select("check_date", F.inline(F.array(*structs)))
+    structs = ", ".join(_result_struct(r, table_name) for r in rules)
+    return days.selectExpr("check_date", f"inline(array({structs}))")
 
 
 def checks_all_days(fact: DataFrame, rules: Sequence[Rule] | None = None,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch import schemas
-from tidewatch.functions.arith import guarded_ratio
+from tidewatch.functions.arith import guarded_ratio, pct_change
 from tidewatch.functions.cleaning import (
     blank_to_null,
     event_id_md5,
@@ -52,9 +52,9 @@ REGISTRY: dict[str, Query] = {}
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f.name)
+    return df.selectExpr(*[
+        f"round(`{f.name}`, {digits}) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType)
+        else f"`{f.name}`"
         for f in df.schema.fields
     ])
 
@@ -284,7 +284,7 @@ def q_rolling_baseline_14(spark, sf_dir):
 def q_day_over_day_change(spark, sf_dir):
     b = A.baselines(A.kpis_long(A.daily_kpis(fact(spark, sf_dir))))
     return b.select("anomaly_date", "metric_name", "actual_value", "prev_value",
-                    A.pct_change(F.col("actual_value"), F.col("prev_value")).alias("pct_change"))
+                    pct_change(F.col("actual_value"), F.col("prev_value")).alias("pct_change"))
 
 
 @query("rolling_median_14")

@@ -21,10 +21,10 @@ raw time text   ``yyyy-MM-dd HH:mm:ss UTC``; raw price text: 2-decimal text
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.cleaning import event_id_md5
+from tidewatch.functions.cleaning import KEY_SEPARATOR
 
 # Fixed values of the adapter: number of distinct products the events map to,
 # the "no session" marker and the raw text formats.
@@ -64,65 +64,56 @@ def _product_catalog(part: DataFrame) -> DataFrame:
     query that uses no catalogue column then loses the left join altogether
     instead of scanning and broadcasting ``part``.
     """
-    keyed = part.where(F.col("p_partkey").between(1, PRODUCT_COUNT)).groupBy("p_partkey").agg(
-        F.max("p_size").cast("string").alias("category_id"),
-        F.max("p_type").alias("category_code"),
-        F.max("p_brand").alias("brand"),
+    keyed = part.where(f"p_partkey BETWEEN 1 AND {PRODUCT_COUNT}").groupBy("p_partkey").agg(
+        F.expr("CAST(max(p_size) AS STRING) AS category_id"),
+        F.expr("max(p_type) AS category_code"),
+        F.expr("max(p_brand) AS brand"),
     )
     return F.broadcast(keyed)
 
 
-def _session_text(props: Column) -> Column:
-    return F.nullif(F.get_json_object(props, "$.k"), F.lit(NO_SESSION))
+# The raw click-stream text of each column, as SQL over the joined events.
+SESSION_SQL = f"nullif(get_json_object(props, '$.k'), '{NO_SESSION}')"
+RAW_SQL = {
+    "event_time": f"concat(date_format(ts, '{RAW_TIME_FORMAT}'), '{RAW_TIME_SUFFIX}')",
+    "event_type": "event_type",
+    "product_id": "CAST(product_key AS STRING)",
+    "category_id": "category_id",
+    "category_code": "category_code",
+    "brand": "brand",
+    "price": "CAST(CAST(value AS DECIMAL(18,2)) AS STRING)",
+    "user_id": "CAST(user_id AS STRING)",
+    "user_session": SESSION_SQL,
+}
+# Surrogate-key input order (fixed): user, session, time, type, product, price.
+KEY_FIELDS = ("user_id", "user_session", "event_time", "event_type", "product_id", "price")
 
 
 def _events_with_catalog(events: DataFrame, part: DataFrame) -> DataFrame:
-    e = events.select(
-        F.col("event_id"), F.col("ts"), F.col("user_id"), F.col("event_type"),
-        F.col("value"), F.col("props"),
-        (F.col("event_id") % PRODUCT_COUNT + 1).alias("product_key"),
-    )
-    cat = _product_catalog(part)
-    return e.join(cat, e["product_key"] == cat["p_partkey"], "left")
-
-
-def _raw_text(e: DataFrame) -> dict[str, Column]:
-    return {
-        "event_time": F.concat(F.date_format("ts", RAW_TIME_FORMAT), F.lit(RAW_TIME_SUFFIX)),
-        "event_type": F.col("event_type"),
-        "product_id": F.col("product_key").cast("string"),
-        "category_id": F.col("category_id"),
-        "category_code": F.col("category_code"),
-        "brand": F.col("brand"),
-        "price": F.col("value").cast("decimal(18,2)").cast("string"),
-        "user_id": F.col("user_id").cast("string"),
-        "user_session": _session_text(F.col("props")),
-    }
+    e = events.selectExpr("event_id", "ts", "user_id", "event_type", "value", "props",
+                          f"event_id % {PRODUCT_COUNT} + 1 AS product_key")
+    return e.join(_product_catalog(part), F.expr("product_key = p_partkey"), "left")
 
 
 def raw_events(events: DataFrame, part: DataFrame) -> DataFrame:
     """The test events as raw click-stream text (the CSV shape, all strings)."""
     e = _events_with_catalog(events, part)
-    return e.select([c.alias(n) for n, c in _raw_text(e).items()])
+    return e.selectExpr(*[f"{sql} AS {name}" for name, sql in RAW_SQL.items()])
 
 
 def fact_events(events: DataFrame, part: DataFrame) -> DataFrame:
     """The test events in ``fact_events`` shape (typed, keyed, with event_date)."""
     e = _events_with_catalog(events, part)
-    raw = _raw_text(e)
-    return e.select(
-        raw["user_id"].alias("user_id"),
-        raw["user_session"].alias("session_id"),
-        raw["product_id"].alias("product_id"),
-        F.col("category_id"),
-        F.col("category_code"),
-        F.col("brand"),
-        F.col("event_type"),
-        F.col("ts").alias("event_ts"),
-        F.col("value").alias("price"),
-        event_id_md5(raw["user_id"], raw["user_session"], raw["event_time"], raw["event_type"],
-                     raw["product_id"], raw["price"]).alias("event_id"),
-        F.to_date("ts").alias("event_date"),
+    key = ", ".join(RAW_SQL[f] for f in KEY_FIELDS)
+    return e.selectExpr(
+        f"{RAW_SQL['user_id']} AS user_id",
+        f"{SESSION_SQL} AS session_id",
+        f"{RAW_SQL['product_id']} AS product_id",
+        "category_id", "category_code", "brand", "event_type",
+        "ts AS event_ts",
+        "value AS price",
+        f"md5(concat_ws('{KEY_SEPARATOR}', {key})) AS event_id",
+        "to_date(ts) AS event_date",
     )
 
 
