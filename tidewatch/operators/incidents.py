@@ -79,18 +79,35 @@ def rule_kind(check_name: Column) -> Column:
     return F.regexp_replace(check_name, r"_(min_)?[0-9]+(\.[0-9]+)?h?$", "")
 
 
+def _sql_str(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def catalog_df(spark: SparkSession) -> DataFrame:
-    # A handful of rows, one per rule kind: broadcast-safe by construction.
-    rows = [(k, *v) for k, v in CATALOG.items()]
-    return F.broadcast(spark.createDataFrame(rows, list(_CATALOG_COLS)))
+    """The per-rule incident texts as an inline table.
+
+    A handful of rows, one per rule kind: broadcast-safe by construction.
+    """
+    rows = ", ".join("(" + ", ".join(_sql_str(x) for x in (k, *v)) + ")" for k, v in CATALOG.items())
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS catalog({', '.join(_CATALOG_COLS)})"))
+
 
+_KIND_SQL = r"regexp_replace({name}, '_(min_)?[0-9]+(\\.[0-9]+)?h?$', '')"
+_DAY_SQL = r"to_date(regexp_extract({iid}, 'INC-(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1))"
 
-def incident_id_for(check_date: Column, check_name: Column) -> Column:
-    """``INC-<yyyy-mm-dd>-<SLUG>``; rules outside the catalogue get their kind, upper-cased."""
-    kind = rule_kind(check_name)
-    slug_of = F.create_map(*[x for k, v in CATALOG.items() for x in (F.lit(k), F.lit(v[0]))])
-    slug = F.coalesce(slug_of[kind], F.upper(F.regexp_replace(kind, "_", "-")))
-    return F.concat(F.lit("INC-"), F.date_format(check_date, "yyyy-MM-dd"), F.lit("-"), slug)
+
+def incident_id_sql(check_date: str = "check_date", check_name: str = "check_name") -> str:
+    """SQL for ``INC-<yyyy-mm-dd>-<SLUG>``; rules outside the catalogue get their
+    kind, upper-cased, as slug."""
+    kind = _KIND_SQL.format(name=check_name)
+    whens = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in CATALOG.items())
+    slug = f"coalesce(CASE {kind} {whens} END, upper(replace({kind}, '_', '-')))"
+    return f"concat('INC-', date_format({check_date}, 'yyyy-MM-dd'), '-', {slug})"
+
+
+def incident_day_sql(incident_id: str = "incident_id") -> str:
+    """SQL for the date inside ``INC-<yyyy-mm-dd>-...``."""
+    return _DAY_SQL.format(iid=incident_id)
 
 
 def incident_day(incident_id: Column) -> Column:
@@ -100,26 +117,21 @@ def incident_day(incident_id: Column) -> Column:
 
 def open_incidents(spark: SparkSession, checks: DataFrame, owner: str = DEFAULT_OWNER) -> DataFrame:
     """One OPEN incident per failing check row, in ``dq_incidents`` shape."""
-    failing = checks.where(F.col("status") != F.lit("PASS")).withColumn(
-        "rule_kind", rule_kind(F.col("check_name")))
-    cat = catalog_df(spark)
-    j = failing.join(cat, "rule_kind", "left")
-    day = F.date_format("check_date", "yyyy-MM-dd")
-    return j.select(
-        incident_id_for(F.col("check_date"), F.col("check_name")).alias("incident_id"),
-        F.col("check_date").cast("timestamp").alias("opened_at"),
-        F.lit(None).cast("timestamp").alias("closed_at"),
-        F.col("severity"),
-        F.lit("OPEN").alias("status"),
-        F.concat(F.coalesce(F.col("summary"), F.col("check_name")), F.lit(" on "), day,
-                 F.lit(".")).alias("summary"),
-        F.col("check_name").alias("detected_by"),
-        F.concat_ws("; ", F.col("table_name"), F.col("impacted")).alias("impacted_assets"),
-        F.col("root_cause_type"),
-        F.col("root_cause_details"),
-        F.col("resolution_steps"),
-        F.col("preventive_actions"),
-        F.lit(owner).alias("owner"),
+    failing = checks.where("status <> 'PASS'").selectExpr(
+        "*", f"{_KIND_SQL.format(name='check_name')} AS rule_kind")
+    j = failing.join(catalog_df(spark), "rule_kind", "left")
+    day = "date_format(check_date, 'yyyy-MM-dd')"
+    return j.selectExpr(
+        f"{incident_id_sql()} AS incident_id",
+        "CAST(check_date AS TIMESTAMP) AS opened_at",
+        "CAST(NULL AS TIMESTAMP) AS closed_at",
+        "severity",
+        "'OPEN' AS status",
+        f"concat(coalesce(summary, check_name), ' on ', {day}, '.') AS summary",
+        "check_name AS detected_by",
+        "concat_ws('; ', table_name, impacted) AS impacted_assets",
+        "root_cause_type", "root_cause_details", "resolution_steps", "preventive_actions",
+        f"{_sql_str(owner)} AS owner",
     )
 
 
@@ -135,23 +147,24 @@ def resolution_events(checks: DataFrame) -> DataFrame:
     ``min(pass day) over (rule, following rows)`` finds, for every row, the
     next day the same rule passed; one sort per rule, no pairing of rows.
     """
-    w = (Window.partitionBy("check_name").orderBy("check_date")
-         .rowsBetween(1, Window.unboundedFollowing))
-    nxt = checks.select(
+    nxt = checks.selectExpr(
         "check_date", "check_name", "status",
-        F.min(F.when(F.col("status") == "PASS", F.col("check_date"))).over(w).alias("next_pass"),
-    ).where(F.col("status") != F.lit("PASS"))
-    iid = incident_id_for(F.col("check_date"), F.col("check_name"))
-    events = F.array(
-        F.struct(F.lit("OPEN").alias("status"), F.col("check_date").cast("timestamp").alias("changed_at"),
-                 F.lit("opened by failing check").alias("note")),
-        F.struct(F.lit("RESOLVED").alias("status"), F.col("next_pass").cast("timestamp").alias("changed_at"),
-                 F.concat(F.lit("check passed again on "), F.date_format("next_pass", "yyyy-MM-dd"))
-                 .alias("note")),
+        "min(CASE WHEN status = 'PASS' THEN check_date END) OVER (PARTITION BY check_name "
+        "ORDER BY check_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_pass",
+    ).where("status <> 'PASS'")
+    events = nxt.selectExpr(
+        f"{incident_id_sql()} AS incident_id",
+        "inline(array("
+        "named_struct('status', 'OPEN', 'changed_at', CAST(check_date AS TIMESTAMP), "
+        "'note', 'opened by failing check'), "
+        "named_struct('status', 'RESOLVED', 'changed_at', CAST(next_pass AS TIMESTAMP), "
+        "'note', concat('check passed again on ', date_format(next_pass, 'yyyy-MM-dd')))))",
     )
-    return (nxt.select(iid.alias("incident_id"), F.inline(events))
-            .where(F.col("changed_at").isNotNull())
-            .select(*INCIDENT_STATUS_LOG.names))
+    return events.where("changed_at IS NOT NULL").select(*INCIDENT_STATUS_LOG.names)
+
+
+_RANK_SQL = ("array_position(array(" + ", ".join(f"'{s}'" for s in INCIDENT_STATUSES)
+             + "), status)")
 
 
 def status_rank(status: Column) -> Column:
@@ -164,22 +177,20 @@ def current_state(incidents: DataFrame, status_log: DataFrame) -> DataFrame:
     Latest = greatest ``changed_at``; ties go to the later workflow step.
     ``closed_at`` is the time of the latest row when that row is RESOLVED.
     """
-    w = Window.partitionBy("incident_id").orderBy(F.col("changed_at").desc(),
-                                                  status_rank(F.col("status")).desc())
-    latest = (status_log.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-              .select("incident_id", F.col("status").alias("_status"),
-                      F.col("changed_at").alias("_changed_at")))
+    latest = status_log.selectExpr(
+        "incident_id", "status AS _status", "changed_at AS _changed_at",
+        f"row_number() OVER (PARTITION BY incident_id ORDER BY changed_at DESC, {_RANK_SQL} DESC) AS _rn",
+    ).where("_rn = 1").drop("_rn")
     j = incidents.join(latest, "incident_id", "left")
     cols = []
     for c in INCIDENTS.names:
         if c == "status":
-            cols.append(F.coalesce(F.col("_status"), F.col("status")).alias("status"))
+            cols.append("coalesce(_status, status) AS status")
         elif c == "closed_at":
-            cols.append(F.when(F.col("_status") == "RESOLVED", F.col("_changed_at"))
-                        .otherwise(F.col("closed_at")).alias("closed_at"))
+            cols.append("CASE WHEN _status = 'RESOLVED' THEN _changed_at ELSE closed_at END AS closed_at")
         else:
-            cols.append(F.col(c))
-    return j.select(*cols)
+            cols.append(f"`{c}`")
+    return j.selectExpr(*cols)
 
 
 def append_status(log: DataFrame, changes: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.incidents import incident_day
+from tidewatch.operators.incidents import incident_day_sql
 
 # Health score = 100 - 30·P0 - 10·P1 - 5·P2 issues, floored at 0.  The P0
 # weight is fixed by the reference's outputs (0 → 100, 1 → 70, 2 → 40); the P1
@@ -51,16 +51,14 @@ def checks_with_incidents(checks: DataFrame, incidents: DataFrame) -> DataFrame:
     rows stay.  The incident side is left to AQE, which broadcasts it when its
     measured size is small and shuffles otherwise.
     """
-    inc = incidents.select(
-        F.col("detected_by").alias("_by"), incident_day(F.col("incident_id")).alias("_day"),
-        F.col("incident_id"), F.col("status").alias("incident_status"),
-        F.col("summary").alias("incident_summary"),
-        F.col("root_cause_type").alias("incident_root_cause_type"),
-        F.col("root_cause_details").alias("incident_root_cause_details"),
-        F.col("opened_at").alias("incident_opened_at"), F.col("owner").alias("incident_owner"),
+    inc = incidents.selectExpr(
+        "detected_by AS _by", f"{incident_day_sql()} AS _day", "incident_id",
+        "status AS incident_status", "summary AS incident_summary",
+        "root_cause_type AS incident_root_cause_type",
+        "root_cause_details AS incident_root_cause_details",
+        "opened_at AS incident_opened_at", "owner AS incident_owner",
     )
-    cond = ((checks["check_name"] == inc["_by"]) & (checks["check_date"] == inc["_day"])
-            & (checks["status"] != F.lit("PASS")))
+    cond = F.expr("check_name = _by AND check_date = _day AND status <> 'PASS'")
     j = checks.join(inc, cond, "left")
     return j.select(*checks.columns, *INCIDENT_COLUMNS)
 

@@ -62,12 +62,12 @@ def work_root(spark: SparkSession) -> str:
     (and has it set as its checkpoint dir); a cluster session without it is
     an error, because a machine-local folder would not survive executor loss.
     """
-    root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
+    try:
+        root = spark.conf.get(_CHECKPOINT_KEY, None)
+    except Exception:  # noqa: BLE001 - conf lookups differ across deployments
+        root = None
     if not root:
-        try:
-            root = spark.conf.get(_CHECKPOINT_KEY, None)
-        except Exception:  # noqa: BLE001 - conf lookups differ across deployments
-            root = None
+        root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
         if not _is_local(spark):
             raise RuntimeError(
