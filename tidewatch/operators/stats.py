@@ -38,14 +38,18 @@ def revenue_sum() -> Column:
     return F.sum(revenue_decimal()).cast("double")
 
 
+REVENUE_SQL = (f"CAST(sum(CASE WHEN event_type = '{PURCHASE}' THEN try_cast(price AS {REVENUE_DECIMAL}) "
+               f"ELSE CAST(0 AS {REVENUE_DECIMAL}) END) AS DOUBLE)")
+
+
 def day_stats(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per ``event_date`` (and ``by`` columns) with the counts all rules use."""
     return fact.groupBy("event_date", *by).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(is_purchase()).alias("n_purchases"),
-        F.count_if(F.col("session_id").isNull()).alias("n_null_session"),
-        revenue_sum().alias("revenue"),
-        F.max("event_ts").alias("max_event_ts"),
+        F.expr("count(1) AS n_events"),
+        F.expr(f"count_if(event_type = '{PURCHASE}') AS n_purchases"),
+        F.expr("count_if(session_id IS NULL) AS n_null_session"),
+        F.expr(f"{REVENUE_SQL} AS revenue"),
+        F.expr("max(event_ts) AS max_event_ts"),
     )
 
 
