@@ -144,3 +144,24 @@ def test_golden_replay_of_checks_and_health(spark):
     assert health["2019-11-01"]["health_score"] == 40
     assert health["2019-11-16"]["health_score"] == 70
     assert {h["health_score"] for d, h in health.items() if d not in ("2019-11-01", "2019-11-16")} == {100}
+
+
+def test_bounded_run_date_scoring_equals_full_history(spark):
+    import datetime as dt
+
+    from conftest import day_events, fact_rows
+
+    ev = []
+    d0 = D("2024-01-01")
+    for i in range(60):
+        if i % 7 == 3:  # gaps: the 14 rows before a day span more than 14 calendar days
+            continue
+        ev += day_events((d0 + dt.timedelta(days=i)).isoformat(), 5 + (i * 7) % 11, purchases=1 + i % 3)
+    fact = fact_rows(spark, ev)
+    for run, n in (("2024-02-25", 3), ("2024-01-10", 3), ("2024-01-03", 3), ("2024-01-04", 0)):
+        full = A.anomalies_for_run_date(fact, run, bounded=False).collect()
+        part = A.anomalies_for_run_date(fact, run).collect()
+        assert sorted(map(tuple, full)) == sorted(map(tuple, part)) and len(full) == n
+    # 2024-01-04 has no events: no anomaly rows (grouped), as in a daily run
+    assert A.lookback_start(fact, "2024-02-25", 15, first_window_days=10) is not None
+    assert A.lookback_start(fact, "2024-01-03", 15) is None  # history shorter than the frame
