@@ -170,10 +170,20 @@ def anomalies_for_run_date(fact: DataFrame, run_date: DateLike, bounded: bool =
     return anomalies_all_days(upto, **kw).where(F.col("anomaly_date") == F.lit(d))
 
 
-def anomalies_latest_day(fact: DataFrame, **kw) -> DataFrame:
-    """Rows of the newest loaded day (scalar subquery on the max day)."""
-    latest = fact.select(F.max("event_date")).scalar()
-    return anomalies_all_days(fact, **kw).where(F.col("anomaly_date") == latest)
+def anomalies_latest_day(fact: DataFrame, bounded: bool = True, **kw) -> DataFrame:
+    """Rows of the newest loaded day.
+
+    ``bounded``: the newest day is looked up first (one date back to the
+    driver) and only its lookback window is scored; otherwise the filter is
+    a scalar subquery over the scoring of every day.
+    """
+    if bounded:
+        latest = fact.select(F.max("event_date")).first()[0]
+        if latest is None:
+            return anomalies_all_days(fact.limit(0), **kw)
+        return anomalies_for_run_date(fact, latest, **kw)
+    latest_col = fact.select(F.max("event_date")).scalar()
+    return anomalies_all_days(fact, **kw).where(F.col("anomaly_date") == latest_col)
 
 
 # Entity levels scored besides ``overall``: (entity_type, id column).
