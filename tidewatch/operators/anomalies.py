@@ -180,7 +180,7 @@ def anomalies_latest_day(fact: DataFrame, bounded: bool = True, **kw) -> DataFra
     if bounded:
         latest = fact.select(F.max("event_date")).first()[0]
         if latest is None:
-            return anomalies_all_days(fact.limit(0), **kw)
+            return anomalies_all_days(fact.where(F.lit(False)), **kw)  # no data: no rows
         return anomalies_for_run_date(fact, latest, **kw)
     latest_col = fact.select(F.max("event_date")).scalar()
     return anomalies_all_days(fact, **kw).where(F.col("anomaly_date") == latest_col)
