@@ -1,0 +1 @@
+"""tidewatch: data-reliability monitoring of event tables on Spark."""

@@ -1,0 +1 @@
+"""DataFrame → DataFrame operators: cleaning, day stats, rules, anomalies, incidents, reports."""

@@ -61,9 +61,10 @@ def main(argv: list[str] | None = None) -> dict:
         daily.backfill(store, rules, spike)
     else:
         daily.run_day(store, as_date(args.run_date), rules, spike)
-    out = {}
+    out: dict = {}
     if args.export:
         out = daily.export_reports(store, args.out_dir or work_path(spark, "exports", args.database))
+    out["replay_rows"] = store.read("fact_events").count()  # rows now in the daily table
     return out
 
 

@@ -1,0 +1 @@
+"""Micro-batch monitoring of arriving raw files (Structured Streaming, foreachBatch)."""
