@@ -134,3 +134,12 @@ def test_dup_strategies_and_broadcast_fallback_agree(spark):
     no_bcast = {r["event_date"]: r["dup_groups"] for r in ST.dup_groups_per_day(fact, broadcast_max=0).collect()}
     assert single == prepass == {D("2024-01-01"): 2, D("2024-01-02"): 1}
     assert no_bcast == {D("2024-01-01"): 2, D("2024-01-02"): 1}
+
+
+def test_newest_event_rule_looks_back_past_a_long_gap(spark):
+    ev = day_events("2024-01-01", 2, hour=10)  # last event 2024-01-01 10:00:01
+    got = by_rule(R.checks_for_run_date(spark, fact_rows(spark, ev), "2024-03-15",
+                                        [R.latest_event_24h()]).collect())
+    r = got[("2024-03-15", "freshness_latest_event_within_24h")]
+    hours = (TS("2024-03-16T00:00:00") - TS("2024-01-01T10:00:01")).total_seconds() / 3600
+    assert r["status"] == "FAIL" and abs(r["metric_value"] - hours) < 1e-9

@@ -18,14 +18,13 @@ spreads per-entity scoring over the cluster.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.dates import DateLike, as_date
-from tidewatch.operators.stats import PURCHASE, revenue_sum
+from tidewatch.operators.stats import PURCHASE, lookback_start, revenue_sum
 
 BASELINE_ROWS = 14
 METRICS = ("events_count", "revenue", "cvr")
@@ -127,32 +126,6 @@ def anomalies_all_days(fact: DataFrame, **kw) -> DataFrame:
     return score(kpis_long(daily_kpis(fact)), **kw)
 
 
-def lookback_start(fact: DataFrame, run_date: DateLike, rows_needed: int,
-                   first_window_days: int = 30) -> dt.date | None:
-    """Earliest day to read so that ``rows_needed`` event days up to run_date are in.
-
-    Scoring one day needs that day and the ``rows_needed - 1`` event days
-    before it (frames count rows, not calendar days).  A calendar window is
-    tried first and doubled while it holds too few event days; each probe is a
-    pruned distinct over the window's day column (one number back to the
-    driver).  ``None``: the whole history up to run_date is needed.
-    """
-    d = as_date(run_date)
-    days = fact.select("event_date").where(F.col("event_date") <= F.lit(d))
-    earliest = None
-    span = first_window_days
-    while True:
-        start = d - dt.timedelta(days=span - 1)
-        present = days.where(F.col("event_date") >= F.lit(start)).distinct().count()
-        if present >= rows_needed:
-            return start
-        if earliest is None:
-            earliest = days.select(F.min("event_date")).first()[0]
-        if earliest is None or start <= earliest:
-            return None
-        span *= 2
-
-
 def anomalies_for_run_date(fact: DataFrame, run_date: DateLike, bounded: bool = True,
                            **kw) -> DataFrame:
     """Rows of one day.

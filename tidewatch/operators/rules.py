@@ -23,7 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.dates import DateLike, as_date, on_days
-from tidewatch.operators.stats import DUP_KEY, day_stats, day_stats_and_dups, day_stats_with_dups
+from tidewatch.operators.stats import (
+    DUP_KEY,
+    day_stats,
+    day_stats_and_dups,
+    day_stats_with_dups,
+    lookback_start,
+)
 
 # Fixed value: the table name the reference's rules report on.
 FACT_TABLE = "core.fact_events"
@@ -132,8 +138,8 @@ def rule_stats(fact: DataFrame, rules: Sequence[Rule], first: DateLike | None =
                dup_strategy: str = "hash_prepass") -> DataFrame:
     """Per-day aggregates the rules need.
 
-    With a range, only days ``[first-1, last]`` are read (every day up to
-    ``last`` when a rule needs the newest event so far).  Without the
+    With a range, only days ``[first-1, last]`` are read (back to the last
+    event day before ``first`` when a rule needs the newest event so far).  Without the
     duplicate rule this is one scan and one small shuffle.  With it,
     ``dup_strategy`` picks ``hash_prepass`` (shuffle key hashes, then the
     full key only for repeated hashes: least shuffle when duplicates are
@@ -144,7 +150,11 @@ def rule_stats(fact: DataFrame, rules: Sequence[Rule], first: DateLike | None =
         hi = as_date(last if last is not None else first)
         lo = as_date(first) - dt.timedelta(days=1)
         if "latest_event_ts" in need:
+            # the newest event up to `first` lies in the last event day <= first
+            start = lookback_start(fact, first, 1)
             fact = fact.where(F.col("event_date") <= F.lit(hi))
+            if start is not None:
+                fact = fact.where(F.col("event_date") >= F.lit(min(start, lo)))
         else:
             fact = on_days(fact, lo, hi)
     if "dup_groups" in need:
