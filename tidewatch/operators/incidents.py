@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.sqltext import sql_str
 from tidewatch.schemas import INCIDENT_STATUS_LOG, INCIDENTS, INCIDENT_STATUSES
 
 DEFAULT_OWNER = "data-reliability"
@@ -74,21 +75,12 @@ _CATALOG_COLS = ("rule_kind", "slug", "summary", "impacted", "root_cause_type",
                  "root_cause_details", "resolution_steps", "preventive_actions")
 
 
-def rule_kind(check_name: Column) -> Column:
-    """Check name without its threshold suffix (``..._min_1000``, ``..._24h``)."""
-    return F.regexp_replace(check_name, r"_(min_)?[0-9]+(\.[0-9]+)?h?$", "")
-
-
-def _sql_str(v: str | None) -> str:
-    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def catalog_df(spark: SparkSession) -> DataFrame:
     """The per-rule incident texts as an inline table.
 
     A handful of rows, one per rule kind: broadcast-safe by construction.
     """
-    rows = ", ".join("(" + ", ".join(_sql_str(x) for x in (k, *v)) + ")" for k, v in CATALOG.items())
+    rows = ", ".join("(" + ", ".join(sql_str(x) for x in (k, *v)) + ")" for k, v in CATALOG.items())
     return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS catalog({', '.join(_CATALOG_COLS)})"))
 
 
@@ -131,7 +123,7 @@ def open_incidents(spark: SparkSession, checks: DataFrame, owner: str = DEFAULT_
         "check_name AS detected_by",
         "concat_ws('; ', table_name, impacted) AS impacted_assets",
         "root_cause_type", "root_cause_details", "resolution_steps", "preventive_actions",
-        f"{_sql_str(owner)} AS owner",
+        f"{sql_str(owner)} AS owner",
     )
 
 
@@ -167,10 +159,6 @@ _RANK_SQL = ("array_position(array(" + ", ".join(f"'{s}'" for s in INCIDENT_STAT
              + "), status)")
 
 
-def status_rank(status: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(s) for s in INCIDENT_STATUSES]), status)
-
-
 def current_state(incidents: DataFrame, status_log: DataFrame) -> DataFrame:
     """Incidents with status and closed_at taken from the latest log row.
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.dates import DateLike, as_date, on_days
+from tidewatch.functions.sqltext import sql_str
 from tidewatch.operators.stats import (
     DUP_KEY,
     day_stats,
@@ -203,10 +204,6 @@ def with_prev_day(stats: DataFrame, cols: Sequence[str],
     return rows.selectExpr(*exprs)
 
 
-def _sql_text(s: str | None) -> str:
-    return "CAST(NULL AS STRING)" if s is None else "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _result_struct(rule: Rule, table_name: str) -> str:
     prefix = f"d{rule.day_offset}_"
     fields = {n: f"{prefix}{n}" for n in _stat_names(rule.metric) if n != "d"}
@@ -214,14 +211,14 @@ def _result_struct(rule: Rule, table_name: str) -> str:
     ok = rule.passes.format(m=metric)
     return (
         "named_struct("
-        f"'check_name', {_sql_text(rule.name)}, "
-        f"'table_name', {_sql_text(table_name)}, "
-        f"'severity', {_sql_text(rule.severity)}, "
+        f"'check_name', {sql_str(rule.name)}, "
+        f"'table_name', {sql_str(table_name)}, "
+        f"'severity', {sql_str(rule.severity)}, "
         f"'status', CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END, "
         f"'metric_value', {metric}, "
-        f"'expected_range', {_sql_text(rule.expected_range)}, "
+        f"'expected_range', {sql_str(rule.expected_range)}, "
         f"'failure_details', CASE WHEN {ok} THEN CAST(NULL AS STRING) "
-        f"ELSE {_sql_text(rule.failure_details)} END)"
+        f"ELSE {sql_str(rule.failure_details)} END)"
     )
 
 
