@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up, then ``BENCH_REPS`` times; the median wall
+Each query runs once to warm up, then ``BENCH_REPS`` (5) times; the median wall
 time is reported.  Results are fully computed (``noop`` sink) but not
 collected, so driver transfer is not measured.
 """
@@ -31,7 +31,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     from tidewatch.plans.queries import REGISTRY
     from tidewatch.session import build_session
 
