@@ -80,13 +80,13 @@ def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None
     store.overwrite_day("fact_events", rows, d)
 
 
-def _stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
+def stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
     if with_dups:
         return ST.day_stats_and_dups(fact)
     return ST.day_stats(fact).withColumn("dup_groups", F.lit(None).cast("bigint"))
 
 
-def _needs_dups(rules: Sequence[R.Rule]) -> bool:
+def needs_dups(rules: Sequence[R.Rule]) -> bool:
     return any("dup_groups" in r.needs for r in rules)
 
 
@@ -105,7 +105,7 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
     spark = store.spark
     ingest_day(store, d, spike)
     day_fact = store.read("fact_events").where(F.col("event_date") == F.lit(d))
-    store.overwrite_day("dq_day_stats", _stats_for(day_fact, _needs_dups(rules)), d)
+    store.overwrite_day("dq_day_stats", stats_for(day_fact, needs_dups(rules)), d)
 
     stats = _stored_stats(store, d)
     spine = spark.range(1).select(F.lit(d).alias("check_date"))
@@ -131,7 +131,7 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
         rows = mask_sessions(rows, spike[0], spike[1])
     store.overwrite_days("fact_events", rows)
 
-    store.overwrite_days("dq_day_stats", _stats_for(store.read("fact_events"), _needs_dups(rules)))
+    store.overwrite_days("dq_day_stats", stats_for(store.read("fact_events"), needs_dups(rules)))
     store.overwrite_days("dq_check_results", R.evaluate_rules(_stored_stats(store), rules))
     store.overwrite_days("dq_anomalies", A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats")))))
     open_new_incidents(store, store.read("dq_check_results"))

@@ -78,7 +78,7 @@ def process_batch(store: Store, batch: DataFrame, batch_id: int,
     history = store.read("fact_events_all").join(touched, "event_date", "left_semi")
     store.overwrite_days("fact_events", history)
     day_fact = store.read("fact_events").join(touched, "event_date", "left_semi")
-    store.overwrite_days("dq_day_stats", daily._stats_for(day_fact, daily._needs_dups(rules)))
+    store.overwrite_days("dq_day_stats", daily.stats_for(day_fact, daily.needs_dups(rules)))
 
     stats = store.read("dq_day_stats")
     later = stats.where(F.col("event_date") >= first).select(F.col("event_date").alias("check_date"))
