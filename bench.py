@@ -46,6 +46,13 @@ def main() -> None:
             run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 4)
+    # Speed of the machine at measurement time: a trivial full scan of the
+    # events file (its drift explains run-to-run differences of the totals).
+    probe = []
+    for _ in range(5):
+        t0 = time.perf_counter()
+        spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
+        probe.append(time.perf_counter() - t0)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_queries_total_sec",
@@ -54,6 +61,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "env_probe_scan_sec": round(statistics.median(probe), 4),
     }))
     spark.stop()
 
