@@ -25,7 +25,7 @@ def build_session(
     """A session with the settings every job here assumes.
 
     - session time zone UTC (event time is zone-less ``timestamp_ntz``),
-    - AQE on, with partition coalescing and skew-join splitting,
+    - AQE on, with size-driven partition coalescing and skew-join splitting,
     - no web UI, and no per-call Python call-site capture (a debugging aid
       that costs several JVM round trips for every Column function).
     """
@@ -40,6 +40,9 @@ def build_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # coalesce shuffle partitions by size (advisory 64 MB), not to keep the
+        # default parallelism: fewer tiny tasks on a shared cluster
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
