@@ -104,3 +104,19 @@ def test_export_reports(spark, tmp_path):
     assert [r["check_date"] for r in health] == ["2024-01-01", "2024-01-02"]
     checks = spark.read.option("header", True).csv(out["check_results_with_incidents"])
     assert checks.count() == 8 and "incident_id" in checks.columns
+
+
+def test_init_tables_recovers_existing_folders(spark):
+    from tidewatch.sources.tables import TABLES
+
+    store = Store.scratch(spark, "t_recover")
+    daily.load_history(store, fact_rows(spark, day_events("2024-01-01", 5) + day_events("2024-01-02", 3)))
+    daily.backfill(store)
+    before = {t: store.read(t).count() for t in TABLES}
+    for t in TABLES:  # external tables: dropping the registration keeps the files
+        spark.sql(f"DROP TABLE {store.name(t)}")
+    again = Store(spark, root=store.root, database=store.database).init_tables()
+    after = {t: again.read(t).count() for t in TABLES}
+    assert after == before and after["fact_events"] == 8
+    daily.run_day(again, "2024-01-02")  # and keeps working on the recovered tables
+    assert again.read("dq_check_results").count() == before["dq_check_results"]
