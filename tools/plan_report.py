@@ -25,14 +25,16 @@ def main() -> None:
            f"Generated by `tools/plan_report.py` on `{sf_dir}` after execution (final AQE plans).", ""]
     for name in HEADLINE:
         df = REGISTRY[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()  # runs this DataFrame's own plan, so the final adaptive plan is shown
         plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]  # keep the final adaptive plan only
         scans = re.findall(r"FileScan parquet \S*\[([^\]]*)\].*?PushedFilters: (\[[^\]]*\])", plan)
         lines = [ln for ln in plan.splitlines() if ln.strip()]
-        tree = [re.sub(r"#\d+L?", "", ln)[:160] for ln in lines if "FileScan" not in ln or True]
+        tree = [re.sub(r"#\d+L?", "", ln)[:160] for ln in lines]
         out += [f"## {name}", "",
                 f"exchanges: {plan.count('Exchange ') - plan.count('BroadcastExchange')}, "
-                f"broadcasts: {plan.count('BroadcastExchange')}, parquet scans: {plan.count('FileScan parquet')}", ""]
+                f"broadcasts: {plan.count('BroadcastExchange')}, parquet scans: {plan.count('FileScan parquet')}, "
+                f"whole-stage codegen stages: {len(set(re.findall(r'[*][(](\d+)[)]', plan)))}", ""]
         for cols, pushed in scans:
             out.append(f"- scan columns `[{re.sub(r'#[0-9]+L?', '', cols)}]`, pushed filters `{pushed}`")
         out += ["", "```", *tree[:60], "```", ""]
