@@ -43,7 +43,10 @@ def load_history(store: Store, source: DataFrame, rebalance: bool = True) -> Non
     Raw files usually mix days, so a plain partitioned write would leave one
     small file per task and day.  ``REBALANCE(event_date)`` clusters rows by
     day first and lets AQE size the write tasks: a small day becomes one
-    file, a huge (skewed) day is split over several tasks.
+    file, a huge (skewed) day is split over several tasks.  It costs one
+    shuffle of the loaded rows, paid once per load; pass ``rebalance=False``
+    when the raw files are already cut by day (each task then writes one or
+    two days anyway).
     """
     if rebalance:
         source = source.hint("rebalance", "event_date")
