@@ -120,3 +120,21 @@ def test_init_tables_recovers_existing_folders(spark):
     assert after == before and after["fact_events"] == 8
     daily.run_day(again, "2024-01-02")  # and keeps working on the recovered tables
     assert again.read("dq_check_results").count() == before["dq_check_results"]
+
+
+def test_csv_extract_format(spark):
+    import glob
+
+    from tidewatch.session import scratch_path
+    from tidewatch.sources.tables import export_csv
+
+    df = spark.createDataFrame(
+        [("b", None, D("2024-01-02")), ("a", "x", D("2024-01-01"))], "k string, v string, d date"
+    ).withColumn("t", F.to_timestamp(F.lit("2024-01-01 10:00:00")))
+    path = export_csv(df, scratch_path(spark, "csv-format"), ["k"])
+    files = [f for f in glob.glob(path.replace("file:", "") + "/part-*.csv")]
+    assert len(files) == 1  # small report: one file
+    lines = open(files[0]).read().splitlines()
+    assert lines[0] == "k,v,d,t"
+    assert lines[1] == "a,x,2024-01-01,2024-01-01 10:00:00.000000"
+    assert lines[2] == "b,,2024-01-02,2024-01-01 10:00:00.000000"  # NULL -> empty field
