@@ -24,10 +24,15 @@ def clean_events(raw: DataFrame) -> DataFrame:
     - price: plain-number text → double, else NULL;
     - event_id: MD5 over the *raw* (untrimmed) values, NULLs skipped.
 
-    The parse is computed once in a projection, then filtered, so both the
-    filter and the output use the same value.
+    The time is parsed once: it is produced by a one-element generator
+    (``explode(array(parse))``), and Catalyst never pushes a filter on a
+    generated column below its generator -- a plain projection + filter
+    would be rewritten to evaluate the (regex + cast) parse twice.  The
+    remaining columns are computed after the filter, for kept rows only.
     """
-    typed = raw.select(
+    parsed = raw.select("*", F.explode(F.array(parse_event_ts("event_time"))).alias("_event_ts"))
+    kept = parsed.where(F.col("_event_ts").isNotNull())
+    return kept.select(
         F.col("user_id").cast("string").alias("user_id"),
         F.col("user_session").cast("string").alias("session_id"),
         F.col("product_id").cast("string").alias("product_id"),
@@ -35,13 +40,12 @@ def clean_events(raw: DataFrame) -> DataFrame:
         blank_to_null("category_code").alias("category_code"),
         blank_to_null("brand").alias("brand"),
         normalize_event_type("event_type").alias("event_type"),
-        parse_event_ts("event_time").alias("event_ts"),
+        F.col("_event_ts").alias("event_ts"),
         safe_price_cast("price").alias("price"),
         event_id_md5("user_id", "user_session", "event_time", "event_type", "product_id",
                      "price").alias("event_id"),
+        F.to_date("_event_ts").alias("event_date"),
     )
-    return typed.where(F.col("event_ts").isNotNull()).withColumn(
-        "event_date", F.to_date("event_ts"))
 
 
 def distinct_event_dates(fact: DataFrame) -> DataFrame:
