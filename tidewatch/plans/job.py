@@ -33,11 +33,14 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     when.add_argument("--run-date", help="run one day (yyyy-MM-dd)")
     when.add_argument("--run-all", action="store_true", help="run every day of the history")
     p.add_argument("--reset-replay", action="store_true", help="empty the daily table first")
-    p.add_argument("--volume-min-rows", type=int, default=1000)
-    p.add_argument("--null-max-pct", type=float, default=1.0)
+    p.add_argument("--volume-min-rows", type=int, default=1000,
+                   help="previous-day volume rule: minimum rows (default 1000)")
+    p.add_argument("--null-max-pct", type=float, default=1.0,
+                   help="session null-rate rule: maximum percent (default 1.0)")
     p.add_argument("--demo-spike", action="store_true", help="mask session ids on --spike-date")
-    p.add_argument("--spike-date", default=None)
-    p.add_argument("--spike-rate", type=float, default=daily.SPIKE_RATE)
+    p.add_argument("--spike-date", default=None, help="day to mask (yyyy-MM-dd)")
+    p.add_argument("--spike-rate", type=float, default=daily.SPIKE_RATE,
+                   help="share of that day's rows to mask (default 0.20)")
     p.add_argument("--export", action="store_true", help="write the CSV extracts")
     p.add_argument("--out-dir", default=None, help="extract folder (default: under the work root)")
     return p.parse_args(argv)
