@@ -123,6 +123,43 @@ def _hash(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(SEED), *[F.coalesce(x.cast("string"), F.lit("")) for x in parts]))
 
 
+def _sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """``docs`` with _id, _source (never null) and _n (tokens)."""
+    return docs.withColumns({
+        "_id": F.col(id_col), "_n": word_tokens(F.col(text_col)),
+        "_source": F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))})
+
+
+def _dealt(rows: DataFrame, entropy: float | None, max_repeats: float | None, budget: float | None) -> DataFrame:
+    """``rows`` (of ``_sized``) as often as the weights ask, with _epoch, _block and _at (order in the block)."""
+    sizes = written(rows.select(F.col("_id"), F.col("_source").alias("source"), F.col("_n").alias("n_tokens")), "mix-sizes")
+    shares = written(source_shares(sizes), "mix-shares")
+    few = shares.count()
+    a = exponent(shares, entropy, max_repeats, budget) if few else 1.0
+    plan = quotas(shares, a, budget)
+    parts = shares.select(F.col("source").alias("_source"), F.ceil(F.sqrt("n_docs")).cast("long").alias("_parts"))
+    # joined before blocks are known: a source may hold a third of all rows, so not by shuffle unless sources are many
+    parts = F.broadcast(parts) if few <= FEW_SOURCES else parts
+    spot = F.conv(F.substring(_hash(F.lit("block"), F.col("_id")), 1, 12), 16, 10).cast("long")
+
+    def placed(x: DataFrame) -> DataFrame:
+        return x.join(parts, "_source").withColumn("_block", F.pmod(spot, F.col("_parts"))).drop("_parts")
+
+    blocks = placed(sizes.withColumnsRenamed({"source": "_source", "n_tokens": "_n"})).groupBy(
+        F.col("_source").alias("source"), F.col("_block").alias("block")).agg(F.sum("_n").alias("block_tokens"))
+    blocks = blocks.join(plan, "source")
+    last = Window.partitionBy("source").orderBy(_hash(F.col("full"), F.col("source"), F.col("block")), "block")
+    before = F.sum("block_tokens").over(last.rowsBetween(Window.unboundedPreceding, 0)) - F.col("block_tokens")
+    blocks = blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"),
+                           F.col("full").alias("_full"), (F.col("rest") - before).alias("_left"))
+    inner = Window.partitionBy("_source", "_block").orderBy(_hash(F.col("_source"), F.col("_id")), "_id", "_n")
+    out = placed(rows).join(blocks, ["_source", "_block"]).withColumns({
+        "_at": F.row_number().over(inner),
+        "_upto": F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, 0))})
+    out = out.withColumn("_copies", F.col("_full") + F.when(F.col("_upto") <= F.col("_left"), 1).otherwise(0))
+    return out.filter("_copies > 0").withColumn("_epoch", F.explode(F.expr("sequence(0L, _copies - 1)")))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         entropy: float | None = ENTROPY, max_repeats: float | None = MAX_REPEATS,
         budget: float | None = 1.0) -> DataFrame:
@@ -130,45 +167,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
     Reading a source's rows by epoch, block_order and doc_order gives its stream.
     """
-    sized = docs.select(
-        F.col(id_col).alias("doc_id"), F.concat(F.lit("="), F.col(source_col).cast("string")).alias("source"),
-        word_tokens(F.col(text_col)).alias("n_tokens"))
-    sized = written(sized.withColumn("source", F.coalesce("source", F.lit(""))), "mix-sizes")
-    shares = written(source_shares(sized), "mix-shares")
-    if shares.isEmpty():
-        a = 1.0
-    else:
-        a = exponent(shares, entropy, max_repeats, budget)
-    plan = quotas(shares, a, budget)
-    n_blocks = F.ceil(F.sqrt("n_docs")).cast("long")
-    # one row per source against its documents: too few sources to part by source, so the hash of the
-    # document, which any source size can use, is fixed first and the block follows from it
-    dealt = sized.join(F.broadcast(shares.select("source", n_blocks.alias("n_blocks")))
-                       if _few(shares) else shares.select("source", n_blocks.alias("n_blocks")), "source")
-    spot = F.conv(F.substring(_hash(F.lit("block"), F.col("doc_id")), 1, 12), 16, 10).cast("long")
-    dealt = dealt.select("doc_id", "source", "n_tokens", F.pmod(spot, F.col("n_blocks")).alias("block"))
-    blocks = dealt.groupBy("source", "block").agg(F.sum("n_tokens").alias("block_tokens")).join(plan, "source")
-    last = Window.partitionBy("source").orderBy(_hash(F.col("full"), F.col("source"), F.col("block")), "block")
-    blocks = blocks.withColumn(
-        "before", F.sum("block_tokens").over(last.rowsBetween(Window.unboundedPreceding, 0)) - F.col("block_tokens")
-    ).select("source", "block", "full", (F.col("rest") - F.col("before")).alias("left"), "block_tokens")
-    inner = Window.partitionBy("source", "block").orderBy(_hash(F.col("source"), F.col("doc_id")), "doc_id", "n_tokens")
-    rows = dealt.join(blocks, ["source", "block"]).select(
-        "doc_id", "source", "block", "n_tokens", "full", "left",
-        F.row_number().over(inner).alias("doc_order"),
-        F.sum("n_tokens").over(inner.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    copies = F.col("full") + F.when(F.col("upto") <= F.col("left"), 1).otherwise(0)
-    rows = rows.withColumn("copies", copies).filter("copies > 0")
-    rows = rows.select("*", F.explode(F.expr("sequence(0L, copies - 1)")).alias("epoch"))
-    return rows.select(
-        "doc_id", F.when(F.col("source") != "", F.substring("source", 2, 1 << 30)).alias("source"), "n_tokens",
-        F.col("epoch").cast("int").alias("epoch"), F.col("block").cast("int").alias("block"),
-        _hash(F.col("epoch"), F.col("source"), F.col("block")).alias("block_order"), "doc_order")
+    rows = _sized(docs, id_col, source_col, text_col).select("_id", "_source", "_n")
+    return _dealt(rows, entropy, max_repeats, budget).select(
+        F.col("_id").alias("doc_id"),
+        F.when(F.col("_source") != "", F.expr("substring(_source, 2)")).alias("source"), F.col("_n").alias("n_tokens"),
+        F.col("_epoch").cast("int").alias("epoch"), F.col("_block").cast("int").alias("block"),
+        _hash(F.col("_epoch"), F.col("_source"), F.col("_block")).alias("block_order"), F.col("_at").alias("doc_order"))
 
 
-#: A table of sources up to this many rows is broadcast; a larger one is joined by shuffle.
-FEW_SOURCES = 10_000
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+               entropy: float | None = ENTROPY, max_repeats: float | None = MAX_REPEATS,
+               budget: float | None = 1.0) -> DataFrame:
+    """The input's own rows and columns, each as often as ``mix`` takes it."""
+    rows = _dealt(_sized(docs, id_col, source_col, text_col), entropy, max_repeats, budget)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _few(shares: DataFrame) -> bool:
-    return shares.count() <= FEW_SOURCES
+#: A table of sources up to this many rows is broadcast; a larger one is joined by shuffle.
+FEW_SOURCES = 10_000

@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, mixing, pieces, quality, secrets, tokens
+from . import imatch, minhash, mixing, pieces, quality, secrets, tokens
 from .common import crc_mod, table
 
 
+def op1_minhash_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies: three-word shingles, Jaccard similarity of 0.85 or more."""
+    return minhash.near_groups(table(spark, sf_dir, "documents"), k=3, similarity=0.85)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from labels of rows with crc32(doc_id) mod 5 other than 0."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -47,6 +52,6 @@ def op10_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op3_token_counts, op6_source_mixture, op8_imatch_fingerprints, op9_secret_scan,
+    op1_minhash_tensored, op2_quality_rules, op3_token_counts, op6_source_mixture, op8_imatch_fingerprints, op9_secret_scan,
     op10_sentencepiece_roundtrip,
 )}
