@@ -12,8 +12,10 @@ Candidates never are all pairs of a bucket:
    shared only if both halves are).
 3. In each bucket every class meets the bucket's hub, its most connected class; the
    pairs are verified on the full shingle sets and links make components.
-4. Only classes of different components that still share a bucket are paired, when
-   their sizes and their minhashes allow the threshold; verified likewise.
+4. Only classes of different components that still share a bucket are paired, once,
+   when the threshold is within reach of their sizes and of 1,024 further minhashes,
+   one bit each (a pair at the threshold fails this with a chance under 1e-6);
+   verified likewise.
 
 No bucket is capped.  Verification reads whole texts.
 
@@ -43,6 +45,8 @@ MISS = 3e-5
 #: Minhashes in a half key.
 HALF = 2
 SEED = 20_011
+#: Minhashes of one bit each that tell remaining pairs apart.
+BITS = 1024
 _WORDS_REMEMBERED = 500_000
 
 
@@ -62,6 +66,17 @@ def least_agreeing(similarity: float, n: int, miss: float = 1e-6) -> int:
     return n
 
 
+def most_differing(similarity: float, n: int = BITS, miss: float = 1e-6) -> int:
+    """More differing bits of ``n`` than this have a chance under ``miss`` at the threshold."""
+    p = (1 - similarity) / 2
+    total, k = 1.0, -1
+    while total > miss:
+        k += 1
+        total -= math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+                          + k * math.log(p) + (n - k) * math.log(1 - p))
+    return k
+
+
 _hashes: dict[bytes, int] = {}
 
 
@@ -100,8 +115,9 @@ def minhashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """``n`` minhashes (32 bits each) of a non-empty set."""
     a, b = _factors(n)
     best = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 4096):  # long texts in blocks
-        x = hashes[at:at + 4096, None] * a + b
+    step = max(1, (1 << 18) // n)
+    for at in range(0, len(hashes), step):  # long texts in blocks
+        x = hashes[at:at + step, None] * a + b
         x ^= x >> np.uint64(29)
         best = np.minimum(best, (x * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0))
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
@@ -156,11 +172,49 @@ def _agreeing(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
 
 
+def _sizes_fit(x: str, y: str, percent: int) -> Column:
+    n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
 def _possible(x: str, y: str, percent: int, least: int) -> Column:
     """Sizes allow the threshold and enough minhashes agree."""
-    n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (
-        _agreeing(F.col(f"{x}.minhash"), F.col(f"{y}.minhash")) >= least)
+    return _sizes_fit(x, y, percent) & (_agreeing(F.col(f"{x}.minhash"), F.col(f"{y}.minhash")) >= least)
+
+
+def _halves(first: int, end: int) -> Column:
+    """Half keys number ``first`` to ``end`` - 1."""
+    return F.expr(f"transform(sequence({first}, {end - 1}), i -> xxhash64(i, slice(minhash, i * {HALF} + 1, {HALF})))")
+
+
+def _first_meeting(halves: str, own: str) -> Column:
+    """This row's half key is the first that the pair shares: a pair is made in one bucket only."""
+    same = F.zip_with(F.col(f"x.{halves}"), F.col(f"y.{halves}"), lambda p, q: p == q)
+    return F.get(F.col(f"x.{halves}"), F.array_position(same, True) - 1) == F.col(f"x.{own}")
+
+
+def bit_sketches(docs: DataFrame, k: int) -> DataFrame:
+    """(id, signature, bits): one bit of each of BITS further minhashes."""
+    ship_code(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs, bits = [], []
+            for text in batch.column("text"):
+                s = shingles(text.as_py(), k)
+                signs.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                one = (minhashes(s, BITS) & 1) if len(s) else np.zeros(BITS, np.int32)
+                bits.append(np.packbits(one.astype(np.uint8)).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(signs, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
+                names=["id", "signature", "bits"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, signature binary, bits array<long>")
+
+
+def _differing(x: str, y: str) -> Column:
+    """Bits in which two bit sketches differ."""
+    return F.expr(" + ".join(f"bit_count({x}.bits[{i}] ^ {y}.bits[{i}])" for i in range(BITS // 64)))
 
 
 def near_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
@@ -180,14 +234,13 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
     texts = rows.filter("doc_id is not null")
 
     # half keys that several classes have; a key needs two such halves
-    half = classes.select("id", F.posexplode(F.expr(
-        f"transform(sequence(0, {2 * m - 1}), i -> xxhash64(i, slice(minhash, i * {HALF} + 1, {HALF})))")).alias("i", "h"))
+    half = classes.select("id", F.posexplode(_halves(0, 2 * m)).alias("i", "h"))
     seen = half.groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     own = half.join(seen, ["i", "h"]).groupBy("id").agg(
         F.collect_list(F.when(F.col("i") < m, F.col("h"))).alias("u"),
         F.collect_list(F.when(F.col("i") >= m, F.col("h"))).alias("v"), F.sum("n").alias("reach"))
     keys = own.filter("size(u) > 0 and size(v) > 0").select("id", "reach", "v", F.explode("u").alias("x"))
-    keys = keys.select("id", "reach", F.explode(F.expr("transform(v, y -> xxhash64(x, y))")).alias("key"))
+    keys = keys.select("id", "reach", "x", F.explode("v").alias("y")).withColumn("key", F.xxhash64("x", "y"))
     keys = written(keys, "minhash-keys")
 
     # the hub of a bucket: the class that shares most half keys with others
@@ -206,12 +259,18 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
 
     # classes of different components that still share a bucket
     left = keys.join(group, keys["id"] == group["node"], "left").select(
-        "key", "id", F.coalesce("component", "id").alias("part"))
+        "key", "x", "y", "id", F.coalesce("component", "id").alias("part"))
     mixed = left.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
     left = left.join(mixed, "key")
-    left = left.join(classes.select("id", "n_shingles", "minhash"), "id")
+    wide = bit_sketches(texts.join(left.select(F.col("id").alias("doc_id")).distinct(), "doc_id"), k)
+    # rows that share an id: the class's own text is the one whose set it has
+    facts = classes.join(wide, ["id", "signature"]).select(
+        "id", "n_shingles", "bits", *[_halves(at, at + m).alias(c) for c, at in (("us", 0), ("vs", m))])
+    left = left.join(facts.dropDuplicates(["id"]), "id")
     x, y = left.alias("x"), left.alias("y")
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & _possible("x", "y", percent, least))
+    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part"))
+                  & _sizes_fit("x", "y", percent) & (_differing("x", "y") <= most_differing(similarity))
+                  & _first_meeting("us", "x") & _first_meeting("vs", "y"))
     more = more.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     more = written(more, "minhash-more")
     if not more.isEmpty():
