@@ -134,6 +134,21 @@ class PieceBpe:
     def joined(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes[i] for i in ids])
 
+    def id_arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text as uint16; the distinct words of all texts are merged together."""
+        cut = [self.words(t) for t in texts]
+        new = list(set().union(*cut))
+        flat, at = self.encode_flat(new)
+        flat, at = np.array(flat, np.uint16), np.array(at, np.int64)
+        number = {w: i for i, w in enumerate(new)}
+        out = []
+        for c in cut:
+            w = np.fromiter(map(number.__getitem__, c), np.int64, len(c))
+            size = at[w + 1] - at[w]
+            ends = np.cumsum(size)
+            out.append(flat[np.arange(ends[-1] if len(c) else 0) + np.repeat(at[w] - ends + size, size)])
+        return out
+
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
         return [i for ids in self.encode_words(self.words(text)) for i in ids]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, minhash, mixing, pieces, quality, secrets, tokens
+from . import imatch, minhash, mixing, neighbours, packing, pieces, quality, secrets, tokens
 from .common import crc_mod, table
 
 
@@ -30,11 +30,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of 2,048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents drawn to tempered source weights, with a budget of the corpus's own size."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every vector whose id is divisible by 100."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, with likenesses."""
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
@@ -52,6 +62,7 @@ def op10_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_tensored, op2_quality_rules, op3_token_counts, op6_source_mixture, op8_imatch_fingerprints, op9_secret_scan,
+    op1_minhash_tensored, op2_quality_rules, op3_token_counts, op5_packed_ids, op6_source_mixture,
+    op7_projected_neighbours, op8_imatch_fingerprints, op9_secret_scan,
     op10_sentencepiece_roundtrip,
 )}
