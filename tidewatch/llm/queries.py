@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, minhash, mixing, neighbours, packing, pieces, quality, secrets, tokens
+from . import imatch, lm, minhash, mixing, neighbours, packing, pieces, quality, secrets, tokens
 from .common import crc_mod, table
 
 
@@ -30,6 +30,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and attention-model scores; rows with crc32(doc_id) mod 7 = 2 are held out."""
+    key = F.col("doc_id")
+    scored = lm.score(table(spark, sf_dir, "documents"), crc_mod(key, 7) != 2, public_tokenizers.path("byte_bpe_50k.json"))
+    return scored.select("doc_id", (crc_mod(key, 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as packed rows of 2,048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -62,7 +70,7 @@ def op10_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_tensored, op2_quality_rules, op3_token_counts, op5_packed_ids, op6_source_mixture,
+    op1_minhash_tensored, op2_quality_rules, op3_token_counts, op4_attention_scores, op5_packed_ids, op6_source_mixture,
     op7_projected_neighbours, op8_imatch_fingerprints, op9_secret_scan,
     op10_sentencepiece_roundtrip,
 )}
