@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, words, written
+from .common import BLANKS, id_text, written
 
 #: Band of document frequency, as shares of all documents.
 LOW, HIGH = 1 / 500, 1 / 4
@@ -33,33 +33,34 @@ KEEP = (2, 2, 2, 2, 8, 8, 8, 8, 32, 32, 32, 32, 128, 128, 128, 128)
 BLOCK_ROWS, MAX_BLOCKS = 1000, 65_536
 
 _EMPTY = "0" * 8
+_SIDE = 1 << 16  # marks terms of the edited text
 _ROW_MARK = 0  # stands in the lexicon so that a text without terms keeps a row
 
 
 def term_hashes(text: Column) -> Column:
-    """Distinct 64-bit term hashes of a text."""
-    return F.array_distinct(F.transform(words(text), lambda w: F.xxhash64(w)))
+    """Distinct 64-bit hashes of a text's lower-cased terms (that of the empty term may be among them)."""
+    return F.array_distinct(F.transform(F.split(F.lower(text), BLANKS), lambda w: F.xxhash64(w)))
 
 
 def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     """(term, code) of the terms in the band, over all documents.
 
-    ``code`` is the term's hash with its low 16 bits telling, one bit per random
-    lexicon, whether that lexicon keeps the term.
+    ``code`` is the term's hash with its low 17 bits replaced: one bit per random
+    lexicon tells whether that lexicon keeps the term, the 17th is left for the text's side.
     """
     n = texts.agg(F.count(F.lit(1)).alias("n"))
     df = texts.select(F.explode(term_hashes(F.col("text"))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("df"))
-    band = df.crossJoin(F.broadcast(n)).filter(
+    band = df.filter(F.col("term") != F.xxhash64(F.lit(""))).crossJoin(F.broadcast(n)).filter(
         (F.col("df") >= F.col("n") * low) & (F.col("df") <= F.greatest(F.col("n") * high, F.lit(1))))
     mask = sum((F.when(F.pmod(F.xxhash64(F.col("term"), F.lit(r)), F.lit(k)) == 0, 1 << r).otherwise(0)
                 for r, k in enumerate(KEEP)), F.lit(0))
-    return band.select("term", F.col("term").bitwiseAND(~0xFFFF).bitwiseOR(mask.cast("long")).alias("code"))
+    return band.select("term", F.col("term").bitwiseAND(~0x1FFFF).bitwiseOR(mask.cast("long")).alias("code"))
 
 
 def fingerprint(codes: Column, text_hash: Column) -> Column:
-    """Fingerprint text from the lexicon codes of a document's distinct terms."""
-    ordered = F.array_sort(codes)
+    """Fingerprint text from the lexicon codes of a text's distinct terms (without the side's bit)."""
+    ordered = F.array_sort(F.transform(codes, lambda c: c.bitwiseAND(~_SIDE)))
 
     def signature(r: int) -> Column:
         kept = F.filter(ordered, lambda c: c.bitwiseAND(1 << r) != 0)
@@ -129,21 +130,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     flow = flow.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), n - half),
         F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)))
-    tagged = lambda side, text: F.transform(
-        term_hashes(text), lambda t: F.struct(F.lit(side).alias("side"), t.alias("term")))
-    mark = F.array(F.struct(F.lit(2).alias("side"), F.lit(_ROW_MARK).cast("long").alias("term")))
-    # the row's own columns are made before the terms are spread out, once per row
+    # the row's own columns are made once and ride on one marked entry, so the spread-out rows stay narrow
     flow = flow.select(
-        "block", "at", "extra", "doc_id", n.cast("long").alias("n_chars"),
-        F.sha2("text", 256).alias("text_sha256"), F.sha2("edited", 256).alias("edited_sha256"),
-        F.concat(mark, tagged(0, F.col("text")), tagged(1, F.col("edited"))).alias("terms"))
-    flow = flow.select(*[c for c in flow.columns if c != "terms"], F.explode("terms").alias("t"))
-    hits = flow.select("*", F.col("t.side").alias("side"), F.col("t.term").alias("term")).drop("t").join(lex, "term")
+        "block", "at", F.struct(
+            "extra", "doc_id", n.cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
+            F.sha2("edited", 256).alias("edited_sha256")).alias("about"),
+        F.array(
+            F.struct(F.lit(0).alias("side"), F.concat(
+                F.array(F.lit(_ROW_MARK).cast("long")), term_hashes(F.col("text"))).alias("terms")),
+            F.struct(F.lit(_SIDE).alias("side"), term_hashes(F.col("edited")).alias("terms"))).alias("texts"))
+    flow = flow.select("block", "at", "about", F.explode("texts").alias("t"))
+    flow = flow.select("block", "at", "about", F.col("t.side").alias("side"), F.explode("t.terms").alias("term"))
+    flow = flow.select("block", "at", F.when(F.col("term") == _ROW_MARK, F.col("about")).alias("about"), "side", "term")
+    code = F.when(F.col("term") != _ROW_MARK, F.col("code").bitwiseOR(F.col("side").cast("long")))
     # rows of a document stay in the task that holds its block: no shuffle here
-    codes = lambda side: F.collect_list(F.when(F.col("side") == side, F.col("code")))
-    found = hits.groupBy("block", "at").agg(
-        *[F.first(c).alias(c) for c in ("extra", "doc_id", "n_chars", "text_sha256", "edited_sha256")],
-        codes(0).alias("own"), codes(1).alias("changed"))
+    found = flow.join(lex, "term").groupBy("block", "at").agg(
+        F.first("about", ignorenulls=True).alias("about"), F.collect_list(code).alias("codes"))
+    side = lambda s: F.filter("codes", lambda c: c.bitwiseAND(_SIDE) == s)
+    found = found.select("block", "at", "about.*", side(0).alias("own"), side(_SIDE).alias("changed"))
     found = found.select(
         "block", "at", "extra", "doc_id", "n_chars", "edited_sha256",
         fingerprint(F.col("own"), F.col("text_sha256")).alias("fingerprint"),
