@@ -59,11 +59,9 @@ def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame
 
 
 def fingerprint(codes: Column, text_hash: Column) -> Column:
-    """Fingerprint text from the lexicon codes of a text's distinct terms (without the side's bit)."""
-    ordered = F.array_sort(F.transform(codes, lambda c: c.bitwiseAND(~_SIDE)))
-
+    """Fingerprint text from the sorted lexicon codes of a text's distinct terms (without the side's bit)."""
     def signature(r: int) -> Column:
-        kept = F.filter(ordered, lambda c: c.bitwiseAND(1 << r) != 0)
+        kept = F.filter(codes, lambda c: c.bitwiseAND(1 << r) != 0)
         h = F.lpad(F.hex(F.xxhash64(kept).bitwiseAND(0xFFFFFFFF)), 8, "0")
         return F.when(F.size(kept) == 0, _EMPTY).when(h == _EMPTY, "00000001").otherwise(F.lower(h))
 
@@ -146,7 +144,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # rows of a document stay in the task that holds its block: no shuffle here
     found = flow.join(lex, "term").groupBy("block", "at").agg(
         F.first("about", ignorenulls=True).alias("about"), F.collect_list(code).alias("codes"))
-    side = lambda s: F.filter("codes", lambda c: c.bitwiseAND(_SIDE) == s)
+    # sorted once, here; the fingerprints below only filter
+    found = found.withColumn("codes", F.sort_array("codes"))
+    side = lambda s: F.transform(F.filter("codes", lambda c: c.bitwiseAND(_SIDE) == s),
+                                 lambda c: c.bitwiseAND(~_SIDE))
     found = found.select("block", "at", "about.*", side(0).alias("own"), side(_SIDE).alias("changed"))
     found = found.select(
         "block", "at", "extra", "doc_id", "n_chars", "edited_sha256",
