@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from conftest import SF_SMALL, D, day_events, fact_rows
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.plans import daily
@@ -138,3 +139,69 @@ def test_csv_extract_format(spark):
     assert lines[0] == "k,v,d,t"
     assert lines[1] == "a,x,2024-01-01,2024-01-01 10:00:00.000000"
     assert lines[2] == "b,,2024-01-02,2024-01-01 10:00:00.000000"  # NULL -> empty field
+
+
+def test_stats_follow_ingest_and_reset(spark):
+    """Checks after a reset see only the facts that are there."""
+    store = Store.scratch(spark, "t_follow")
+    daily.load_history(store, fact_rows(spark, [e for d, n in (("2024-01-01", 5), ("2024-01-02", 6), ("2024-01-03", 7))
+                                                for e in day_events(d, n, purchases=1)]))
+    daily.backfill(store)
+    daily.reset_replay(store)
+    daily.run_day(store, "2024-01-03")
+    got = {r["check_name"]: (r["status"], r["metric_value"]) for r in
+           store.read("dq_check_results").where("check_date = DATE '2024-01-03'").collect()}
+    assert got["purchase_events_vanish_prev_day"] == ("FAIL", 0.0)
+    daily.ingest_day(store, "2024-01-02")
+    daily.run_day(store, "2024-01-03")
+    got = {r["check_name"]: r["status"] for r in
+           store.read("dq_check_results").where("check_date = DATE '2024-01-03'").collect()}
+    assert got["purchase_events_vanish_prev_day"] == "PASS"
+
+
+def test_full_load_replaces_history_and_append_keeps_it(spark):
+    store = Store.scratch(spark, "t_reload")
+    daily.load_history(store, fact_rows(spark, day_events("2024-01-01", 5) + day_events("2024-01-02", 3)))
+    daily.append_days(store, fact_rows(spark, day_events("2024-01-03", 2)))
+    assert store.read("fact_events_all").count() == 10
+    daily.load_history(store, fact_rows(spark, day_events("2024-01-02", 4)))
+    assert store.read("fact_events_all").count() == 4
+
+
+def test_store_resolves_incidents_once(spark):
+    store = Store.scratch(spark, "t_resolve")
+    daily.load_history(store, fact_rows(spark, day_events("2024-01-01", 5, purchases=1, null_sessions=5)
+                                        + day_events("2024-01-02", 5, purchases=1)))
+    daily.backfill(store)
+    daily.backfill(store)
+    log = store.read("dq_incident_status_log").where("incident_id = 'INC-2024-01-01-NULL-SESSION'")
+    assert sorted(r["status"] for r in log.collect()) == ["OPEN", "RESOLVED"]
+    now = daily.incidents_now(store).where("incident_id = 'INC-2024-01-01-NULL-SESSION'").first()
+    assert now["status"] == "RESOLVED" and now["closed_at"] is not None
+
+
+def test_revenue_keeps_every_price(spark):
+    from tidewatch.operators.stats import day_stats, day_stats_with_dups
+
+    prices = [1.00005, 1e19, 2.0, None]
+    rows = [dict(e, event_type="purchase", price=p, user_id=f"u{i}") for i, (e, p) in
+            enumerate(zip(day_events("2024-01-01", 4, purchases=4), prices))]
+    fact = fact_rows(spark, rows)
+    for stats in (day_stats(fact), day_stats_with_dups(fact)):
+        assert stats.first()["revenue"] == 2.0 + (1.00005 + 1e19)
+
+
+def test_csv_columns_by_header_name(spark):
+    from tidewatch.session import scratch_path
+    from tidewatch.sources.raw_csv import read_raw_csv
+
+    path = scratch_path(spark, "csv-order")
+    names = ["user_id", "price", "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "user_session"]
+    spark.createDataFrame([("u1", "2.5", "2024-01-01 00:00:00 UTC", "view", "p", "c", "cc", "b", "s")], names).write.option(
+        "header", True).csv(path)
+    row = read_raw_csv(spark, path).first()
+    assert row["user_id"] == "u1" and row["price"] == "2.5" and row["event_time"].startswith("2024")
+    bad = scratch_path(spark, "csv-bad")
+    spark.createDataFrame([("u1",)], ["user_id"]).write.option("header", True).csv(bad)
+    with pytest.raises(ValueError, match="header lacks"):
+        read_raw_csv(spark, bad)

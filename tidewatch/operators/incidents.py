@@ -23,53 +23,30 @@ from tidewatch.schemas import INCIDENT_STATUS_LOG, INCIDENTS, INCIDENT_STATUSES
 
 DEFAULT_OWNER = "data-reliability"
 
-# Incident id slugs and root-cause types of the rules that the
-# reference's incidents cite (dup key, freshness, null session); the others
-# and all prose are ours.
+# Incident id slugs and root-cause types of the rules.
+# rule kind -> (slug, root_cause_type, what the rule measures, who reads it)
+_RULE_FACTS: dict[str, tuple[str, str, str, str]] = {
+    "dup_composite_key_groups_run_date": ("DUP-EVENT", "PIPELINE_DUPLICATION", "groups of equal composite keys", "check drill-down"),
+    "freshness_latest_event_within_run_day": ("FRESHNESS", "LATE_DATA_OR_JOB_FAILURE", "newest event time of the day", "health report"),
+    "freshness_latest_event_within": ("STALE", "LATE_DATA_OR_JOB_FAILURE", "age of the newest event", "health report"),
+    "freshness_has_events_on_run_date": ("NO-EVENTS", "LATE_DATA_OR_JOB_FAILURE", "events of the day", "health report"),
+    "null_rate_session_id_run_date": ("NULL-SESSION", "SCHEMA_OR_LOGGING_ISSUE", "share of events without session", "session figures"),
+    "volume_prev_day_events": ("LOW-VOLUME", "UPSTREAM_MISSING", "events of the day before", "health report"),
+    "purchase_events_vanish_prev_day": ("NO-PURCHASES-PREV", "LOGIC_BUG", "purchases of the day before", "revenue figures"),
+    "purchase_events_on_run_date": ("NO-PURCHASES", "LOGIC_BUG", "purchases of the day", "revenue figures"),
+}
+
+
+def _texts(slug: str, cause: str, metric: str, readers: str) -> tuple[str, str, str, str, str, str, str]:
+    """Incident texts from what the engine knows of a rule: its metric, readers and cause type."""
+    return (slug, f"Out of range: {metric}", readers, cause, f"{cause}: the rule saw its metric ({metric}) out of range.",
+            f"Compare {metric} in dq_day_stats with the raw files, reload the day and run its checks again.",
+            f"Watch {metric} in dq_day_stats from day to day.")
+
+
 # rule kind -> (slug, summary, impacted assets, root_cause_type, root cause,
 #               resolution steps, preventive actions)
-CATALOG: dict[str, tuple[str, str, str, str, str, str, str]] = {
-    "dup_composite_key_groups_run_date": (
-        "DUP-EVENT", "Duplicate composite keys detected", "Check Detail page",
-        "PIPELINE_DUPLICATION", "Rows loaded twice upstream or replayed without a reset.",
-        "Find the source of the duplicated keys; dedupe by event_id; rerun checks.",
-        "Keep loads idempotent per day; alert when duplicate groups > 0."),
-    "freshness_latest_event_within_run_day": (
-        "FRESHNESS", "Late or missing data at the end of run_date", "health_daily",
-        "LATE_DATA_OR_JOB_FAILURE", "Upstream extract late or the job did not finish.",
-        "Check the job logs; rerun the day; confirm the newest event_ts.",
-        "Add an SLA monitor that opens a ticket when freshness fails."),
-    "freshness_latest_event_within": (
-        "STALE", "Newest event older than the allowed age", "health_daily",
-        "LATE_DATA_OR_JOB_FAILURE", "No new events arrived within the allowed age.",
-        "Check the job logs; rerun the day; confirm the newest event_ts.",
-        "Add an SLA monitor that opens a ticket when freshness fails."),
-    "freshness_has_events_on_run_date": (
-        "NO-EVENTS", "No events loaded for run_date", "health_daily",
-        "LATE_DATA_OR_JOB_FAILURE", "The day was not delivered or not ingested.",
-        "Check the upstream delivery; rerun ingestion for the day.",
-        "Alert on missing daily partitions before the checks run."),
-    "null_rate_session_id_run_date": (
-        "NULL-SESSION", "session_id null rate above limit", "KPI dashboards",
-        "SCHEMA_OR_LOGGING_ISSUE", "Session tracking upstream dropped the session id.",
-        "Validate upstream session generation; backfill session_id; rerun checks.",
-        "Block publishing when the null rate exceeds the limit; alert on drift."),
-    "volume_prev_day_events": (
-        "LOW-VOLUME", "Previous day volume below minimum", "health_daily",
-        "UPSTREAM_MISSING", "Partial delivery of the previous day.",
-        "Compare with upstream counts; reload the previous day.",
-        "Track daily volume against a baseline; alert on drops."),
-    "purchase_events_vanish_prev_day": (
-        "NO-PURCHASES-PREV", "No purchases on the previous day", "revenue dashboards",
-        "LOGIC_BUG", "Purchase events missing or mislabelled upstream.",
-        "Check the event_type mapping and checkout logging; reload the day.",
-        "Add a contract test on event_type values."),
-    "purchase_events_on_run_date": (
-        "NO-PURCHASES", "No purchases on run_date", "revenue dashboards",
-        "LOGIC_BUG", "Purchase events missing or mislabelled upstream.",
-        "Check the event_type mapping and checkout logging; reload the day.",
-        "Add a contract test on event_type values."),
-}
+CATALOG: dict[str, tuple[str, str, str, str, str, str, str]] = {k: _texts(*v) for k, v in _RULE_FACTS.items()}
 
 _CATALOG_COLS = ("rule_kind", "slug", "summary", "impacted", "root_cause_type",
                  "root_cause_details", "resolution_steps", "preventive_actions")
@@ -128,8 +105,8 @@ def open_incidents(spark: SparkSession, checks: DataFrame, owner: str = DEFAULT_
 
 
 def new_incidents(candidates: DataFrame, existing: DataFrame) -> DataFrame:
-    """Candidates whose id is not recorded yet (idempotent auto-open)."""
-    return candidates.join(existing.select("incident_id"), "incident_id", "left_anti").select(
+    """Candidates whose id is not recorded yet (idempotent auto-open), each id once."""
+    return candidates.dropDuplicates(["incident_id"]).join(existing.select("incident_id"), "incident_id", "left_anti").select(
         *INCIDENTS.names)
 
 

@@ -136,7 +136,7 @@ def _needs(rules: Sequence[Rule]) -> set[str]:
 
 def rule_stats(fact: DataFrame, rules: Sequence[Rule], first: DateLike | None = None,
                last: DateLike | None = None, dup_key: Sequence[str] = DUP_KEY,
-               dup_strategy: str = "hash_prepass") -> DataFrame:
+               dup_strategy: str = "single_scan") -> DataFrame:
     """Per-day aggregates the rules need.
 
     With a range, only days ``[first-1, last]`` are read (back to the last

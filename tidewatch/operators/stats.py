@@ -30,19 +30,31 @@ def is_purchase(c: str = "event_type") -> Column:
     return F.col(c) == F.lit(PURCHASE)
 
 
+_AS_DECIMAL = f"try_cast(price AS {REVENUE_DECIMAL})"
+_FITS = f"coalesce(CAST({_AS_DECIMAL} AS DOUBLE) = price, false)"
+# Prices that fixed point holds without loss; NULL prices add nothing.
+_EXACT = (f"CASE WHEN event_type = '{PURCHASE}' AND price IS NULL THEN NULL WHEN event_type = '{PURCHASE}' AND {_FITS} "
+          f"THEN {_AS_DECIMAL} ELSE CAST(0 AS {REVENUE_DECIMAL}) END")
+# Prices it cannot hold (too large, finer than its scale, not finite): summed as doubles, never dropped.
+_REST = f"CASE WHEN event_type = '{PURCHASE}' AND price IS NOT NULL AND NOT {_FITS} THEN price END"
+
+
 def revenue_decimal() -> Column:
-    """Per-row revenue contribution: the price of a purchase, else 0 (fixed point)."""
-    return F.when(is_purchase(), F.col("price").try_cast(REVENUE_DECIMAL)).otherwise(
-        F.lit(0).cast(REVENUE_DECIMAL))
+    """Per-row revenue in fixed point: a purchase's price where that holds it, else 0."""
+    return F.expr(_EXACT)
 
 
-def revenue_sum() -> Column:
-    """``sum(price of purchases, 0 otherwise)`` as double, via exact decimal."""
-    return F.sum(revenue_decimal()).cast("double")
+def revenue_rest() -> Column:
+    """Per-row revenue that fixed point cannot hold, as double."""
+    return F.expr(_REST)
 
 
-REVENUE_SQL = (f"CAST(sum(CASE WHEN event_type = '{PURCHASE}' THEN try_cast(price AS {REVENUE_DECIMAL}) "
-               f"ELSE CAST(0 AS {REVENUE_DECIMAL}) END) AS DOUBLE)")
+REVENUE_SQL = f"CAST(sum({_EXACT}) AS DOUBLE) + coalesce(sum({_REST}), 0D)"
+
+
+def revenue_sum() -> Column:
+    """``sum(price of purchases, 0 otherwise)`` as double: exact where prices fit, no price left out."""
+    return F.expr(REVENUE_SQL)
 
 
 def day_stats(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -70,13 +82,14 @@ def day_stats_with_dups(fact: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFr
         F.count_if(is_purchase()).alias("g_purchases"),
         F.count_if(F.col("session_id").isNull()).alias("g_null_session"),
         F.sum(revenue_decimal()).alias("g_revenue"),
+        F.sum(revenue_rest()).alias("g_rest"),
         F.max("event_ts").alias("g_max_ts"),
     )
     return groups.groupBy("event_date").agg(
         F.sum("rows_in_group").alias("n_events"),
         F.sum("g_purchases").alias("n_purchases"),
         F.sum("g_null_session").alias("n_null_session"),
-        F.sum("g_revenue").cast("double").alias("revenue"),
+        (F.sum("g_revenue").cast("double") + F.coalesce(F.sum("g_rest"), F.lit(0.0))).alias("revenue"),
         F.max("g_max_ts").alias("max_event_ts"),
         F.count_if(F.col("rows_in_group") > 1).alias("dup_groups"),
     )

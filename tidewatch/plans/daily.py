@@ -38,7 +38,10 @@ SPIKE_SEED = "session-null-spike"
 # ---- load --------------------------------------------------------------------
 
 def load_history(store: Store, source: DataFrame, rebalance: bool = True) -> None:
-    """Write cleaned, typed rows into ``fact_events_all`` (one pass, all days).
+    """Write cleaned, typed rows as the whole of ``fact_events_all`` (one pass, all days).
+
+    A full load: days that an earlier load held and ``source`` lacks are gone
+    afterwards.  ``append_days`` keeps them.
 
     Raw files usually mix days, so a plain partitioned write would leave one
     small file per task and day.  ``REBALANCE(event_date)`` clusters rows by
@@ -50,7 +53,12 @@ def load_history(store: Store, source: DataFrame, rebalance: bool = True) -> Non
     """
     if rebalance:
         source = source.hint("rebalance", "event_date")
-    store.overwrite_days("fact_events_all", source)
+    store.replace("fact_events_all", source)
+
+
+def append_days(store: Store, source: DataFrame) -> None:
+    """Add or replace only the days present in ``source``; other days of the history stay."""
+    store.overwrite_days("fact_events_all", source.hint("rebalance", "event_date"))
 
 
 def load_raw_csv(store: Store, path: str) -> None:
@@ -74,13 +82,20 @@ def mask_sessions(fact: DataFrame, day: DateLike, rate: float = SPIKE_RATE,
 
 # ---- one day -------------------------------------------------------------------
 
-def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None = None) -> None:
-    """Replace the day in ``fact_events`` with the history's rows of that day."""
+def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None = None,
+               with_dups: bool = False) -> None:
+    """Replace the day in ``fact_events`` with the history's rows of that day.
+
+    The day's stored aggregates follow the facts in the same step, so checks of
+    later days never read aggregates of rows that are no longer there.
+    """
     d = as_date(day)
     rows = store.read("fact_events_all").where(F.col("event_date") == F.lit(d))
     if spike is not None and as_date(spike[0]) == d:
         rows = mask_sessions(rows, d, spike[1])
     store.overwrite_day("fact_events", rows, d)
+    day_fact = store.read("fact_events").where(F.col("event_date") == F.lit(d))
+    store.overwrite_day("dq_day_stats", stats_for(day_fact, with_dups), d)
 
 
 def stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
@@ -106,9 +121,7 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
     rules = list(rules or R.default_rules())
     d = as_date(day)
     spark = store.spark
-    ingest_day(store, d, spike)
-    day_fact = store.read("fact_events").where(F.col("event_date") == F.lit(d))
-    store.overwrite_day("dq_day_stats", stats_for(day_fact, needs_dups(rules)), d)
+    ingest_day(store, d, spike, needs_dups(rules))
 
     stats = _stored_stats(store, d)
     spine = spark.range(1).select(F.lit(d).alias("check_date"))
@@ -120,6 +133,7 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
     store.overwrite_day("dq_anomalies", scored, d)
 
     open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date") == F.lit(d)))
+    resolve_incidents(store, store.read("dq_check_results"))
     store.overwrite_day("dq_run_context", ST.run_context(stats.where(F.col("event_date") == F.lit(d))), d)
 
 
@@ -132,18 +146,20 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
     rows = store.read("fact_events_all")
     if spike is not None:
         rows = mask_sessions(rows, spike[0], spike[1])
-    store.overwrite_days("fact_events", rows)
+    store.replace("fact_events", rows)
 
-    store.overwrite_days("dq_day_stats", stats_for(store.read("fact_events"), needs_dups(rules)))
+    store.replace("dq_day_stats", stats_for(store.read("fact_events"), needs_dups(rules)))
     store.overwrite_days("dq_check_results", R.evaluate_rules(_stored_stats(store), rules))
     store.overwrite_days("dq_anomalies", A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats")))))
     open_new_incidents(store, store.read("dq_check_results"))
+    resolve_incidents(store, store.read("dq_check_results"))
     store.overwrite_days("dq_run_context", ST.run_context(store.read("dq_day_stats")))
 
 
 def reset_replay(store: Store) -> None:
-    """Empty the daily fact table (history is untouched)."""
+    """Empty the daily fact table and its stored aggregates (history is untouched)."""
     store.truncate("fact_events")
+    store.truncate("dq_day_stats")
 
 
 # ---- incidents -------------------------------------------------------------------
@@ -159,6 +175,15 @@ def open_new_incidents(store: Store, checks: DataFrame) -> None:
         F.lit("opened by failing check").alias("note")))
 
 
+def resolve_incidents(store: Store, checks: DataFrame) -> None:
+    """Log RESOLVED for recorded incidents whose check passed again (once per incident and time)."""
+    log = store.read("dq_incident_status_log")
+    found = I.resolution_events(checks).where("status = 'RESOLVED'")
+    found = found.join(store.read("dq_incidents").select("incident_id"), "incident_id", "left_semi")
+    store.append("dq_incident_status_log", found.join(
+        log.select("incident_id", "status", "changed_at"), ["incident_id", "status", "changed_at"], "left_anti"))
+
+
 def record_status(store: Store, changes: DataFrame) -> None:
     """Append manual status changes (incident_id, status, changed_at, note)."""
     store.append("dq_incident_status_log", changes)

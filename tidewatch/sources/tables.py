@@ -27,7 +27,7 @@ versions in place, and rerunning the same call converges.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,11 +169,14 @@ class Store:
         with overwrite_mode(rows.sparkSession, "dynamic"):
             rows.write.insertInto(self.name(table), overwrite=True)
 
-    def clear_days(self, table: str, days: Iterable[DateLike]) -> None:
+    def replace(self, table: str, df: DataFrame) -> None:
+        """Make ``df`` the whole table: partitions it lacks are removed (static overwrite)."""
+        rows = self._ordered(table, df)
         _, part = TABLES[table]
-        for d in days:
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS "
-                           f"PARTITION ({part} = DATE '{as_date(d).isoformat()}')")
+        if table in SMALL_PER_DAY:
+            rows = rows.repartition(part)
+        with overwrite_mode(self.spark, "static"):
+            rows.write.insertInto(self.name(table), overwrite=True)
 
     def append(self, table: str, df: DataFrame) -> None:
         self._ordered(table, df).write.insertInto(self.name(table), overwrite=False)

@@ -34,22 +34,9 @@ RAW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 RAW_TIME_SUFFIX = " UTC"
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The test table as a DataFrame, one relation per session and path.
-
-    The relation (file listing and Parquet footer schema) is resolved once
-    and reused by every query of the session, like a catalog table.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _RELATIONS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _RELATIONS[key] = df
-    return df
+    """The test table as a DataFrame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _product_catalog(part: DataFrame) -> DataFrame:
