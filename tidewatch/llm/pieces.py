@@ -76,6 +76,7 @@ class PieceBpe:
                 self.of_char[ord(c)] = i
         self.ids_of: dict[str, str] = {}
         self.raw_of: dict[str, bytes] = {}
+        self.number_of: dict[str, bytes] = {}
 
     def encode_flat(self, words: list[str]) -> tuple[list[int], list[int]]:
         """Ids of all words, flat, with the words' offsets."""
@@ -137,17 +138,13 @@ class PieceBpe:
     def id_arrays(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as uint16; the distinct words of all texts are merged together."""
         cut = [self.words(t) for t in texts]
-        new = list(set().union(*cut))
+        if len(self.number_of) > REMEMBERED:
+            self.number_of.clear()
+        new = list(set().union(*cut).difference(self.number_of))
         flat, at = self.encode_flat(new)
-        flat, at = np.array(flat, np.uint16), np.array(at, np.int64)
-        number = {w: i for i, w in enumerate(new)}
-        out = []
-        for c in cut:
-            w = np.fromiter(map(number.__getitem__, c), np.int64, len(c))
-            size = at[w + 1] - at[w]
-            ends = np.cumsum(size)
-            out.append(flat[np.arange(ends[-1] if len(c) else 0) + np.repeat(at[w] - ends + size, size)])
-        return out
+        raw = np.array(flat, np.uint16).tobytes()
+        self.number_of.update(zip(new, [raw[2 * a:2 * b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+        return [np.frombuffer(b"".join(map(self.number_of.__getitem__, c)), np.uint16) for c in cut]
 
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
