@@ -21,6 +21,12 @@ def test_timestamp_text_shapes(spark):
         "2019-11-01 10:20:30": dt.datetime(2019, 11, 1, 10, 20, 30),
         "2019-11-01": dt.datetime(2019, 11, 1),
         "2019-11-01 00:00:00UTC": None,  # no space before the zone: not a time
+        "2019-11-01 10:00:00+02": dt.datetime(2019, 11, 1, 10),  # the zone is left out
+        "2019-11-01T10:00:00Z": dt.datetime(2019, 11, 1, 10),
+        "2019-1-1": dt.datetime(2019, 1, 1),
+        "2019/11/01": dt.datetime(2019, 11, 1),
+        "  2019-11-01 0:0:0 ": dt.datetime(2019, 11, 1),
+        "2019-13-01": None,
         "10:00:00": None,  # time without a date
         "": None,
         "junk": None,
@@ -63,6 +69,17 @@ def test_price_cast_rejects_lenient_suffixes(spark):
     assert got == [None, 1.5, 2.0, -300.0, None, None]
 
 
+def test_price_cast_keeps_what_a_number_cast_keeps(spark):
+    import math
+
+    from tidewatch.functions.cleaning import safe_price_cast
+
+    df = spark.createDataFrame([("1_000",), ("inf",), ("-Infinity",), ("nan",), ("1.",), (".5",), ("1__0",), ("_1",), ("1,0",)],
+                               "p string")
+    got = [r[0] for r in df.select(safe_price_cast("p")).collect()]
+    assert got[:3] == [1000.0, math.inf, -math.inf] and math.isnan(got[3]) and got[4:] == [1.0, 0.5, None, None, None]
+
+
 def test_event_id_is_md5_of_raw_values_skipping_nulls(spark):
     from tidewatch.functions.cleaning import event_id_md5
 

@@ -121,7 +121,7 @@ def test_check_dates_are_dates(spark):
     assert out["check_date"] == D("2024-01-01")
 
 
-def test_dup_strategies_and_broadcast_fallback_agree(spark):
+def test_dup_strategies_agree(spark):
     from tidewatch.operators import stats as ST
 
     t = TS("2024-01-01T10:00:00")
@@ -131,9 +131,9 @@ def test_dup_strategies_and_broadcast_fallback_agree(spark):
     fact = fact_rows(spark, ev)
     single = {r["event_date"]: r["dup_groups"] for r in ST.day_stats_with_dups(fact).collect()}
     prepass = {r["event_date"]: r["dup_groups"] for r in ST.day_stats_and_dups(fact).collect()}
-    no_bcast = {r["event_date"]: r["dup_groups"] for r in ST.dup_groups_per_day(fact, broadcast_max=0).collect()}
+    per_day = {r["event_date"]: r["dup_groups"] for r in ST.dup_groups_per_day(fact).collect()}
     assert single == prepass == {D("2024-01-01"): 2, D("2024-01-02"): 1}
-    assert no_bcast == {D("2024-01-01"): 2, D("2024-01-02"): 1}
+    assert per_day == {D("2024-01-01"): 2, D("2024-01-02"): 1}
 
 
 def test_newest_event_rule_looks_back_past_a_long_gap(spark):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL, D, day_events, fact_rows
+import datetime as dt
+
 import pytest
+from conftest import SF_SMALL, D, day_events, fact_rows
 from pyspark.sql import functions as F
 
 from tidewatch.plans import daily
@@ -205,3 +207,21 @@ def test_csv_columns_by_header_name(spark):
     spark.createDataFrame([("u1",)], ["user_id"]).write.option("header", True).csv(bad)
     with pytest.raises(ValueError, match="header lacks"):
         read_raw_csv(spark, bad)
+
+
+def test_incidents_logged_by_hand_are_checked(spark):
+    store = Store.scratch(spark, "t_manual")
+    one = "incident_id string, opened_at timestamp, severity string, summary string"
+    at = dt.datetime(2024, 1, 1)
+    daily.log_incident(store, spark.createDataFrame([("INC-2024-01-01-BY-HAND", at, "P1", "seen by ops")], one))
+    change = "incident_id string, status string, changed_at timestamp, note string"
+    daily.record_status(store, spark.createDataFrame(
+        [("INC-2024-01-01-BY-HAND", "TRIAGING", dt.datetime(2024, 1, 2), "on it")], change))
+    now = daily.incidents_now(store).collect()
+    assert [(r["incident_id"], r["status"]) for r in now] == [("INC-2024-01-01-BY-HAND", "TRIAGING")]
+    for row in (("INC-2024-01-01-BY-HAND", at, "P1", "again"), (None, at, "P1", ""), ("INC-2", at, "P9", "")):
+        with pytest.raises(ValueError):
+            daily.log_incident(store, spark.createDataFrame([row], one))
+    for row in (("INC-NONE", "OPEN", at, ""), ("INC-2024-01-01-BY-HAND", "DONE", at, "")):
+        with pytest.raises(ValueError):
+            daily.record_status(store, spark.createDataFrame([row], change))

@@ -12,9 +12,13 @@ ColumnOrName = Column | str
 
 # Text shapes accepted as timestamps (after the " UTC" suffix is
 # removed) and as prices.  Anything else becomes NULL, so results do not depend
-# on how lenient one engine's string casts happen to be.
-TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
-NUMBER_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+# on how lenient one engine's string casts happen to be.  A zone after the time is
+# read and left out (event times are zone-less).
+TIMESTAMP_TEXT = (r"^\s*(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
+                  r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?\s*$")
+_DIGITS = r"\d+(_\d+)*"
+NUMBER_TEXT = (rf"^\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?\d+)?"
+               r"|(?i:inf|infinity|nan))\s*$")
 # Separator of the surrogate-key input.
 KEY_SEPARATOR = "|"
 
@@ -37,17 +41,19 @@ def parse_event_ts(c: ColumnOrName) -> Column:
     """Zone-less event time from text such as ``2019-11-01 00:00:00 UTC``.
 
     Text ending in ``UTC`` has every `` UTC`` removed first; the rest must look
-    like a date or a date-time, else the result is NULL.
+    like a date or a date-time (one-digit parts, slashes, outer blanks and a zone
+    are accepted), else the result is NULL.
     """
     text = _col(c).cast("string")
     stripped = F.when(text.endswith("UTC"), F.replace(text, F.lit(" UTC"), F.lit(""))).otherwise(text)
-    return F.when(stripped.rlike(TIMESTAMP_TEXT), stripped.try_cast("timestamp_ntz"))
+    plain = F.regexp_replace(stripped, TIMESTAMP_TEXT, "$1-$2-$3$4")
+    return F.when(stripped.rlike(TIMESTAMP_TEXT), plain.try_cast("timestamp_ntz"))
 
 
 def safe_price_cast(c: ColumnOrName) -> Column:
-    """Price text to double; text that is not a plain number becomes NULL."""
+    """Price text to double; text that is not a number (digits may be grouped by ``_``) becomes NULL."""
     text = _col(c).cast("string")
-    return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
+    return F.when(text.rlike(NUMBER_TEXT), F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def event_id_md5(*raw: ColumnOrName) -> Column:

@@ -24,7 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.dates import DateLike, as_date
-from tidewatch.operators.stats import PURCHASE, lookback_start, revenue_sum
+from tidewatch.operators.stats import (
+    PURCHASE,
+    is_purchase,
+    lookback_start,
+    revenue_decimal,
+    revenue_rest,
+    revenue_sum,
+)
 
 BASELINE_ROWS = 14
 METRICS = ("events_count", "revenue", "cvr")
@@ -163,22 +170,35 @@ def anomalies_latest_day(fact: DataFrame, bounded: bool = True, **kw) -> DataFra
 ENTITY_LEVELS = (("category", "category_id"), ("product", "product_id"))
 
 
-def anomalies_by_entity(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENTITY_LEVELS,
-                        include_overall: bool = True, **kw) -> DataFrame:
-    """Per-entity anomalies: every event counts once per level it belongs to.
+def entity_kpis(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENTITY_LEVELS,
+                include_overall: bool = True) -> DataFrame:
+    """Daily KPIs of every entity: every event counts once per level it belongs to.
 
-    ``inline`` fans each event out to its levels (a grouping-sets Expand) in
-    the same stage as the partial aggregate, so one scan and one shuffle of
-    pre-aggregated rows serve every level.
+    Events are aggregated once by day and all level columns; ``inline`` fans out
+    those groups, not the events.  Counts and the fixed-point part of revenue add
+    up exactly; prices beyond fixed point are added as doubles.
     """
+    ids = [c for _, c in levels]
+    fine = fact.groupBy("event_date", *ids).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(is_purchase()).alias("p"),
+        F.sum(revenue_decimal()).alias("exact"), F.sum(revenue_rest()).alias("rest"))
     tags = [F.struct(F.lit(t).alias("entity_type"), F.col(c).cast("string").alias("entity_id"))
             for t, c in levels]
     if include_overall:
         tags.insert(0, F.struct(F.lit("overall").alias("entity_type"),
                                 F.lit(None).cast("string").alias("entity_id")))
-    fanned = fact.select("event_date", "event_type", "price", F.inline(F.array(*tags)))
-    kpis = daily_kpis(fanned, by=("entity_type", "entity_id"))
-    return score(kpis_long(kpis, None, "entity_id"), **kw)
+    fanned = fine.select("event_date", "n", "p", "exact", "rest", F.inline(F.array(*tags)))
+    kpis = fanned.groupBy(F.col("event_date").alias("d"), "entity_type", "entity_id").agg(
+        F.expr("CAST(sum(n) AS DOUBLE) AS events_count"), F.expr("CAST(sum(p) AS DOUBLE) AS purchases"),
+        F.expr("CAST(sum(exact) AS DOUBLE) + coalesce(sum(rest), 0D) AS revenue"))
+    return kpis.selectExpr("*", "purchases / nullif(events_count, 0.0D) AS cvr")
+
+
+def anomalies_by_entity(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENTITY_LEVELS,
+                        include_overall: bool = True, **kw) -> DataFrame:
+    """Per-entity anomalies.  ``thresholds`` may be given for sparse series; days without
+    events of an entity are not rows of its series (as for the overall series)."""
+    return score(kpis_long(entity_kpis(fact, levels, include_overall), None, "entity_id"), **kw)
 
 
 def rolling_median(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:

@@ -48,6 +48,15 @@ def clean_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def load_counts(raw: DataFrame) -> DataFrame:
+    """One row: raw rows, rows the load rejects (time does not parse), prices it cannot read."""
+    price = F.nullif(F.trim(F.col("price")), F.lit(""))
+    return raw.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(parse_event_ts("event_time").isNull()).alias("rejected_rows"),
+        F.count_if(price.isNotNull() & safe_price_cast("price").isNull()).alias("unread_prices"))
+
+
 def distinct_event_dates(fact: DataFrame) -> DataFrame:
     """Days present in a fact table, as ``d`` (ascending when ordered)."""
     return fact.select(F.col("event_date").alias("d")).distinct()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.sqltext import sql_str
-from tidewatch.schemas import INCIDENT_STATUS_LOG, INCIDENTS, INCIDENT_STATUSES
+from tidewatch.schemas import INCIDENT_STATUS_LOG, INCIDENTS, INCIDENT_STATUSES, SEVERITIES
 
 DEFAULT_OWNER = "data-reliability"
 
@@ -110,6 +110,38 @@ def new_incidents(candidates: DataFrame, existing: DataFrame) -> DataFrame:
         *INCIDENTS.names)
 
 
+def checked_manual(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """Incidents logged by hand, in ``dq_incidents`` shape; refused with ValueError when an
+    id is missing, repeated or already recorded, or severity or status is outside its domain.
+
+    Columns that ``rows`` lacks are NULL; status is OPEN unless given.
+    """
+    have = set(rows.columns)
+    if extra := have - set(INCIDENTS.names):
+        raise ValueError(f"unknown incident columns: {', '.join(sorted(extra))}")
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in INCIDENTS.fields]
+    out = rows.select(*cols).fillna("OPEN", ["status"])
+    known = F.col("severity").isin(*SEVERITIES) & F.col("status").isin(*INCIDENT_STATUSES)
+    if not out.where(F.col("incident_id").isNull() | F.col("opened_at").isNull() | ~F.coalesce(known, F.lit(False))).isEmpty():
+        raise ValueError("an incident needs incident_id, opened_at and a known severity and status")
+    if not out.groupBy("incident_id").count().where("count > 1").isEmpty():
+        raise ValueError("an incident id is given twice")
+    if not out.join(existing.select("incident_id"), "incident_id", "left_semi").isEmpty():
+        raise ValueError("an incident id is already recorded")
+    return out
+
+
+def checked_changes(changes: DataFrame, existing: DataFrame) -> DataFrame:
+    """Status changes whose status is in the domain and whose incident exists; else ValueError."""
+    if not changes.where(~F.coalesce(F.col("status").isin(*INCIDENT_STATUSES), F.lit(False))
+                         | F.col("changed_at").isNull()).isEmpty():
+        raise ValueError(f"a status change needs changed_at and a status of {', '.join(INCIDENT_STATUSES)}")
+    if not changes.join(existing.select("incident_id"), "incident_id", "left_anti").isEmpty():
+        raise ValueError("a status change names an incident that is not recorded")
+    return changes
+
+
 def resolution_events(checks: DataFrame) -> DataFrame:
     """Status-log rows: OPEN for each failing check, RESOLVED when it next passes.
 

@@ -95,36 +95,19 @@ def day_stats_with_dups(fact: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFr
     )
 
 
-# Broadcast limit for the candidate (day, key hash) pairs of the duplicate
-# search: 16 bytes a pair, so about 32 MB at the limit.
-DUP_CANDIDATES_BROADCAST_MAX = 2_000_000
-
-
-def dup_groups_per_day(fact: DataFrame, key: Sequence[str] = DUP_KEY,
-                       broadcast_max: int = DUP_CANDIDATES_BROADCAST_MAX) -> DataFrame:
+def dup_groups_per_day(fact: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFrame:
     """Per day, the number of key groups holding more than one row (exact).
 
-    Duplicates are rare, so the full key is shuffled only for rows that can
-    be duplicates:
-
-    1. shuffle just (day, 64-bit hash of the key); pairs seen more than once
-       are the candidates (a true duplicate always repeats its hash, a hash
-       collision only adds a candidate);
-    2. the candidates are written once (checkpoint) and counted; up to
-       ``broadcast_max`` pairs they are broadcast to a semi-join, beyond it
-       the semi-join shuffles — a checked size, with a way past it;
-    3. the surviving rows are grouped by the full key, which removes the
-       collisions, and groups with more than one row are counted per day.
+    An option for wide keys: (day, 64-bit hash of the key) is shuffled first, and
+    the full key only for rows whose hash repeats (a duplicate always repeats its
+    hash; a collision only adds a candidate, which the second grouping removes).
+    The join's way is left to the planner.
     """
-    from tidewatch.session import materialize
-
     kh = F.xxhash64(*[F.col(c) for c in key]).alias("_kh")
     cand = (fact.select("event_date", kh).groupBy("event_date", "_kh")
             .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
             .select("event_date", "_kh"))
-    cand = materialize(cand)
-    side = F.broadcast(cand) if cand.count() <= broadcast_max else cand
-    suspects = fact.select("event_date", *key, kh).join(side, ["event_date", "_kh"], "left_semi")
+    suspects = fact.select("event_date", *key, kh).join(cand, ["event_date", "_kh"], "left_semi")
     groups = (suspects.groupBy("event_date", *key).agg(F.count(F.lit(1)).alias("rows_in_group"))
               .where(F.col("rows_in_group") > 1))
     return groups.groupBy("event_date").agg(F.count(F.lit(1)).alias("dup_groups"))

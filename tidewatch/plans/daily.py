@@ -27,6 +27,7 @@ from tidewatch.operators import incidents as I
 from tidewatch.operators import rules as R
 from tidewatch.operators import stats as ST
 from tidewatch.operators.clean import clean_events
+from tidewatch.session import materialize
 from tidewatch.sources.raw_csv import read_raw_csv
 from tidewatch.sources.tables import Store, export_csv
 
@@ -100,7 +101,7 @@ def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None
 
 def stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
     if with_dups:
-        return ST.day_stats_and_dups(fact)
+        return ST.day_stats_with_dups(fact)
     return ST.day_stats(fact).withColumn("dup_groups", F.lit(None).cast("bigint"))
 
 
@@ -185,8 +186,16 @@ def resolve_incidents(store: Store, checks: DataFrame) -> None:
 
 
 def record_status(store: Store, changes: DataFrame) -> None:
-    """Append manual status changes (incident_id, status, changed_at, note)."""
-    store.append("dq_incident_status_log", changes)
+    """Append manual status changes (incident_id, status, changed_at, note); ids and statuses are checked."""
+    store.append("dq_incident_status_log", I.checked_changes(changes, store.read("dq_incidents")))
+
+
+def log_incident(store: Store, rows: DataFrame) -> None:
+    """Record incidents by hand, with their first status row; ids and domains are checked."""
+    fresh = materialize(I.checked_manual(rows, store.read("dq_incidents")))
+    store.append("dq_incidents", fresh)
+    store.append("dq_incident_status_log", fresh.select(
+        "incident_id", "status", F.col("opened_at").alias("changed_at"), F.lit("logged by hand").alias("note")))
 
 
 def incidents_now(store: Store) -> DataFrame:

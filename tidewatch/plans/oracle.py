@@ -19,7 +19,9 @@ from tidewatch.plans.daily import SPIKE_RATE, SPIKE_SEED
 RD = f"DATE '{RUN_DATE.isoformat()}'"
 
 SESSION = "NULLIF(json_extract_string(e.props, '$.k'), '0')"
-PRODUCT = "CAST(e.event_id % 50 + 1 AS VARCHAR)"
+PRODUCT = "CAST(e.product_key AS VARCHAR)"
+EVENTS = ("(SELECT *, event_id % (SELECT max(p_partkey) + 1 FROM part) AS product_key FROM events) e "
+          "LEFT JOIN part p ON p.p_partkey = e.product_key")
 RAW_TIME = "strftime(e.ts, '%Y-%m-%d %H:%M:%S') || ' UTC'"
 RAW_PRICE = "CAST(CAST(e.value AS DECIMAL(18,2)) AS VARCHAR)"
 
@@ -27,7 +29,7 @@ RAW_CTE = f"""raw_events AS (
   SELECT {RAW_TIME} AS event_time, e.event_type AS event_type, {PRODUCT} AS product_id,
          CAST(p.p_size AS VARCHAR) AS category_id, p.p_type AS category_code, p.p_brand AS brand,
          {RAW_PRICE} AS price, CAST(e.user_id AS VARCHAR) AS user_id, {SESSION} AS user_session
-  FROM events e LEFT JOIN part p ON p.p_partkey = e.event_id % 50 + 1
+  FROM {EVENTS}
 )"""
 
 FACT_CTE = f"""fact_events AS (
@@ -37,7 +39,7 @@ FACT_CTE = f"""fact_events AS (
          md5(concat_ws('|', CAST(e.user_id AS VARCHAR), {SESSION}, {RAW_TIME}, e.event_type,
                        {PRODUCT}, {RAW_PRICE})) AS event_id,
          CAST(e.ts AS DATE) AS event_date
-  FROM events e LEFT JOIN part p ON p.p_partkey = e.event_id % 50 + 1
+  FROM {EVENTS}
 )"""
 
 KPI_CTE = """kpis AS (
@@ -276,6 +278,36 @@ CLEAN_SELECT = """SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(user_session
     md5(concat_ws('|', user_id, user_session, event_time, event_type, product_id, price)) AS event_id
   FROM raw_events"""
 
+# Careless raw text: the same rules as in the Spark adapter.
+DIRTY_CTE = f"""raw_events AS (
+  SELECT CASE e.event_id % 13
+           WHEN 1 THEN strftime(e.ts, '%Y/%-m/%-d %-H:%-M:%-S')
+           WHEN 2 THEN strftime(e.ts, '%Y-%m-%dT%H:%M:%SZ')
+           WHEN 3 THEN '  ' || strftime(e.ts, '%Y-%m-%d %H:%M:%S') || ' '
+           WHEN 4 THEN strftime(e.ts, '%Y-%m-%d %H:%M:%S') || '+02'
+           WHEN 5 THEN 'junk' WHEN 6 THEN '' WHEN 7 THEN NULL ELSE {RAW_TIME} END AS event_time,
+         CASE WHEN e.event_type = 'purchase' AND day(e.ts) = 15 THEN 'view'
+              WHEN e.event_id % 5 = 1 THEN upper(e.event_type)
+              WHEN e.event_id % 5 = 2 THEN ' ' || e.event_type || ' '
+              WHEN e.event_id % 45 = 3 THEN '  ' ELSE e.event_type END AS event_type,
+         {PRODUCT} AS product_id, CAST(p.p_size AS VARCHAR) AS category_id,
+         CASE e.event_id % 9 WHEN 1 THEN '' ELSE p.p_type END AS category_code,
+         CASE e.event_id % 7 WHEN 1 THEN '  ' WHEN 2 THEN ' ' || p.p_brand || ' ' ELSE p.p_brand END AS brand,
+         CASE e.event_id % 17 WHEN 1 THEN 'abc' WHEN 2 THEN '1_000.5' WHEN 3 THEN '' WHEN 4 THEN ' 12.5 '
+              WHEN 5 THEN '1e3' ELSE {RAW_PRICE} END AS price,
+         CAST(e.user_id AS VARCHAR) AS user_id, {SESSION} AS user_session
+  FROM {EVENTS} JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR e.event_id % 20 = 0
+  WHERE day(e.ts) <> 7 AND NOT (day(e.ts) = 12 AND hour(e.ts) >= 20)
+)"""
+DIRTY_FACT = f"""fact_events AS (
+  SELECT *, CAST(event_ts AS DATE) AS event_date FROM ({CLEAN_SELECT}) c WHERE event_ts IS NOT NULL
+)"""
+ALL_RULES = "\nUNION ALL\n".join(RULES[k] for k in (
+    "freshness", "volume_mix", "purchase_prev", "null_rate", "dup", "purchase_run", "latest_in_day", "latest_24h"))
+# A store that holds run_date alone.
+ONE_DAY_CTE = FACT_CTE.replace("fact_events AS (", "all_events AS (", 1) + f""",
+fact_events AS (SELECT * FROM all_events WHERE event_date = {RD})"""
+
 HEALTH_SQL = """SELECT check_date, count(*) AS total_checks,
     count_if(status <> 'PASS' AND severity = 'P0') AS p0_issues,
     count_if(status <> 'PASS' AND severity = 'P1') AS p1_issues,
@@ -311,6 +343,12 @@ def _sql() -> dict[str, str]:
         "load_csv_events": R_ + "SELECT * FROM raw_events",
         "clean_events": R_ + f"SELECT *, CAST(event_ts AS DATE) AS event_date FROM ({CLEAN_SELECT}) c "
                               "WHERE event_ts IS NOT NULL",
+        "dirty_clean_events": _with(DIRTY_CTE, DIRTY_FACT) + f"SELECT {FACT_COLS} FROM fact_events",
+        "dirty_load_counts": _with(DIRTY_CTE, "typed AS (" + CLEAN_SELECT.replace("AS event_id", "AS event_id, price AS raw_price") + ")")
+                             + "SELECT count(*) AS raw_rows, count_if(event_ts IS NULL) AS rejected_rows, "
+                               "count_if(trim(raw_price) <> '' AND price IS NULL) AS unread_prices FROM typed",
+        "dirty_dq_checks": _with(DIRTY_CTE, DIRTY_FACT, STATS_CTE) + f"SELECT {CHECK_COLS} FROM ({ALL_RULES}) r",
+        "dirty_anomalies": _with(DIRTY_CTE, DIRTY_FACT, KPI_CTE, scored_cte()) + f"SELECT {ANOMALY_COLS} FROM scored",
         "blank_to_null": R_ + "SELECT md5(concat_ws('|', user_id, user_session, event_time, event_type, "
                               "product_id, price)) AS event_id, NULLIF(trim(brand), '') AS brand, "
                               "NULLIF(trim(category_code), '') AS category_code FROM raw_events",
@@ -333,6 +371,9 @@ def _sql() -> dict[str, str]:
         "ingest_day_idempotent": fact_run_date,
         "backfill_all_days": F_ + f"SELECT {FACT_COLS} FROM fact_events",
         "reset_then_ingest": fact_run_date,
+        "reset_then_run_day": _with(ONE_DAY_CTE, STATS_CTE, CHECKS_CTE) + f"SELECT {CHECK_COLS} FROM checks",
+        "reload_replaces_history": F_ + f"SELECT {FACT_COLS} FROM fact_events WHERE event_date >= {RD}",
+        "store_incident_state": FCI + f"SELECT {INCIDENT_COLS} FROM current_incidents",
         "rerun_checks_idempotent": FC + f"SELECT {CHECK_COLS} FROM checks",
         "rerun_anomalies_idempotent": FKS + f"SELECT {ANOMALY_COLS} FROM scored",
         "replay_progress": F_ + "SELECT min(event_date) AS min_loaded_date, max(event_date) AS max_loaded_date, "
@@ -436,6 +477,8 @@ erows AS (
         "clean_events": ["price"], "safe_price_cast": ["price"], "guarded_ratio": ["null_share"],
         "events_on_run_date": ["price"], "replay_day_join": ["price"], "ingest_day_idempotent": ["price"],
         "backfill_all_days": ["price"], "reset_then_ingest": ["price"],
+        "dirty_clean_events": ["price"], "reload_replaces_history": ["price"],
+        "dirty_dq_checks": ["metric_value"], "reset_then_run_day": ["metric_value"], "dirty_anomalies": ANOMALY_DBL,
         "null_spike_masked_rate": ["null_pct"],
         "daily_kpis": ["events_count", "purchases", "revenue"],
         "daily_cvr": ["purchases", "events_count", "cvr"],
@@ -460,6 +503,7 @@ erows AS (
         "fail_warn_trend": ["fail_checks", "warn_checks", "issue_checks"],
         "null_spike_masked_rate": ["n_null_session"],
         "top_failing_checks": ["failwarn_rows"],
+        "dirty_load_counts": ["rejected_rows", "unread_prices"],
     }
     return {k: _round(v, rounding.get(k, []), bigints.get(k, [])) for k, v in s.items()}
 

@@ -31,7 +31,7 @@ from tidewatch.operators import incidents as I
 from tidewatch.operators import reports as V
 from tidewatch.operators import rules as R
 from tidewatch.operators import stats as ST
-from tidewatch.operators.clean import clean_events, distinct_event_dates
+from tidewatch.operators.clean import clean_events, distinct_event_dates, load_counts
 from tidewatch.plans import daily
 from tidewatch.session import materialize, scratch_path
 from tidewatch.sources import test_tables as TT
@@ -115,6 +115,30 @@ def q_clean_events(spark, sf_dir):
     return clean_events(raw(spark, sf_dir))
 
 
+@query("dirty_clean_events")
+def q_dirty_clean_events(spark, sf_dir):
+    """Careless raw text → typed rows: every cleaning branch fires."""
+    return clean_events(TT.dirty_events_from_dir(spark, sf_dir))
+
+
+@query("dirty_load_counts")
+def q_dirty_load_counts(spark, sf_dir):
+    return load_counts(TT.dirty_events_from_dir(spark, sf_dir))
+
+
+@query("dirty_dq_checks")
+def q_dirty_dq_checks(spark, sf_dir):
+    """Eight rules over events with duplicates, a missing day, a day that ends early and one without purchases."""
+    rules = [R.freshness_has_events(), R.volume_prev_day(VOLUME_MIN_MIX), R.purchases_prev_day(), R.null_rate_session(),
+             R.dup_composite_key(), R.purchases_run_date(), R.latest_event_in_day(), R.latest_event_24h()]
+    return R.checks_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)), rules)
+
+
+@query("dirty_anomalies")
+def q_dirty_anomalies(spark, sf_dir):
+    return A.anomalies_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)))
+
+
 @query("blank_to_null")
 def q_blank_to_null(spark, sf_dir):
     r = raw(spark, sf_dir)
@@ -224,6 +248,33 @@ def q_reset_then_ingest(spark, sf_dir):
     return store.read("fact_events")
 
 
+@query("reset_then_run_day")
+def q_reset_then_run_day(spark, sf_dir):
+    """After a reset the store knows one day only: its checks see no earlier day."""
+    store = _store_with_history(spark, sf_dir, "resetrun")
+    daily.backfill(store)
+    daily.reset_replay(store)
+    daily.run_day(store, RUN_DATE)
+    return _no_created(store.read("dq_check_results").where(F.col("check_date") == F.lit(RUN_DATE)))
+
+
+@query("reload_replaces_history")
+def q_reload_replaces_history(spark, sf_dir):
+    """A second full load that starts at run_date leaves no earlier day behind."""
+    store = _store_with_history(spark, sf_dir, "reload")
+    daily.load_history(store, fact(spark, sf_dir).where(F.col("event_date") >= F.lit(RUN_DATE)))
+    return store.read("fact_events_all")
+
+
+@query("store_incident_state")
+def q_store_incident_state(spark, sf_dir):
+    """Incidents as the store has them after two backfills: opened, and resolved where checks pass again."""
+    store = _store_with_history(spark, sf_dir, "incidents")
+    daily.backfill(store)
+    daily.backfill(store)
+    return daily.incidents_now(store)
+
+
 @query("rerun_checks_idempotent")
 def q_rerun_checks_idempotent(spark, sf_dir):
     store = _store_with_history(spark, sf_dir, "checks")
