@@ -12,6 +12,7 @@ from tidewatch.plans.queries import (
     RUN_DATE,
     SPIKE_DAY,
     TOP_N,
+    VOLUME_MIN_DIRTY,
     VOLUME_MIN_MIX,
 )
 from tidewatch.plans.daily import SPIKE_RATE, SPIKE_SEED
@@ -158,6 +159,9 @@ RULES = {
     "volume_mix": rule_sql(f"volume_prev_day_events_min_{VOLUME_MIN_MIX}", "P0", "n1",
                            f"{{m}} >= {VOLUME_MIN_MIX}", f">= {VOLUME_MIN_MIX}",
                            f"Previous day events below {VOLUME_MIN_MIX}"),
+    "volume_dirty": rule_sql(f"volume_prev_day_events_min_{VOLUME_MIN_DIRTY}", "P0", "n1",
+                             f"{{m}} >= {VOLUME_MIN_DIRTY}", f">= {VOLUME_MIN_DIRTY}",
+                             f"Previous day events below {VOLUME_MIN_DIRTY}"),
     "purchase_prev": rule_sql("purchase_events_vanish_prev_day", "P0", "np1", "{m} > 0", "> 0",
                               "No purchases on previous day"),
     "null_rate": rule_sql("null_rate_session_id_run_date", "P1",
@@ -296,14 +300,14 @@ DIRTY_CTE = f"""raw_events AS (
          CASE e.event_id % 17 WHEN 1 THEN 'abc' WHEN 2 THEN '1_000.5' WHEN 3 THEN '' WHEN 4 THEN ' 12.5 '
               WHEN 5 THEN '1e3' ELSE {RAW_PRICE} END AS price,
          CAST(e.user_id AS VARCHAR) AS user_id, {SESSION} AS user_session
-  FROM {EVENTS} JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR e.event_id % 20 = 0
+  FROM {EVENTS} JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR (e.event_id % 20 = 0 AND day(e.ts) % 2 = 0)
   WHERE day(e.ts) <> 7 AND NOT (day(e.ts) = 12 AND hour(e.ts) >= 20)
 )"""
 DIRTY_FACT = f"""fact_events AS (
   SELECT *, CAST(event_ts AS DATE) AS event_date FROM ({CLEAN_SELECT}) c WHERE event_ts IS NOT NULL
 )"""
 ALL_RULES = "\nUNION ALL\n".join(RULES[k] for k in (
-    "freshness", "volume_mix", "purchase_prev", "null_rate", "dup", "purchase_run", "latest_in_day", "latest_24h"))
+    "freshness", "volume_dirty", "purchase_prev", "null_rate", "dup", "purchase_run", "latest_in_day", "latest_24h"))
 # A store that holds run_date alone.
 ONE_DAY_CTE = FACT_CTE.replace("fact_events AS (", "all_events AS (", 1) + f""",
 fact_events AS (SELECT * FROM all_events WHERE event_date = {RD})"""

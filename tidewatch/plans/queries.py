@@ -42,6 +42,7 @@ from tidewatch.sources.tables import Store, export_csv, read_csv_extract
 RUN_DATE = dt.date(2024, 1, 15)
 SPIKE_DAY = dt.date(2024, 1, 18)
 VOLUME_MIN_MIX = 330  # gives both PASS and FAIL on the sf0.01 tables
+VOLUME_MIN_DIRTY = 260  # the same on the careless events
 COARSE_DUP_KEY = ("user_id", "event_type")
 DETAIL_CHECK = "null_rate_session_id_run_date"
 TOP_N = 10
@@ -129,7 +130,7 @@ def q_dirty_load_counts(spark, sf_dir):
 @query("dirty_dq_checks")
 def q_dirty_dq_checks(spark, sf_dir):
     """Eight rules over events with duplicates, a missing day, a day that ends early and one without purchases."""
-    rules = [R.freshness_has_events(), R.volume_prev_day(VOLUME_MIN_MIX), R.purchases_prev_day(), R.null_rate_session(),
+    rules = [R.freshness_has_events(), R.volume_prev_day(VOLUME_MIN_DIRTY), R.purchases_prev_day(), R.null_rate_session(),
              R.dup_composite_key(), R.purchases_run_date(), R.latest_event_in_day(), R.latest_event_24h()]
     return R.checks_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)), rules)
 

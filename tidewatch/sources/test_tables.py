@@ -107,7 +107,7 @@ def raw_events_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same events as a careless producer would write them, by fixed rules on event_id:
 # several time shapes (and none), padded, blank and odd-case text, bad prices, every
-# 20th event twice, no events on the 7th, none after 20:00 on the 12th and no purchases
+# 20th event of even days twice, no events on the 7th, none after 20:00 on the 12th and no purchases
 # on the 15th of a month.
 DIRTY_SQL = RAW_SQL | {
     "event_time": (f"CASE event_id % 13 WHEN 1 THEN date_format(ts, 'yyyy/M/d H:m:s') "
@@ -130,5 +130,5 @@ DIRTY_KEEP = "day(ts) <> 7 AND NOT (day(ts) = 12 AND hour(ts) >= 20)"
 def dirty_events_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test events as careless raw text."""
     e = _events_with_catalog(read_table(spark, sf_dir, "events"), read_table(spark, sf_dir, "part")).where(DIRTY_KEEP)
-    twice = F.explode(F.expr("CASE WHEN event_id % 20 = 0 THEN array(1, 2) ELSE array(1) END"))
+    twice = F.explode(F.expr("CASE WHEN event_id % 20 = 0 AND day(ts) % 2 = 0 THEN array(1, 2) ELSE array(1) END"))
     return e.select("*", twice.alias("copy")).selectExpr(*[f"{sql} AS {name}" for name, sql in DIRTY_SQL.items()])
