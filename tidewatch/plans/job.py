@@ -6,8 +6,8 @@
 
 Options mirror a daily monitoring run: load raw files into the history
 (once), ingest one day or every day, evaluate the rules and anomalies, open
-incidents, optionally reset the daily table first, inject a demo null spike,
-and export the dashboard extracts.  All work runs on the cluster; the
+incidents, optionally reset the daily table first, and export the dashboard
+extracts.  All work runs on the cluster; the
 driver only issues the steps.
 """
 
@@ -37,10 +37,6 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
                    help="previous-day volume rule: minimum rows (default 1000)")
     p.add_argument("--null-max-pct", type=float, default=1.0,
                    help="session null-rate rule: maximum percent (default 1.0)")
-    p.add_argument("--demo-spike", action="store_true", help="mask session ids on --spike-date")
-    p.add_argument("--spike-date", default=None, help="day to mask (yyyy-MM-dd)")
-    p.add_argument("--spike-rate", type=float, default=daily.SPIKE_RATE,
-                   help="share of that day's rows to mask (default 0.20)")
     p.add_argument("--export", action="store_true", help="write the CSV extracts")
     p.add_argument("--out-dir", default=None, help="extract folder (default: under the work root)")
     return p.parse_args(argv)
@@ -49,21 +45,18 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> dict:
     args = parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # days and stamps must not follow the cluster's zone
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     store = Store(spark, root=args.root, database=args.database).init_tables()
     if args.raw_csv:
         daily.load_raw_csv(store, args.raw_csv)
     if args.reset_replay:
         daily.reset_replay(store)
     rules = R.default_rules(args.volume_min_rows, args.null_max_pct)
-    spike = None
-    if args.demo_spike:
-        if not args.spike_date:
-            raise SystemExit("--demo-spike needs --spike-date")
-        spike = (as_date(args.spike_date), args.spike_rate)
     if args.run_all:
-        daily.backfill(store, rules, spike)
+        daily.backfill(store, rules)
     else:
-        daily.run_day(store, as_date(args.run_date), rules, spike)
+        daily.run_day(store, as_date(args.run_date), rules)
     out: dict = {}
     if args.export:
         out = daily.export_reports(store, args.out_dir or work_path(spark, "exports", args.database))
