@@ -219,6 +219,27 @@ def test_attention_learns():
     assert attention.log_probs(w, read, goal).sum() > 0.7 * before
 
 
+def test_attention_fit_takes_every_training_row_in_any_layout(spark):
+    free = [r["id"] for r in spark.range(400).filter("pmod(xxhash64('fit', id), 16) <> 0").collect()]
+    turns = [(i, "ab cd ef gh " * 20) for i in free[:60]]  # no id of one hash class, however few rows a task has
+    for n in (1, 24):
+        got = lm.score(spark.createDataFrame(turns, "doc_id long, text string").repartition(n), F.lit(True), BYTE).collect()
+        assert sum(r["score"] for r in got) > -0.3 * sum(r["n_tokens"] for r in got)
+    data = [(i, " ".join(_words(i, 40))) for i in range(150)]
+    one, many = (sorted((str(r["doc_id"]), r["score"]) for r in lm.score(
+        spark.createDataFrame(data, "doc_id long, text string").repartition(n), F.lit(True), BYTE).collect()) for n in (1, 24))
+    assert [k for k, _ in one] == [k for k, _ in many]
+    assert np.allclose([s for _, s in one], [s for _, s in many], rtol=1e-5)
+
+
+def test_attention_rounds_grow_with_the_corpus():
+    of = lambda n: lm._plan(np.array([n * attention.STRIDE, 0.0]))
+    assert of(1) == (1, 1, lm.MOST_PASSES) and of(lm.TASK_WINDOWS)[:2] == (1, 1)
+    for tasks in (10, 1_000, 100_000):
+        rounds, each, passes = of(tasks * lm.TASK_WINDOWS)
+        assert tasks <= rounds * each < tasks + rounds and rounds > math.log2(tasks) and passes == 1
+
+
 def test_packing_round_trip(docs, rows):
     packed = packing.pack(docs.filter("doc_id is not null").dropDuplicates(["doc_id"]), PIECE, length=256).collect()
     lib = sentencepiece.SentencePieceProcessor(model_file=PIECE)
