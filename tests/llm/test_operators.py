@@ -20,14 +20,15 @@ from tokenizers import Tokenizer
 
 from tidewatch.llm import attention, graph, imatch, lm, minhash, mixing, neighbours, packing, pieces, quality, secrets, tokens
 from tidewatch.llm.oracle import ORACLES
+from tidewatch.llm.queries import QUERIES
 
+SF_ORACLE = "/root/testdata/sf0.01"
 BYTE, PIECE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, score string, kept int, key string, "
           "spans string, hash string, block int, n_tokens string, about string, component_id string, copies string")
 ODD = [None, "", " ", "\n\t ", "a", "É é ▁ ▁▁x", "日本語 テキスト 😀😀", "<|endoftext|> x<|endoftext|>", "a\x1cb\x85c　d​e", "\x00\x01",
        "    " * 9, "don't I'll 'S x's 12²³ ---==", "ab" * 900]
 
-
 def _words(seed: int, n: int, prefix: str = "w") -> list[str]:
     rng = random.Random(seed)
     return [f"{prefix}{rng.randrange(4000)}" for _ in range(n)]
@@ -240,6 +241,45 @@ def test_attention_rounds_grow_with_the_corpus():
         assert tasks <= rounds * each < tasks + rounds and rounds > math.log2(tasks) and passes == 1
 
 
+def test_attention_tells_rare_symbols_apart_by_context():
+    rng = np.random.default_rng(2)
+    n = lm.SINGLE + lm.TAIL * 4
+    by_id = np.r_[np.sort(rng.integers(5, 900, n))[::-1], 0, 0, 0, 40]
+    classes = lm.Classes(by_id)
+    assert classes.symbols == n + 2 and len(classes.inside.groups) == lm.TAIL
+    assert len({*classes.place.tolist()}) == n + 2 and attention.CONTEXT > attention.STRIDE
+    w = attention.fresh(classes.log_share, classes.symbols)
+    w = {k: x.astype(np.float64) for k, x in w.items()}
+    read, goal = attention.windows([rng.integers(0, classes.symbols, k) for k in (70, 200)], classes.symbols)
+    _, g = attention.gradients(w, read, goal, classes.inside)
+    for k in w:
+        for _ in range(4):
+            at = tuple(rng.integers(0, s) for s in w[k].shape)
+            w[k][at] += 1e-5
+            up = attention.gradients(w, read, goal, classes.inside)[0]
+            w[k][at] -= 2e-5
+            down = attention.gradients(w, read, goal, classes.inside)[0]
+            w[k][at] += 1e-5
+            assert abs((up - down) / 2e-5 - g[k][at]) < 1e-6
+    every = [np.exp(attention.log_probs(w, read[:1], np.full((1, attention.STRIDE), c), classes.inside)) for c in range(classes.symbols)]
+    assert np.allclose(sum(every), 1, atol=1e-6)
+    # two symbols of one class, each after its own first symbol
+    c, lo, hi = classes.inside.groups[0]
+    seqs = [np.array([a, b] * 30) for a, b in ((0, lo), (1, lo + 1))] * 20
+    read, goal = attention.windows(seqs, classes.symbols)
+    w = attention.fresh(classes.log_share, classes.symbols)
+    attention.train(w, [(read, goal)] * 60, size=64, inside=classes.inside)
+    first = attention.log_probs(w, read[:1], np.tile([0, lo], attention.STRIDE // 2)[None], classes.inside)[0, 1::2]
+    other = attention.log_probs(w, read[:1], np.tile([0, lo + 1], attention.STRIDE // 2)[None], classes.inside)[0, 1::2]
+    assert (first > other + 2).all()
+
+
+def test_attention_beats_the_word_base_on_held_out_rows(spark):
+    got = QUERIES["op4_attention_scores"](spark, SF_ORACLE).groupBy("held_out").agg(
+        F.sum("base_score").alias("base"), F.sum("score").alias("score")).collect()
+    assert len(got) == 2 and all(r["score"] > r["base"] for r in got)
+
+
 def test_packing_round_trip(docs, rows):
     packed = packing.pack(docs.filter("doc_id is not null").dropDuplicates(["doc_id"]), PIECE, length=256).collect()
     lib = sentencepiece.SentencePieceProcessor(model_file=PIECE)
