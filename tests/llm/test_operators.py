@@ -105,6 +105,18 @@ def test_minhash_chain_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_groups(df, 3, 0.85).collect()} == want
 
 
+def test_minhash_links_every_text_of_a_shared_id(spark):
+    """Chains of near copies; every id has a second text that is like no other."""
+    rows = []
+    for c in range(25):
+        base = _words(900 + c, 120)
+        rows += [(100 * c + i, " ".join([f"c{c}x{j}" for j in range(6 * i)] + base[6 * i:])) for i in range(14)]
+    rows += [(i, " ".join(_words(5_000 + i, 90, "z"))) for i, _ in rows]
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 0.85).collect()
+    assert len(got) == len(rows)
+    assert all(r["component_id"] == r["doc_id"] // 100 * 100 for r in got)
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(50)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)]

@@ -123,6 +123,11 @@ def minhashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def _signature(hashes: np.ndarray) -> bytes | None:
+    """Digest of a set; none for the empty set."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None
+
+
 _SKETCH = "doc_id long, n_shingles long, signature binary, minhash array<int>"
 
 
@@ -136,7 +141,7 @@ def sketches(docs: DataFrame, k: int, n: int) -> DataFrame:
             for text in batch.column("text"):
                 s = shingles(text.as_py(), k)
                 sizes.append(len(s))
-                signs.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                signs.append(_signature(s))
                 hashes.append(minhashes(s, n) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()),
@@ -147,19 +152,23 @@ def sketches(docs: DataFrame, k: int, n: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    # rows that share an id: every one of their texts is tried
+    # rows that share an id: the text whose set the class has is the one compared
     left = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # pairs come grouped by b: its set is made once
-        text_b, set_b = None, np.zeros(0, np.uint64)
+        text_b, set_b, own_b = None, np.zeros(0, np.uint64), None
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
+            for x, y, sign_a, sign_b in zip(*[batch.column(c).to_pylist() for c in ("text_a", "text_b", "sign_a", "sign_b")], strict=True):
                 if y != text_b:
                     text_b, set_b = y, shingles(y, k)
+                    own_b = _signature(set_b)
                 set_a = shingles(x, k)
+                if own_b != sign_b or _signature(set_a) != sign_a:
+                    keep.append(False)
+                    continue
                 common = len(np.intersect1d(set_a, set_b, assume_unique=True))
                 union = len(set_a) + len(set_b) - common
                 keep.append(union > 0 and 100 * common >= percent * union)
@@ -202,7 +211,7 @@ def bit_sketches(docs: DataFrame, k: int) -> DataFrame:
             signs, bits = [], []
             for text in batch.column("text"):
                 s = shingles(text.as_py(), k)
-                signs.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                signs.append(_signature(s))
                 one = (minhashes(s, BITS) & 1) if len(s) else np.zeros(BITS, np.int32)
                 bits.append(np.packbits(one.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -227,29 +236,32 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
     rows = id_text(docs, id_col, text_col)
     sketch = written(sketches(rows, k, n), "minhash-sketches")
     named = sketch.filter("doc_id is not null and signature is not null")
-    # equal sets: one class, named by its smallest id; its row stands for all
+    # equal sets: one class, known by its signature (cid) and named by its smallest id; its row stands for all
     classes = named.groupBy("signature").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("minhash").alias("minhash"))
+    classes = classes.withColumn("cid", F.xxhash64("signature"))
     classes = written(classes, "minhash-classes")
     texts = rows.filter("doc_id is not null")
 
     # half keys that several classes have; a key needs two such halves
-    half = classes.select("id", F.posexplode(_halves(0, 2 * m)).alias("i", "h"))
+    half = classes.select("cid", "id", F.posexplode(_halves(0, 2 * m)).alias("i", "h"))
     seen = half.groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = half.join(seen, ["i", "h"]).groupBy("id").agg(
+    own = half.join(seen, ["i", "h"]).groupBy("cid", "id").agg(
         F.collect_list(F.when(F.col("i") < m, F.col("h"))).alias("u"),
         F.collect_list(F.when(F.col("i") >= m, F.col("h"))).alias("v"), F.sum("n").alias("reach"))
-    keys = own.filter("size(u) > 0 and size(v) > 0").select("id", "reach", "v", F.explode("u").alias("x"))
-    keys = keys.select("id", "reach", "x", F.explode("v").alias("y")).withColumn("key", F.xxhash64("x", "y"))
+    keys = own.filter("size(u) > 0 and size(v) > 0").select("cid", "id", "reach", "v", F.explode("u").alias("x"))
+    keys = keys.select("cid", "id", "reach", "x", F.explode("v").alias("y")).withColumn("key", F.xxhash64("x", "y"))
     keys = written(keys, "minhash-keys")
 
     # the hub of a bucket: the class that shares most half keys with others
-    by = Window.partitionBy("key").orderBy(F.col("reach").desc(), "id")
-    hubs = keys.select("id", F.first("id").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("hub"))
-    pairs = hubs.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    by = Window.partitionBy("key").orderBy(F.col("reach").desc(), "id", "cid")
+    hubs = keys.select("cid", F.first("cid").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("hub"))
+    pairs = hubs.filter("cid <> hub").select(F.col("cid").alias("a"), F.col("hub").alias("b")).distinct()
     x, y = classes.alias("x"), classes.alias("y")
-    pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).filter(
-        _possible("x", "y", percent, least)).select("a", "b")
+    named_pair = [F.col(f"{t}.{c}").alias(n) for c, n1, n2 in (("id", "a", "b"), ("signature", "sign_a", "sign_b"))
+                  for t, n in (("x", n1), ("y", n2))]
+    pairs = pairs.join(x, F.col("a") == F.col("x.cid")).join(y, F.col("b") == F.col("y.cid")).filter(
+        _possible("x", "y", percent, least)).select(*named_pair)
     links = written(_verified(pairs, texts, k, percent), "minhash-links")
 
     # rows that share an id tie their classes together
@@ -259,23 +271,23 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
 
     # classes of different components that still share a bucket
     left = keys.join(group, keys["id"] == group["node"], "left").select(
-        "key", "x", "y", "id", F.coalesce("component", "id").alias("part"))
+        "key", "x", "y", "cid", "id", F.coalesce("component", "id").alias("part"))
     mixed = left.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("key")
     left = left.join(mixed, "key")
     wide = bit_sketches(texts.join(left.select(F.col("id").alias("doc_id")).distinct(), "doc_id"), k)
     # rows that share an id: the class's own text is the one whose set it has
     facts = classes.join(wide, ["id", "signature"]).select(
-        "id", "n_shingles", "bits", *[_halves(at, at + m).alias(c) for c, at in (("us", 0), ("vs", m))])
-    left = left.join(facts.dropDuplicates(["id"]), "id")
+        "cid", "signature", "n_shingles", "bits", *[_halves(at, at + m).alias(c) for c, at in (("us", 0), ("vs", m))])
+    left = left.join(facts.dropDuplicates(["cid"]), "cid")
     x, y = left.alias("x"), left.alias("y")
     more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part"))
                   & _sizes_fit("x", "y", percent) & (_differing("x", "y") <= most_differing(similarity))
                   & _first_meeting("us", "x") & _first_meeting("vs", "y"))
-    more = more.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    more = more.select(*named_pair).distinct()
     more = written(more, "minhash-more")
     if not more.isEmpty():
         more = written(_verified(more, texts, k, percent), "minhash-more-links")
-    group = components(links.unionByName(more).unionByName(shared), "minhash-all")
+    group = components(links.unionByName(more.select("a", "b")).unionByName(shared), "minhash-all")
     group = written(group, "minhash-groups")
 
     out = sketch.join(classes.select(F.col("signature").alias("s"), F.col("id").alias("class")),
