@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, lm, minhash, mixing, neighbours, packing, pieces, quality, secrets, tokens
+from . import (
+    imatch,
+    lm,
+    merkle,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    tokens,
+    trie,
+)
 from .common import crc_mod, table
 
 
@@ -69,8 +83,23 @@ def op10_sentencepiece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digests=True)
 
 
+def op11_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies: fingerprints of three-word shingles that differ in at most 3 bits."""
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and verification of every document."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_tensored, op2_quality_rules, op3_token_counts, op4_attention_scores, op5_packed_ids, op6_source_mixture,
     op7_projected_neighbours, op8_imatch_fingerprints, op9_secret_scan,
-    op10_sentencepiece_roundtrip,
+    op10_sentencepiece_roundtrip, op11_simhash_covering, op12_conversation_trie, op13_merkle_manifest,
 )}
