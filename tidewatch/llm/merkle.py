@@ -64,14 +64,13 @@ def offsets(entries: DataFrame, by: Sequence[str], key: str, span: tuple[int, in
 
     ``span`` is the smallest and the largest key.  Windows hold at most 2^FAN_BITS entries.
     """
-    low, high = (k >> FAN_BITS for k in span)
-    if low == high:
+    if span[1] - span[0] < 1 << FAN_BITS:
         return entries.withColumn("base", _before(Window.partitionBy(*by).orderBy(key)))
     up = F.shiftright(key, FAN_BITS)
     entries = entries.withColumn(f"{key}_up", up)
     within = Window.partitionBy(*by, f"{key}_up").orderBy(key)
     above = entries.groupBy(*by, f"{key}_up").agg(F.sum("n").alias("n"))
-    above = offsets(above, by, f"{key}_up", (low, high)).select(*by, f"{key}_up", F.col("base").alias("base_up"))
+    above = offsets(above, by, f"{key}_up", (span[0] >> FAN_BITS, span[1] >> FAN_BITS)).select(*by, f"{key}_up", F.col("base").alias("base_up"))
     return entries.withColumn("base", _before(within)).join(above, [*by, f"{key}_up"]).withColumn(
         "base", F.col("base") + F.col("base_up")).drop("base_up", f"{key}_up")
 

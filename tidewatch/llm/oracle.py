@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import merkle, mixing, secrets, trie
 
 
 def _quoted(text: str) -> str:
@@ -78,4 +78,79 @@ def _mix_sql() -> str:
         block::int as block, {h("epoch", "source", "block")} as block_order, doc_order::int as doc_order from copies"""
 
 
-ORACLES = {"op6_source_mixture": _mix_sql(), "op9_secret_scan": _secret_sql()}
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text: a byte, then eight shifts, for each character."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(list_reduce(list_concat([4294967295::bigint], {steps}), lambda a, x: case when x >= 0 then xor(a, x) "
+            "else xor(a >> 1, case when a & 1 = 1 then 3988292384 else 0 end) end), 4294967295)")
+
+
+def _trie_sql() -> str:
+    """Every prefix of every conversation, as a list of turns; subtrees by the prefixes of nodes."""
+    return f"""
+    with marked as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                    where conv_id is not null),
+    convs as (select conv_id, list({{'role': role, 'text': text}} order by turn nulls first,
+        substr(sha256(strlen(role) || ':' || role || text), 1, 32)) as turns from marked group by conv_id),
+    hs as (select *, ({_crc32("conv_id::varchar")} % {trie.HEAD})::bigint as h from convs),
+    seqs as (select o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) as seq
+        from hs o left join convs b on b.conv_id = o.conv_id - o.conv_id % {trie.SPAN}),
+    members as (select conv_id, d, seq[1:d] as p, d = len(seq) as ends from (select *, unnest(range(0, len(seq) + 1)) as d from seqs)),
+    nodes as (select p, d, min(conv_id) as conv_id, count(*) as n_convs,
+        coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '') as ids from members group by p, d),
+    families as (select p[1:d - 1] as p, count(*) as n from nodes where d > 0 group by 1),
+    below as (select p[1:e] as p, sum(leaf)::bigint as n_leaves, sum(saved)::bigint as saved_tokens from (
+        select n.p, unnest(range(0, d + 1)) as e, (f.n is null)::int as leaf,
+               case when d = 0 then 0 else (n_convs - 1) * length(n.p[d].text) end as saved
+        from nodes n left join families f on f.p = n.p) group by 1)
+    select n.conv_id, n.d::bigint as depth, a.conv_id as parent_conv_id, n.n_convs::bigint as n_convs,
+        coalesce(f.n, 0)::bigint as n_children, b.n_leaves, b.saved_tokens, sha256(n.ids) as ends_sha256
+    from nodes n join below b on b.p = n.p left join families f on f.p = n.p
+    left join nodes a on n.d > 0 and a.p = n.p[1:n.d - 1] and a.d = n.d - 1"""
+
+
+def _merkle_sql() -> str:
+    """Levels by recursion over (tree, level, position); the groups' roots are the tree '' one step above."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen(({c})::varchar) || ':' || ({c})::varchar, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(field(n_chars if c == "n_chars" else c) for c in merkle.FIELDS) + ")"
+
+    def levels(name: str, source: str) -> str:
+        return f"""{name}(g, k, i, n, x) as (
+        select g, 0, i, n, x from {source}
+        union all
+        select g, k + 1, i // 2, (n + 1) // 2, sha256(string_agg(x, '' order by i)) from {name} where n > 1
+        group by g, k, i // 2, n)"""
+
+    def siblings(tree: str, rows: str) -> str:
+        """The sibling of each row at each level, with its side."""
+        return f"""(select r.row, t.k, case when t.i % 2 = 0 then 'l' else 'r' end || t.x as s
+            from {rows} r join {tree} t on t.g = r.g and t.n > 1 and t.i = xor(r.i >> t.k, 1))"""
+
+    return f"""
+    with recursive leaves as (select row_number() over () as row, doc_id, coalesce('=' || lang, '') as g, {leaf("n_chars")} as leaf,
+        case when {_crc32("coalesce(doc_id::varchar, '')")} % {merkle.TAMPERED} = 0 and doc_id is not null and n_chars is not null
+             then {leaf("n_chars::hugeint + 1")} end as bent from documents),
+    placed as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as i,
+        count(*) over (partition by g) as n, leaf as x from leaves),
+    {levels("tree", "placed")},
+    tops as (select g as name, '' as g, x, row_number() over (order by g) - 1 as i, count(*) over () as n from tree where n = 1),
+    {levels("upper", "tops")},
+    members as (select p.row, t.g, t.i from placed p join tops t on t.name = p.g),
+    steps as (select row, k, s from {siblings("tree", "placed")} union all
+        select row, 1000 + k, s from {siblings("upper", "members")}),
+    every as (select p.row, k from placed p join (select distinct g, k from tree where n > 1) using (g)
+        union all select m.row, 1000 + k from members m, (select distinct k from upper where n > 1)),
+    paths as (select row, list(coalesce(s, '') order by k) as path from every left join steps using (row, k) group by row)
+    select p.doc_id, p.leaf, t.x as subroot, u.x as root,
+        sha256(coalesce(list_reduce(list_concat([''], list_transform(path, lambda s: s[2:])), lambda a, s: a || s), '')) as proof_sha256,
+        list_reduce(list_concat([coalesce(bent, leaf)], coalesce(path, [])), lambda a, s:
+            sha256(case when s[1] = 'l' then s[2:] else '' end || a || case when s[1] = 'r' then s[2:] else '' end)) as folded_root,
+        folded_root = root as verified
+    from placed p join tops t on t.name = p.g join upper u on u.n = 1 left join paths using (row)"""
+
+
+ORACLES = {"op6_source_mixture": _mix_sql(), "op9_secret_scan": _secret_sql(), "op12_conversation_trie": _trie_sql(),
+           "op13_merkle_manifest": _merkle_sql()}
