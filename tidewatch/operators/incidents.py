@@ -8,7 +8,8 @@
   is the latest row per incident by ``changed_at`` — arrival order is ignored.
 - ``resolution_events``: a failing check that passes again on a later run
   resolves its incident; found with a per-rule forward-looking window, not
-  by pairing incidents with later checks.
+  by pairing incidents with later checks.  (The store reconciles its log with
+  the current check rows instead, see ``operators.episodes``.)
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tidewatch.functions.sqltext import sql_str
 from tidewatch.schemas import INCIDENT_STATUS_LOG, INCIDENTS, INCIDENT_STATUSES, SEVERITIES
 
 DEFAULT_OWNER = "data-reliability"
+#: Log status that takes a closing of the same time out of force; never a current status.
+REOPENED = "REOPENED"
 
 # Incident id slugs and root-cause types of the rules.
 # rule kind -> (slug, root_cause_type, what the rule measures, who reads it)
@@ -61,16 +64,26 @@ def catalog_df(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS catalog({', '.join(_CATALOG_COLS)})"))
 
 
-_KIND_SQL = r"regexp_replace({name}, '_(min_)?[0-9]+(\\.[0-9]+)?h?$', '')"
+# Names of the rules whose limit is the usual one; their ids carry the bare slug.
+USUAL_LIMITS = ("volume_prev_day_events_min_1000", "freshness_latest_event_within_24h")
+
+_LIMIT = r"_(min_)?[0-9]+(\\.[0-9]+)?h?$"
+_KIND_SQL = f"regexp_replace({{name}}, '{_LIMIT}', '')"
 _DAY_SQL = r"to_date(regexp_extract({iid}, 'INC-(\\d{{4}}-\\d{{2}}-\\d{{2}})', 1))"
 
 
 def incident_id_sql(check_date: str = "check_date", check_name: str = "check_name") -> str:
-    """SQL for ``INC-<yyyy-mm-dd>-<SLUG>``; rules outside the catalogue get their
-    kind, upper-cased, as slug."""
+    """SQL for ``INC-<yyyy-mm-dd>-<SLUG>[-<LIMIT>]``.
+
+    Rules of one kind with different limits run side by side: a limit other than the
+    usual one is part of the id.  Rules outside the catalogue get their name, upper-cased.
+    """
     kind = _KIND_SQL.format(name=check_name)
     whens = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in CATALOG.items())
-    slug = f"coalesce(CASE {kind} {whens} END, upper(replace({kind}, '_', '-')))"
+    usual = ", ".join(f"'{n}'" for n in USUAL_LIMITS)
+    limit = (f"CASE WHEN {check_name} IN ({usual}) THEN '' "
+             f"ELSE upper(replace(regexp_extract({check_name}, '{_LIMIT}', 0), '_', '-')) END")
+    slug = f"coalesce(CASE {kind} {whens} END || {limit}, upper(replace({check_name}, '_', '-')))"
     return f"concat('INC-', date_format({check_date}, 'yyyy-MM-dd'), '-', {slug})"
 
 
@@ -168,13 +181,23 @@ _RANK_SQL = ("array_position(array(" + ", ".join(f"'{s}'" for s in INCIDENT_STAT
              + "), status)")
 
 
+def effective(log: DataFrame) -> DataFrame:
+    """Log rows that count: closings that were taken back, and the rows that did so, are left out."""
+    if "origin" not in log.columns:
+        return log
+    at = "OVER (PARTITION BY incident_id, changed_at, origin)"
+    rows = log.selectExpr("*", f"count_if(status = 'RESOLVED') {at} - count_if(status = '{REOPENED}') {at} AS _net")
+    return rows.where(f"status <> '{REOPENED}' AND NOT (status = 'RESOLVED' AND origin IS NOT NULL AND _net <= 0)").drop("_net")
+
+
 def current_state(incidents: DataFrame, status_log: DataFrame) -> DataFrame:
-    """Incidents with status and closed_at taken from the latest log row.
+    """Incidents with status and closed_at taken from the latest log row that counts.
 
     Latest = greatest ``changed_at``; ties go to the later workflow step.
-    ``closed_at`` is the time of the latest row when that row is RESOLVED.
+    ``closed_at`` is the time of the latest row when that row is RESOLVED.  Closings that
+    a REOPENED row took back do not count.
     """
-    latest = status_log.selectExpr(
+    latest = effective(status_log).selectExpr(
         "incident_id", "status AS _status", "changed_at AS _changed_at",
         f"row_number() OVER (PARTITION BY incident_id ORDER BY changed_at DESC, {_RANK_SQL} DESC) AS _rn",
     ).where("_rn = 1").drop("_rn")

@@ -9,8 +9,9 @@ into long form with ``inline(array(named_struct(...)))`` -- no union, no
 self-join.  Rules being SQL text keeps them declarative (they can be stored
 as configuration) and makes the whole evaluation one expression for Catalyst.
 
-Status is ``PASS`` when the condition holds and ``FAIL`` otherwise; a NULL
-metric (e.g. a null rate over zero rows) therefore fails.
+Status is ``PASS`` when the condition holds, ``WARN`` when only the rule's
+weaker condition does, and ``FAIL`` otherwise; a NULL metric (e.g. a null rate
+over zero rows) therefore fails.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ FACT_TABLE = "core.fact_events"
 @dataclass(frozen=True)
 class Rule:
     """A rule; ``metric`` is SQL over ``{stat}`` placeholders (the stats of the
-    day the rule reads) and ``{d}`` (the check date); ``passes`` is SQL over
-    ``{m}`` (the metric)."""
+    day the rule reads) and ``{d}`` (the check date); ``passes`` and ``warns`` are
+    SQL over ``{m}`` (the metric); without ``warns`` the rule never warns."""
 
     name: str
     severity: str
@@ -50,6 +51,7 @@ class Rule:
     expected_range: str
     failure_details: str
     needs: tuple[str, ...] = field(default=("n_events",))
+    warns: str | None = None
 
 
 def _num(x: float) -> str:
@@ -67,10 +69,12 @@ def freshness_has_events() -> Rule:
                 "> 0 rows on run_date", "No events found for run_date")
 
 
-def volume_prev_day(min_rows: int = 1000) -> Rule:
+def volume_prev_day(min_rows: int = 1000, fail_below: int | None = None) -> Rule:
+    """With ``fail_below``, counts from there up to ``min_rows`` only warn."""
     return Rule(f"volume_prev_day_events_min_{min_rows}", "P0", 1, _count("n_events"),
                 f"{{m}} >= {int(min_rows)}", f">= {min_rows}",
-                f"Previous day events below {min_rows}")
+                f"Previous day events below {min_rows}",
+                warns=None if fail_below is None else f"{{m}} >= {int(fail_below)}")
 
 
 def purchases_prev_day() -> Rule:
@@ -78,13 +82,15 @@ def purchases_prev_day() -> Rule:
                 "> 0", "No purchases on previous day", ("n_purchases",))
 
 
-def null_rate_session(max_pct: float = 1.0) -> Rule:
+def null_rate_session(max_pct: float = 1.0, fail_above: float | None = None) -> Rule:
+    """With ``fail_above``, rates over ``max_pct`` up to there only warn."""
     return Rule("null_rate_session_id_run_date", "P1", 0,
                 "100.0D * CAST({n_null_session} AS DOUBLE) / nullif(CAST({n_events} AS DOUBLE), 0.0D)",
                 f"{{m}} <= {float(max_pct)!r}D",
                 f"<= {_num(max_pct)}%",
                 f"session_id null% exceeded {_num(max_pct)}% on run_date",
-                ("n_events", "n_null_session"))
+                ("n_events", "n_null_session"),
+                None if fail_above is None else f"{{m}} <= {float(fail_above)!r}D")
 
 
 def dup_composite_key() -> Rule:
@@ -209,12 +215,13 @@ def _result_struct(rule: Rule, table_name: str) -> str:
     fields = {n: f"{prefix}{n}" for n in _stat_names(rule.metric) if n != "d"}
     metric = "CAST(" + rule.metric.format(d="check_date", **fields) + " AS DOUBLE)"
     ok = rule.passes.format(m=metric)
+    warn = f"WHEN {rule.warns.format(m=metric)} THEN 'WARN' " if rule.warns else ""
     return (
         "named_struct("
         f"'check_name', {sql_str(rule.name)}, "
         f"'table_name', {sql_str(table_name)}, "
         f"'severity', {sql_str(rule.severity)}, "
-        f"'status', CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END, "
+        f"'status', CASE WHEN {ok} THEN 'PASS' {warn}ELSE 'FAIL' END, "
         f"'metric_value', {metric}, "
         f"'expected_range', {sql_str(rule.expected_range)}, "
         f"'failure_details', CASE WHEN {ok} THEN CAST(NULL AS STRING) "

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from tidewatch.functions.arith import stable_bucket
 from tidewatch.functions.dates import DateLike, as_date
 from tidewatch.operators import anomalies as A
+from tidewatch.operators import digests as DG
+from tidewatch.operators import episodes as E
 from tidewatch.operators import incidents as I
 from tidewatch.operators import rules as R
 from tidewatch.operators import stats as ST
@@ -92,6 +94,7 @@ def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None
     """
     d = as_date(day)
     rows = store.read("fact_events_all").where(F.col("event_date") == F.lit(d))
+    store.overwrite_day("dq_day_digest", DG.day_digests(rows), d)
     if spike is not None and as_date(spike[0]) == d:
         rows = mask_sessions(rows, d, spike[1])
     store.overwrite_day("fact_events", rows, d)
@@ -117,8 +120,11 @@ def _stored_stats(store: Store, upto: dt.date | None = None) -> DataFrame:
 
 
 def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
-            spike: tuple[DateLike, float] | None = None) -> None:
-    """Ingest, aggregate, check and score one day; rerunning it is a no-op."""
+            spike: tuple[DateLike, float] | None = None, anomaly_incidents: bool = False) -> None:
+    """Ingest, aggregate, check and score one day; rerunning it is a no-op.
+
+    ``anomaly_incidents`` also opens incidents from runs of flagged KPI days.
+    """
     rules = list(rules or R.default_rules())
     d = as_date(day)
     spark = store.spark
@@ -134,17 +140,20 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
     store.overwrite_day("dq_anomalies", scored, d)
 
     open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date") == F.lit(d)))
-    resolve_incidents(store, store.read("dq_check_results"))
+    if anomaly_incidents:
+        open_anomaly_incidents(store, store.read("dq_anomalies").where(F.col("anomaly_date") <= F.lit(d)))
+    reconcile_incidents(store, anomaly_incidents)
     store.overwrite_day("dq_run_context", ST.run_context(stats.where(F.col("event_date") == F.lit(d))), d)
 
 
 # ---- all days ------------------------------------------------------------------
 
 def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
-             spike: tuple[DateLike, float] | None = None) -> None:
+             spike: tuple[DateLike, float] | None = None, anomaly_incidents: bool = False) -> None:
     """Every day of the history in one pass per step (dynamic overwrites)."""
     rules = list(rules or R.default_rules())
     rows = store.read("fact_events_all")
+    store.replace("dq_day_digest", DG.day_digests(rows))
     if spike is not None:
         rows = mask_sessions(rows, spike[0], spike[1])
     store.replace("fact_events", rows)
@@ -153,7 +162,9 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
     store.overwrite_days("dq_check_results", R.evaluate_rules(_stored_stats(store), rules))
     store.overwrite_days("dq_anomalies", A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats")))))
     open_new_incidents(store, store.read("dq_check_results"))
-    resolve_incidents(store, store.read("dq_check_results"))
+    if anomaly_incidents:
+        open_anomaly_incidents(store, store.read("dq_anomalies"))
+    reconcile_incidents(store, anomaly_incidents)
     store.overwrite_days("dq_run_context", ST.run_context(store.read("dq_day_stats")))
 
 
@@ -161,28 +172,91 @@ def reset_replay(store: Store) -> None:
     """Empty the daily fact table and its stored aggregates (history is untouched)."""
     store.truncate("fact_events")
     store.truncate("dq_day_stats")
+    store.truncate("dq_day_digest")
+
+
+# ---- late data -------------------------------------------------------------------
+
+def recompute(store: Store, rules: Sequence[R.Rule] | None = None, anomaly_incidents: bool = False) -> dict[str, list[dt.date]]:
+    """Bring the store up to a history that changed, touching only what depends on the change.
+
+    Days whose rows differ from what was ingested are found by their digests (one scan
+    of the history, one small row per day and task).  Those days are ingested again; days
+    that read them through a rule (the calendar day after) or through a frame (the next
+    14 rows) get new check and anomaly rows; partitions of all other days keep their
+    files.  The result is that of a full ``backfill``.  Returns the days of each kind;
+    lists of days come to the driver, never rows.
+    """
+    rules = list(rules or R.default_rules())
+    history = store.read("fact_events_all")
+    digests = materialize(DG.day_digests(history))
+    found = DG.changed_days(digests, store.read("dq_day_digest")).collect()
+    changed, gone = sorted(r["event_date"] for r in found), sorted(r["event_date"] for r in found if not r["here"])
+    here = [d for d in changed if d not in gone]
+    if not changed:
+        return {"changed": [], "checked": [], "scored": []}
+
+    for table in ("fact_events", "dq_day_stats", "dq_check_results", "dq_anomalies", "dq_run_context"):
+        store.clear_days(table, gone)
+    if here:
+        on_days = F.col("event_date").isin(here)
+        store.overwrite_days("fact_events", history.where(on_days))
+        store.overwrite_days("dq_day_stats", stats_for(store.read("fact_events").where(on_days), needs_dups(rules)))
+        store.overwrite_days("dq_run_context", ST.run_context(store.read("dq_day_stats").where(on_days)))
+
+    present = [r[0] for r in store.read("dq_day_stats").select("event_date").distinct().collect()]
+    checked = DG.days_checked(changed, present, any("latest_event_ts" in r.needs for r in rules))
+    scored = DG.days_scored(changed, present, A.BASELINE_ROWS)
+    if checked:
+        results = R.evaluate_rules(_stored_stats(store), rules).where(F.col("check_date").isin(checked))
+        store.overwrite_days("dq_check_results", results)
+    if scored:
+        rows = A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats"))))
+        store.overwrite_days("dq_anomalies", rows.where(F.col("anomaly_date").isin(scored)))
+    open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date").isin(checked)))
+    if anomaly_incidents:
+        open_anomaly_incidents(store, store.read("dq_anomalies"))
+    reconcile_incidents(store, anomaly_incidents)
+    store.clear_days("dq_day_digest", gone)  # last: a run that stopped before finds the change again
+    if here:
+        store.overwrite_days("dq_day_digest", digests.where(F.col("event_date").isin(here)))
+    return {"changed": changed, "checked": checked, "scored": scored}
+
+
+def audit_load(store: Store) -> DataFrame:
+    """Days of the daily table against the history: ok, missing, foreign, doubled, partial or mixed."""
+    return DG.load_audit(store.read("fact_events_all"), store.read("fact_events"))
 
 
 # ---- incidents -------------------------------------------------------------------
 
-def open_new_incidents(store: Store, checks: DataFrame) -> None:
-    """Record incidents for failing checks whose id is new, plus their OPEN log rows."""
-    fresh = I.new_incidents(I.open_incidents(store.spark, checks), store.read("dq_incidents"))
-    store.append("dq_incidents", fresh)
+def _record(store: Store, candidates: DataFrame, note: str) -> None:
+    """Append candidates whose id is new, and the OPEN log rows that recorded incidents lack."""
+    store.append("dq_incidents", I.new_incidents(candidates, store.read("dq_incidents")))
     opened = store.read("dq_incidents").join(
         store.read("dq_incident_status_log").select("incident_id"), "incident_id", "left_anti")
     store.append("dq_incident_status_log", opened.select(
-        "incident_id", F.lit("OPEN").alias("status"), F.col("opened_at").alias("changed_at"),
-        F.lit("opened by failing check").alias("note")))
+        "incident_id", F.lit("OPEN").alias("status"), F.col("opened_at").alias("changed_at"), F.lit(note).alias("note")))
+
+
+def open_new_incidents(store: Store, checks: DataFrame) -> None:
+    """Record incidents for failing checks whose id is new, plus their OPEN log rows."""
+    _record(store, I.open_incidents(store.spark, checks), "opened by failing check")
+
+
+def open_anomaly_incidents(store: Store, scored: DataFrame) -> None:
+    """Record one incident per run of flagged days whose id is new, plus its OPEN log row."""
+    _record(store, E.anomaly_incidents(E.anomaly_episodes(scored)), "opened by flagged KPI")
 
 
-def resolve_incidents(store: Store, checks: DataFrame) -> None:
-    """Log RESOLVED for recorded incidents whose check passed again (once per incident and time)."""
-    log = store.read("dq_incident_status_log")
-    found = I.resolution_events(checks).where("status = 'RESOLVED'")
-    found = found.join(store.read("dq_incidents").select("incident_id"), "incident_id", "left_semi")
-    store.append("dq_incident_status_log", found.join(
-        log.select("incident_id", "status", "changed_at"), ["incident_id", "status", "changed_at"], "left_anti"))
+def reconcile_incidents(store: Store, anomalies: bool = False) -> None:
+    """Hold the log against the current check rows (and anomalies): close, and take closings back."""
+    sources = [("check", E.check_closings(store.read("dq_check_results")))]
+    if anomalies:
+        sources.append(("anomaly", E.anomaly_closings(store.read("dq_anomalies"))))
+    for origin, closings in sources:
+        rows = E.reconcile(store.read("dq_incidents"), store.read("dq_incident_status_log"), closings, origin)
+        store.append("dq_incident_status_log", materialize(rows))
 
 
 def record_status(store: Store, changes: DataFrame) -> None:

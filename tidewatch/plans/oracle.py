@@ -6,6 +6,8 @@ caller.  Doubles are rounded to 6 decimals, as on the Spark side.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from tidewatch.plans.queries import (
     DIGITS,
     DETAIL_CHECK,
@@ -14,6 +16,8 @@ from tidewatch.plans.queries import (
     TOP_N,
     VOLUME_MIN_DIRTY,
     VOLUME_MIN_MIX,
+    WARN_BELOW,
+    WARN_NULL_PCT,
 )
 from tidewatch.plans.daily import SPIKE_RATE, SPIKE_SEED
 
@@ -149,6 +153,11 @@ def rule_sql(name: str, sev: str, metric: str, cond: str, expected: str, failure
   FROM (SELECT check_date, CAST({metric} AS DOUBLE) AS m FROM {src}) r"""
 
 
+def warning(sql: str, cond: str) -> str:
+    """A rule's SQL with rows that fail but meet ``cond`` (over m) as warnings."""
+    return sql.replace("THEN 'PASS' ELSE 'FAIL' END", f"THEN 'PASS' WHEN {cond} THEN 'WARN' ELSE 'FAIL' END")
+
+
 HOURS_TO_END = "date_diff('microsecond', {ts}, CAST(check_date + 1 AS TIMESTAMP)) / 3.6e9"
 
 RULES = {
@@ -312,6 +321,42 @@ ALL_RULES = "\nUNION ALL\n".join(RULES[k] for k in (
 ONE_DAY_CTE = FACT_CTE.replace("fact_events AS (", "all_events AS (", 1) + f""",
 fact_events AS (SELECT * FROM all_events WHERE event_date = {RD})"""
 
+# Runs of failing days: a failing row and the pass that ends its run have as many passes before them.
+CHECK_EPISODES = """SELECT check_name, min(check_date) FILTER (status <> 'PASS') AS first_day,
+    max(check_date) FILTER (status <> 'PASS') AS last_day, count(*) FILTER (status <> 'PASS') AS failing_days,
+    min(severity) FILTER (status <> 'PASS') AS severity, min(check_date) FILTER (status = 'PASS') AS closed_on
+  FROM (SELECT c.*, (SELECT count(*) FROM checks p WHERE p.check_name = c.check_name AND p.status = 'PASS'
+                     AND p.check_date < c.check_date) AS island FROM checks c) r
+  GROUP BY check_name, island HAVING count(*) FILTER (status <> 'PASS') > 0"""
+
+
+def flagged_runs(gap: int) -> str:
+    """Flagged days by their run: a flagged day without a flagged one at most ``gap`` days before starts it."""
+    same = "{0}.entity_type = s.entity_type AND {0}.entity_id IS NOT DISTINCT FROM s.entity_id AND {0}.metric_name = s.metric_name"
+    return f"""flagged AS (
+  SELECT s.*, count_if(starts) OVER (PARTITION BY entity_type, entity_id, metric_name ORDER BY anomaly_date) AS run
+  FROM (SELECT s.*, NOT EXISTS (SELECT 1 FROM scored p WHERE {same.format('p')} AND p.anomaly_flag = 'Y'
+               AND p.anomaly_date < s.anomaly_date AND p.anomaly_date >= s.anomaly_date - {gap}) AS starts
+        FROM scored s WHERE anomaly_flag = 'Y') s
+),
+runs AS (
+  SELECT entity_type, entity_id, metric_name, min(anomaly_date) AS first_day, max(anomaly_date) AS last_day,
+         count(*) AS flagged_days, max(abs(z_score)) AS peak_z
+  FROM flagged GROUP BY entity_type, entity_id, metric_name, run
+),
+episodes AS (
+  SELECT s.*, (SELECT min(anomaly_date) FROM scored n WHERE {same.format('n')} AND n.anomaly_date > s.last_day) AS closed_on
+  FROM runs s
+)"""
+
+
+# State of the replay's last facts, and the day that failed once and was repaired.
+REPLAY_SQL = f"""SELECT {INCIDENT_COLS} FROM current_incidents
+UNION ALL
+SELECT incident_id, opened_at, opened_at AS closed_at, severity, 'RESOLVED' AS status, summary, detected_by, impacted_assets,
+    root_cause_type, root_cause_details, resolution_steps, preventive_actions, owner
+  FROM once_failing"""
+
 HEALTH_SQL = """SELECT check_date, count(*) AS total_checks,
     count_if(status <> 'PASS' AND severity = 'P0') AS p0_issues,
     count_if(status <> 'PASS' AND severity = 'P1') AS p1_issues,
@@ -331,6 +376,96 @@ CHECKS_WITH_INC_SQL = f"""SELECT c.check_date, c.check_name, c.table_name, c.sev
    AND c.status <> 'PASS'"""
 
 
+def _replay_sql() -> str:
+    early, again = RUN_DATE - dt.timedelta(days=3), RUN_DATE + dt.timedelta(days=1)
+
+    def facts(*days: dt.date) -> str:
+        listed = ", ".join(f"DATE '{d.isoformat()}'" for d in days)
+        return (FACT_CTE.replace("fact_events AS (", "all_events AS (", 1)
+                + f""", fact_events AS (SELECT * REPLACE (CASE WHEN event_type = 'purchase' AND event_date IN ({listed})
+                       THEN 'view' ELSE event_type END AS event_type) FROM all_events)""")
+
+    rules = "checks AS (" + " UNION ALL ".join(RULES[k] for k in ("purchase_run", "volume_mix", "volume_dirty")) + ")"
+    limit = ("CASE WHEN k.slug IS NULL THEN '' ELSE upper(replace(regexp_extract(f.check_name, "
+             "'_(min_)?[0-9]+(\\.[0-9]+)?h?$', 0), '_', '-')) END")
+    named = INCIDENT_CTES.replace("upper(replace(f.rule_kind, '_', '-')))", f"upper(replace(f.check_name, '_', '-'))) || {limit}")
+    first = _with(facts(early, RUN_DATE), STATS_CTE, rules, named) + "SELECT * FROM incidents"
+    return (_with(facts(RUN_DATE, again), STATS_CTE, rules, named,
+                  f"once_failing AS (SELECT * FROM ({first}) o WHERE incident_id NOT IN (SELECT incident_id FROM incidents))")
+            + REPLAY_SQL)
+
+
+def _anomaly_incidents_sql() -> str:
+    return _with(DIRTY_CTE, DIRTY_FACT, KPI_CTE, scored_cte(), flagged_runs(1)) + """SELECT
+    'INC-' || strftime(first_day, '%Y-%m-%d') || '-ANOMALY-' || upper(replace(metric_name, '_', '-')) AS incident_id,
+    CAST(first_day AS TIMESTAMP) AS opened_at, CAST(closed_on AS TIMESTAMP) AS closed_at, 'P1' AS severity,
+    CASE WHEN closed_on IS NULL THEN 'OPEN' ELSE 'RESOLVED' END AS status,
+    'Unusual ' || metric_name || ' from ' || strftime(first_day, '%Y-%m-%d') || '.' AS summary,
+    'anomaly/overall/' || metric_name AS detected_by, 'dq_anomalies' AS impacted_assets, 'KPI_SHIFT' AS root_cause_type,
+    'KPI_SHIFT: the KPI left the range of its trailing days.' AS root_cause_details,
+    'Compare the KPI with its baseline in dq_anomalies and the checks of the same days.' AS resolution_steps,
+    'Watch the KPI in dq_anomalies from day to day.' AS preventive_actions, 'data-reliability' AS owner
+  FROM episodes"""
+
+
+ENTITY_CTE = """fanned AS (
+  SELECT event_date, event_type, price, 'overall' AS entity_type, CAST(NULL AS VARCHAR) AS entity_id FROM fact_events
+  UNION ALL SELECT event_date, event_type, price, 'category', category_id FROM fact_events
+  UNION ALL SELECT event_date, event_type, price, 'product', product_id FROM fact_events
+),
+ekpis AS (
+  SELECT event_date AS d, entity_type, entity_id, CAST(count(*) AS DOUBLE) AS events_count,
+         CAST(count_if(event_type = 'purchase') AS DOUBLE) AS purchases,
+         CAST(sum(CASE WHEN event_type = 'purchase' THEN TRY_CAST(price AS DECIMAL(22,4)) ELSE 0 END)
+              AS DOUBLE) AS revenue
+  FROM fanned GROUP BY event_date, entity_type, entity_id
+),
+erows AS (
+  SELECT d AS anomaly_date, entity_type, entity_id, 'events_count' AS metric_name, events_count AS actual_value FROM ekpis
+  UNION ALL SELECT d, entity_type, entity_id, 'revenue', revenue FROM ekpis
+  UNION ALL SELECT d, entity_type, entity_id, 'cvr', CASE WHEN events_count = 0 THEN NULL
+                   ELSE purchases / events_count END FROM ekpis
+)"""
+
+
+WARN_TREND = """SELECT check_date, severity, count_if(status = 'FAIL') AS fail_checks,
+    count_if(status = 'WARN') AS warn_checks, count_if(status <> 'PASS') AS issue_checks,
+    count(*) AS total_checks FROM checks GROUP BY check_date, severity"""
+
+# Every calendar day between the first and the last event, events or not.
+EVERY_DAY = """every_day AS (
+  SELECT CAST(d AS DATE) AS check_date, s.n_events AS n0, s.n_purchases AS np0, s.n_null_session AS nn0, COALESCE(y.n_events, 0) AS n1
+  FROM (SELECT unnest(generate_series((SELECT min(event_date) FROM stats), (SELECT max(event_date) FROM stats), INTERVAL 1 DAY)) AS d) c
+  LEFT JOIN stats s ON s.event_date = CAST(d AS DATE) LEFT JOIN stats y ON y.event_date = CAST(d AS DATE) - 1
+)"""
+WARNING_RULES = [
+    RULES["freshness"],
+    warning(rule_sql(f"volume_prev_day_events_min_{WARN_BELOW}", "P0", "n1", f"{{m}} >= {WARN_BELOW}", f">= {WARN_BELOW}",
+                     f"Previous day events below {WARN_BELOW}"), f"m >= {VOLUME_MIN_DIRTY}"),
+    warning(RULES["null_rate"], f"m <= {WARN_NULL_PCT}"),
+    RULES["purchase_run"].replace("CAST(np0 AS DOUBLE)", "CAST(COALESCE(np0, 0) AS DOUBLE)"),
+]
+
+# Rows of each day as multisets, by all their columns.
+AUDIT_SQL = f"""loaded AS (
+  SELECT * REPLACE (CASE WHEN day(event_date) = 7 AND price < 50 THEN 'other' ELSE brand END AS brand) FROM fact_events
+  JOIN (VALUES (1), (2), (3)) c(copy) ON copy <= CASE day(event_date) WHEN 3 THEN 2 WHEN 4 THEN 3
+    WHEN 5 THEN CASE WHEN price < 50 THEN 1 ELSE 0 END WHEN 6 THEN 0 WHEN 8 THEN CASE WHEN price < 50 THEN 0 ELSE 2 END ELSE 1 END
+),
+counted AS (
+  SELECT {FACT_COLS}, count(*) FILTER (side = 1) AS x, count(*) FILTER (side = 2) AS y FROM (
+    SELECT {FACT_COLS}, 1 AS side FROM fact_events WHERE day(event_date) <> 9
+    UNION ALL SELECT {FACT_COLS}, 2 FROM loaded) r GROUP BY ALL
+)
+SELECT event_date, CASE WHEN sum(y) = 0 THEN 'missing' WHEN sum(x) = 0 THEN 'foreign' WHEN bool_and(x = y) THEN 'ok'
+    WHEN bool_and(x > 0 AND y >= 2 * x AND y % greatest(x, 1) = 0) AND max(y // greatest(x, 1)) = min(y // greatest(x, 1)) THEN 'doubled'
+    WHEN bool_and(y <= x) THEN 'partial' ELSE 'mixed' END AS state,
+  CAST(sum(x) AS BIGINT) AS history_rows, CAST(sum(y) AS BIGINT) AS daily_rows,
+  CAST(sum(greatest(x - y, 0)) AS BIGINT) AS missing_rows, CAST(sum(greatest(y - x, 0)) AS BIGINT) AS extra_rows,
+  CAST(sum(CASE WHEN x = 0 THEN y ELSE 0 END) AS BIGINT) AS foreign_rows
+FROM counted GROUP BY event_date"""
+
+
 def _sql() -> dict[str, str]:
     F_ = _with(FACT_CTE)
     FK = _with(FACT_CTE, KPI_CTE)
@@ -405,24 +540,19 @@ def _sql() -> dict[str, str]:
         "anomalies_all_days": FKS + f"SELECT {ANOMALY_COLS} FROM scored",
         "anomalies_latest_day": FKS + f"SELECT {ANOMALY_COLS} FROM scored WHERE anomaly_date = "
                                       "(SELECT max(event_date) FROM fact_events)",
-        "anomalies_by_entity": _with(FACT_CTE, """fanned AS (
-  SELECT event_date, event_type, price, 'overall' AS entity_type, CAST(NULL AS VARCHAR) AS entity_id FROM fact_events
-  UNION ALL SELECT event_date, event_type, price, 'category', category_id FROM fact_events
-  UNION ALL SELECT event_date, event_type, price, 'product', product_id FROM fact_events
-),
-ekpis AS (
-  SELECT event_date AS d, entity_type, entity_id, CAST(count(*) AS DOUBLE) AS events_count,
-         CAST(count_if(event_type = 'purchase') AS DOUBLE) AS purchases,
-         CAST(sum(CASE WHEN event_type = 'purchase' THEN TRY_CAST(price AS DECIMAL(22,4)) ELSE 0 END)
-              AS DOUBLE) AS revenue
-  FROM fanned GROUP BY event_date, entity_type, entity_id
-),
-erows AS (
-  SELECT d AS anomaly_date, entity_type, entity_id, 'events_count' AS metric_name, events_count AS actual_value FROM ekpis
-  UNION ALL SELECT d, entity_type, entity_id, 'revenue', revenue FROM ekpis
-  UNION ALL SELECT d, entity_type, entity_id, 'cvr', CASE WHEN events_count = 0 THEN NULL
-                   ELSE purchases / events_count END FROM ekpis
-)""", scored_cte("erows")) + f"SELECT {ANOMALY_COLS} FROM scored",
+        "anomalies_by_entity": _with(FACT_CTE, ENTITY_CTE, scored_cte("erows")) + f"SELECT {ANOMALY_COLS} FROM scored",
+        "anomaly_episodes": _with(FACT_CTE, ENTITY_CTE, scored_cte("erows"), flagged_runs(2)) + "SELECT * FROM episodes",
+        "check_episodes": _with(DIRTY_CTE, DIRTY_FACT, STATS_CTE, "checks AS (" + " UNION ALL ".join(RULES[k] for k in (
+            "freshness", "volume_dirty", "purchase_prev", "null_rate", "purchase_run", "dup")) + ")") + CHECK_EPISODES,
+        "store_incident_replay": _replay_sql(),
+        "late_data_anomalies": FKS + f"SELECT {ANOMALY_COLS} FROM scored",
+        "late_data_checks": FS + " UNION ALL ".join(RULES[k] for k in (
+            "freshness", "volume", "purchase_prev", "null_rate", "dup", "latest_24h")),
+        "load_audit": _with(FACT_CTE) + ", " + AUDIT_SQL,
+        "dirty_checks_every_day": _with(DIRTY_CTE, DIRTY_FACT, STATS_CTE, EVERY_DAY) + " UNION ALL ".join(
+            r.replace("FROM cal", "FROM every_day") for r in WARNING_RULES),
+        "dirty_warn_trend": _with(DIRTY_CTE, DIRTY_FACT, STATS_CTE, "checks AS (" + " UNION ALL ".join(WARNING_RULES) + ")") + WARN_TREND,
+        "store_anomaly_incidents": _anomaly_incidents_sql(),
         "check_freshness": FS + RULES["freshness"],
         "check_volume_prev_day": FS + RULES["volume_mix"],
         "check_purchase_prev_day": FS + RULES["purchase_prev"],
@@ -445,9 +575,7 @@ erows AS (
   WHERE c.status <> 'PASS'""",
         "health_daily": FC + HEALTH_SQL,
         "checks_with_incidents": FCI + CHECKS_WITH_INC_SQL,
-        "fail_warn_trend": FC + """SELECT check_date, severity, count_if(status = 'FAIL') AS fail_checks,
-    count_if(status = 'WARN') AS warn_checks, count_if(status <> 'PASS') AS issue_checks,
-    count(*) AS total_checks FROM checks GROUP BY check_date, severity""",
+        "fail_warn_trend": FC + WARN_TREND,
         "check_detail_trend": FC + f"""SELECT check_date, check_name, severity, status, metric_value,
     expected_range, failure_details,
     metric_value - lag(metric_value) OVER (PARTITION BY check_name ORDER BY check_date) AS metric_change
@@ -491,7 +619,8 @@ erows AS (
         "day_over_day_change": ["actual_value", "prev_value", "pct_change"],
         "rolling_median_14": ["actual_value", "baseline_median"],
         "anomaly_zscore": ["z_score"],
-        "check_detail_trend": ["metric_value", "metric_change"],
+        "check_detail_trend": ["metric_value", "metric_change"], "anomaly_episodes": ["peak_z"], "check_episodes": [],
+        "late_data_anomalies": ANOMALY_DBL, "late_data_checks": ["metric_value"], "dirty_checks_every_day": ["metric_value"],
         "root_cause_pareto": ["cumulative_pct"],
         "incident_related_failing_checks": ["metric_value"],
         "checks_with_incidents": ["metric_value"], "export_checks_csv": ["metric_value"],
@@ -505,6 +634,7 @@ erows AS (
     bigints = {
         "health_daily": issues, "export_health_csv": issues,
         "fail_warn_trend": ["fail_checks", "warn_checks", "issue_checks"],
+        "dirty_warn_trend": ["fail_checks", "warn_checks", "issue_checks"],
         "null_spike_masked_rate": ["n_null_session"],
         "top_failing_checks": ["failwarn_rows"],
         "dirty_load_counts": ["rejected_rows", "unread_prices"],

@@ -27,6 +27,8 @@ from tidewatch.functions.cleaning import (
 )
 from tidewatch.functions.dates import on_days, run_params
 from tidewatch.operators import anomalies as A
+from tidewatch.operators import digests as DG
+from tidewatch.operators import episodes as E
 from tidewatch.operators import incidents as I
 from tidewatch.operators import reports as V
 from tidewatch.operators import rules as R
@@ -43,6 +45,8 @@ RUN_DATE = dt.date(2024, 1, 15)
 SPIKE_DAY = dt.date(2024, 1, 18)
 VOLUME_MIN_MIX = 330  # gives both PASS and FAIL on the sf0.01 tables
 VOLUME_MIN_DIRTY = 260  # the same on the careless events
+WARN_BELOW = 280  # fewer events of a careless day warn, below VOLUME_MIN_DIRTY they fail
+WARN_NULL_PCT = 10.0
 COARSE_DUP_KEY = ("user_id", "event_type")
 DETAIL_CHECK = "null_rate_session_id_run_date"
 TOP_N = 10
@@ -127,6 +131,11 @@ def q_dirty_load_counts(spark, sf_dir):
     return load_counts(TT.dirty_events_from_dir(spark, sf_dir))
 
 
+def _warning_rules() -> list[R.Rule]:
+    return [R.freshness_has_events(), R.volume_prev_day(WARN_BELOW, fail_below=VOLUME_MIN_DIRTY),
+            R.null_rate_session(1.0, fail_above=WARN_NULL_PCT), R.purchases_run_date()]
+
+
 @query("dirty_dq_checks")
 def q_dirty_dq_checks(spark, sf_dir):
     """Eight rules over events with duplicates, a missing day, a day that ends early and one without purchases."""
@@ -135,6 +144,20 @@ def q_dirty_dq_checks(spark, sf_dir):
     return R.checks_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)), rules)
 
 
+@query("dirty_checks_every_day")
+def q_dirty_checks_every_day(spark, sf_dir):
+    """Rules that warn, for every calendar day of the careless events: also the one without any event."""
+    events = materialize(clean_events(TT.dirty_events_from_dir(spark, sf_dir)))
+    first, last = events.agg(F.min("event_date"), F.max("event_date")).first()
+    return R.checks_for_days(spark, events, first, last, _warning_rules())
+
+
+@query("dirty_warn_trend")
+def q_dirty_warn_trend(spark, sf_dir):
+    """Failing and warning checks a day, with rules that warn."""
+    return V.fail_warn_trend(R.checks_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)), _warning_rules()))
+
+
 @query("dirty_anomalies")
 def q_dirty_anomalies(spark, sf_dir):
     return A.anomalies_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)))
@@ -276,6 +299,88 @@ def q_store_incident_state(spark, sf_dir):
     return daily.incidents_now(store)
 
 
+def _replay_rules() -> list[R.Rule]:
+    """A rule that the replay breaks, and one kind with two limits side by side."""
+    return [R.purchases_run_date(), R.volume_prev_day(VOLUME_MIN_MIX), R.volume_prev_day(VOLUME_MIN_DIRTY)]
+
+
+def _without_purchases(events: DataFrame, *days: dt.date) -> DataFrame:
+    hit = F.col("event_date").isin(*days) & (F.col("event_type") == F.lit("purchase"))
+    return events.withColumn("event_type", F.when(hit, F.lit("view")).otherwise(F.col("event_type")))
+
+
+@query("store_incident_replay")
+def q_store_incident_replay(spark, sf_dir):
+    """Two days fail, both are repaired, one fails again together with the next: the state follows the data."""
+    events, rules = materialize(fact(spark, sf_dir)), _replay_rules()
+    store = Store.scratch(spark, "replay")
+    early, again = RUN_DATE - dt.timedelta(days=3), RUN_DATE + dt.timedelta(days=1)
+    daily.load_history(store, _without_purchases(events, early, RUN_DATE))
+    daily.backfill(store, rules)
+    daily.append_days(store, events.where(F.col("event_date").isin(early, RUN_DATE)))
+    for day in (early, RUN_DATE):
+        daily.run_day(store, day, rules)
+    daily.append_days(store, _without_purchases(events, RUN_DATE, again).where(F.col("event_date").isin(RUN_DATE, again)))
+    for day in (RUN_DATE, again, again):
+        daily.run_day(store, day, rules)
+    return daily.incidents_now(store)
+
+
+@query("store_anomaly_incidents")
+def q_store_anomaly_incidents(spark, sf_dir):
+    """Incidents from runs of flagged days, after two backfills and a rerun of a day."""
+    store = Store.scratch(spark, "flagged")
+    daily.load_history(store, clean_events(TT.dirty_events_from_dir(spark, sf_dir)))
+    daily.backfill(store, anomaly_incidents=True)
+    daily.run_day(store, RUN_DATE, anomaly_incidents=True)
+    daily.backfill(store, anomaly_incidents=True)
+    return daily.incidents_now(store).where("detected_by LIKE 'anomaly/%'")
+
+
+LATE_DAY, LOST_DAY = RUN_DATE + dt.timedelta(days=4), RUN_DATE + dt.timedelta(days=9)
+
+
+def _recomputed_store(spark, sf_dir, rules=None) -> Store:
+    """A day first loaded in part, one not at all, one with rows that are taken back later; then recomputed."""
+    events = materialize(fact(spark, sf_dir))
+    store = Store.scratch(spark, "late")
+    day = F.col("event_date")
+    early = events.where(~((day == F.lit(RUN_DATE)) & (F.col("price") < 50.0)) & (day != F.lit(LATE_DAY)))
+    again = events.where(day == F.lit(LOST_DAY))
+    daily.load_history(store, early.unionByName(again))
+    daily.backfill(store, rules)
+    daily.append_days(store, events.where(day.isin(RUN_DATE, LATE_DAY, LOST_DAY)))
+    daily.recompute(store, rules)
+    daily.recompute(store, rules)  # nothing changed since
+    return store
+
+
+@query("late_data_anomalies")
+def q_late_data_anomalies(spark, sf_dir):
+    """Anomalies after late data: the rows a full backfill gives."""
+    return _no_created(_recomputed_store(spark, sf_dir).read("dq_anomalies"))
+
+
+@query("late_data_checks")
+def q_late_data_checks(spark, sf_dir):
+    """Checks after late data, the duplicate rule and the running newest event among them."""
+    rules = R.default_rules() + [R.dup_composite_key(), R.latest_event_24h()]
+    return _no_created(_recomputed_store(spark, sf_dir, rules).read("dq_check_results"))
+
+
+@query("load_audit")
+def q_load_audit(spark, sf_dir):
+    """Daily table against history, with days loaded twice, three times, in part, with foreign rows, or not at all."""
+    events = fact(spark, sf_dir)
+    n = F.dayofmonth("event_date")
+    copies = F.expr("CASE dayofmonth(event_date) WHEN 3 THEN 2 WHEN 4 THEN 3 WHEN 5 THEN if(price < 50, 1, 0) WHEN 6 THEN 0 "
+                    "WHEN 8 THEN if(price < 50, 0, 2) ELSE 1 END")
+    loaded = events.withColumn("copies", copies).select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("copy"))
+    loaded = loaded.where("copy <= copies").drop("copy", "copies")
+    loaded = loaded.withColumn("brand", F.when((n == 7) & (F.col("price") < 50.0), F.lit("other")).otherwise(F.col("brand")))
+    return DG.load_audit(events.where(n != 9), loaded)
+
+
 @query("rerun_checks_idempotent")
 def q_rerun_checks_idempotent(spark, sf_dir):
     store = _store_with_history(spark, sf_dir, "checks")
@@ -492,6 +597,19 @@ def q_incident_related_failing_checks(spark, sf_dir):
     return I.related_failing_checks(inc, checks)
 
 
+@query("check_episodes")
+def q_check_episodes(spark, sf_dir):
+    """Runs of failing days of the default rules on the careless events."""
+    rules = R.default_rules(volume_min_rows=VOLUME_MIN_DIRTY) + [R.purchases_run_date(), R.dup_composite_key()]
+    return E.check_episodes(R.checks_all_days(clean_events(TT.dirty_events_from_dir(spark, sf_dir)), rules))
+
+
+@query("anomaly_episodes")
+def q_anomaly_episodes(spark, sf_dir):
+    """Runs of flagged days of every series, days up to two apart merged."""
+    return E.anomaly_episodes(A.anomalies_by_entity(fact(spark, sf_dir)), max_gap_days=2)
+
+
 # ---- reports ---------------------------------------------------------------------
 
 @query("health_daily")

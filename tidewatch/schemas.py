@@ -49,6 +49,9 @@ INCIDENT_STATUS_LOG = _struct(
     ("incident_id", S), ("status", S), ("changed_at", TS), ("note", S),
 )
 
+# The stored log also says who wrote a row: "check", "anomaly", or NULL for rows by hand.
+STORED_STATUS_LOG = T.StructType(INCIDENT_STATUS_LOG.fields + _struct(("origin", S)).fields)
+
 RUN_CONTEXT = _struct(("run_date", DT), ("max_event_ts", NTZ), ("created_at", TS))
 
 # One row per event day with every aggregate the rules and KPIs need.
@@ -57,6 +60,9 @@ DAY_STATS = _struct(
     ("revenue", D), ("max_event_ts", NTZ),
 )
 
+# Digest of the history rows that a day was ingested from.
+DAY_DIGEST = _struct(("event_date", DT), ("n_rows", L), ("hash_sum", T.DecimalType(38, 0)), ("hash_xor", L))
+
 HEALTH_DAILY = _struct(
     ("check_date", DT), ("total_checks", L), ("p0_issues", L), ("p1_issues", L),
     ("p2_issues", L), ("health_score", L),

@@ -6,9 +6,10 @@ location under the shared work folder (``spark.checkpoint.dir``):
 ============================  ===================  ==========================
 table                         partitioned by       written by
 ============================  ===================  ==========================
-fact_events_all (history)     event_date           load (dynamic overwrite)
+fact_events_all (history)     event_date           load (static overwrite)
 fact_events (daily replay)    event_date           ingest (static overwrite)
 dq_day_stats                  event_date           per-day aggregates
+dq_day_digest                 event_date           digest of the ingested rows
 dq_check_results              check_date           rules
 dq_anomalies                  anomaly_date         anomaly scoring
 dq_run_context                run_date             last step of a run (marker)
@@ -26,8 +27,9 @@ versions in place, and rerunning the same call converges.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,15 +46,16 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "fact_events": (schemas.FACT_EVENTS, "event_date"),
     "dq_day_stats": (T.StructType(schemas.DAY_STATS.fields + [
         T.StructField("dup_groups", T.LongType(), True)]), "event_date"),
+    "dq_day_digest": (schemas.DAY_DIGEST, "event_date"),
     "dq_check_results": (schemas.CHECK_RESULTS, "check_date"),
     "dq_anomalies": (schemas.ANOMALIES, "anomaly_date"),
     "dq_run_context": (schemas.RUN_CONTEXT, "run_date"),
     "dq_incidents": (schemas.INCIDENTS, None),
-    "dq_incident_status_log": (schemas.INCIDENT_STATUS_LOG, None),
+    "dq_incident_status_log": (schemas.STORED_STATUS_LOG, None),
 }
 
 # Tables with a handful of rows per day.
-SMALL_PER_DAY = ("dq_day_stats", "dq_check_results", "dq_anomalies", "dq_run_context")
+SMALL_PER_DAY = ("dq_day_stats", "dq_day_digest", "dq_check_results", "dq_anomalies", "dq_run_context")
 
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -178,6 +181,12 @@ class Store:
         with overwrite_mode(self.spark, "static"):
             rows.write.insertInto(self.name(table), overwrite=True)
 
+    def clear_days(self, table: str, days: Iterable[dt.date]) -> None:
+        """Empty the partitions of some days; other days' files are not touched."""
+        empty = self.spark.createDataFrame([], TABLES[table][0])
+        for d in days:
+            self.overwrite_day(table, empty, d)
+
     def append(self, table: str, df: DataFrame) -> None:
         self._ordered(table, df).write.insertInto(self.name(table), overwrite=False)
 
