@@ -194,11 +194,32 @@ def entity_kpis(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENTITY_LEVE
     return kpis.selectExpr("*", "purchases / nullif(events_count, 0.0D) AS cvr")
 
 
+def zero_filled(kpis: DataFrame, through: DateLike | None = None) -> DataFrame:
+    """Entity KPIs with a zero row for every calendar day without events.
+
+    From each series' first day to its last one (or ``through``).  A row hands out the
+    days up to the series' next row, found by the window that scoring sorts for anyway:
+    no calendar join.  The rows grow with series times days.
+    """
+    last = "date_add(d, 1)" if through is None else f"date_add(DATE '{as_date(through).isoformat()}', 1)"
+    rows = kpis.selectExpr(
+        "entity_type", "entity_id", "struct(d, events_count, purchases, revenue) AS own", "d",
+        f"coalesce(lead(d) OVER (PARTITION BY entity_type, entity_id ORDER BY d), {last}) AS _next")
+    empty = "0.0D AS events_count, 0.0D AS purchases, 0.0D AS revenue"
+    rows = rows.selectExpr("entity_type", "entity_id", f"""inline(concat(array(own), if(datediff(_next, d) > 1,
+        transform(sequence(date_add(d, 1), date_sub(_next, 1)), x -> struct(x AS d, {empty})), array())))""")
+    return rows.selectExpr("*", "purchases / nullif(events_count, 0.0D) AS cvr")
+
+
 def anomalies_by_entity(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENTITY_LEVELS,
-                        include_overall: bool = True, **kw) -> DataFrame:
-    """Per-entity anomalies.  ``thresholds`` may be given for sparse series; days without
-    events of an entity are not rows of its series (as for the overall series)."""
-    return score(kpis_long(entity_kpis(fact, levels, include_overall), None, "entity_id"), **kw)
+                        include_overall: bool = True, zero_days: bool = False, **kw) -> DataFrame:
+    """Per-entity anomalies.  ``thresholds`` may be given for sparse series.
+
+    Days without events of an entity are not rows of its series (as for the overall
+    series) unless ``zero_days``: then they are zeros between its first and last day.
+    """
+    kpis = entity_kpis(fact, levels, include_overall)
+    return score(kpis_long(zero_filled(kpis) if zero_days else kpis, None, "entity_id"), **kw)
 
 
 def rolling_median(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:
@@ -211,3 +232,38 @@ def rolling_median(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataF
         "anomaly_date", "entity_type", "entity_id", "metric_name", "actual_value",
         F.percentile(F.col("actual_value"), F.lit(0.5)).over(frame).alias("baseline_median"),
     )
+
+
+# Limit of the robust score, and the standard deviation of a normal distribution in median
+# absolute deviations.
+ROBUST_MAX = 3.5
+_NORMAL_MAD = 1.4826
+
+
+def _median_sql(values: str) -> str:
+    """SQL: median of an array without nulls (NULL when empty)."""
+    return (f"transform(array(array_sort({values})), s -> CASE WHEN size(s) > 0 THEN "
+            "(s[(size(s) - 1) div 2] + s[size(s) div 2]) / 2 END)[0]")
+
+
+def score_robust(long: DataFrame, baseline_rows: int = BASELINE_ROWS, z_max: float = ROBUST_MAX,
+                 thresholds: dict | None = None) -> DataFrame:
+    """Scores against median and median absolute deviation of the trailing rows.
+
+    One outlier among the trailing rows moves neither, so it does not hide the next one.
+    The second median is taken around the first, over the same rows: the frame is held as
+    an array of at most ``baseline_rows`` values.  ``z_score`` is NULL when the deviation
+    is 0; ``thresholds`` gives the day-change limits (its z limits are not used).
+    """
+    t = thresholds or THRESHOLDS
+    frame = f"OVER ({_SERIES_SQL} ROWS BETWEEN {int(baseline_rows)} PRECEDING AND 1 PRECEDING)"
+    rows = long.selectExpr("*", f"collect_list(actual_value) {frame} AS _values",
+                           f"lag(actual_value) OVER ({_SERIES_SQL}) AS _prev")
+    rows = rows.selectExpr("*", f"{_median_sql('_values')} AS baseline_value")
+    rows = rows.selectExpr("*", f"{_median_sql('transform(_values, v -> abs(v - baseline_value))')} AS baseline_mad")
+    rows = rows.selectExpr("*", f"(actual_value - baseline_value) / nullif({_NORMAL_MAD}D * baseline_mad, 0.0D) AS z_score",
+                           "(actual_value - _prev) / nullif(_prev, 0.0D) AS pct_change")
+    flag = (f"CASE WHEN baseline_value IS NULL THEN 'N' WHEN abs(z_score) > {float(z_max)!r}D THEN 'Y' "
+            f"WHEN pct_change > {_by_metric(1, t)} THEN 'Y' WHEN pct_change < {_by_metric(2, t)} THEN 'Y' ELSE 'N' END")
+    return rows.selectExpr("anomaly_date", *SERIES, "actual_value", "baseline_value", "baseline_mad", "z_score", "pct_change",
+                           f"{flag} AS anomaly_flag", f"'robust z>|{float(z_max):g}| OR day_change' AS notes")

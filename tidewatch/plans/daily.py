@@ -27,11 +27,12 @@ from tidewatch.operators import digests as DG
 from tidewatch.operators import episodes as E
 from tidewatch.operators import incidents as I
 from tidewatch.operators import rules as R
+from tidewatch.operators import series_state as SS
 from tidewatch.operators import stats as ST
 from tidewatch.operators.clean import clean_events
 from tidewatch.session import materialize
 from tidewatch.sources.raw_csv import read_raw_csv
-from tidewatch.sources.tables import Store, export_csv
+from tidewatch.sources.tables import SERIES_TABLE, Store, export_csv
 
 # Defaults of the reference's demo spike; a parameter, never applied unasked.
 SPIKE_RATE = 0.20
@@ -120,10 +121,13 @@ def _stored_stats(store: Store, upto: dt.date | None = None) -> DataFrame:
 
 
 def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
-            spike: tuple[DateLike, float] | None = None, anomaly_incidents: bool = False) -> None:
+            spike: tuple[DateLike, float] | None = None, anomaly_incidents: bool = False,
+            entities: Sequence[tuple[str, str]] = (), entity_limits: dict | None = None) -> None:
     """Ingest, aggregate, check and score one day; rerunning it is a no-op.
 
-    ``anomaly_incidents`` also opens incidents from runs of flagged KPI days.
+    ``anomaly_incidents`` also opens incidents from runs of flagged KPI days.  ``entities``
+    (such as ``anomalies.ENTITY_LEVELS``) also scores every entity of the day, with limits
+    of their own if given.
     """
     rules = list(rules or R.default_rules())
     d = as_date(day)
@@ -137,6 +141,8 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
 
     kpis = A.kpis_from_stats(store.read("dq_day_stats").where(F.col("event_date") <= F.lit(d)))
     scored = A.score(A.kpis_long(kpis)).where(F.col("anomaly_date") == F.lit(d))
+    if entities:
+        scored = scored.unionByName(score_entities_day(store, d, entities, entity_limits))
     store.overwrite_day("dq_anomalies", scored, d)
 
     open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date") == F.lit(d)))
@@ -149,7 +155,8 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
 # ---- all days ------------------------------------------------------------------
 
 def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
-             spike: tuple[DateLike, float] | None = None, anomaly_incidents: bool = False) -> None:
+             spike: tuple[DateLike, float] | None = None, anomaly_incidents: bool = False,
+             entities: Sequence[tuple[str, str]] = (), entity_limits: dict | None = None) -> None:
     """Every day of the history in one pass per step (dynamic overwrites)."""
     rules = list(rules or R.default_rules())
     rows = store.read("fact_events_all")
@@ -160,7 +167,10 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
 
     store.replace("dq_day_stats", stats_for(store.read("fact_events"), needs_dups(rules)))
     store.overwrite_days("dq_check_results", R.evaluate_rules(_stored_stats(store), rules))
-    store.overwrite_days("dq_anomalies", A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats")))))
+    scored = A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats"))))
+    if entities:
+        scored = scored.unionByName(score_entities_all(store, entities, entity_limits))
+    store.overwrite_days("dq_anomalies", scored)
     open_new_incidents(store, store.read("dq_check_results"))
     if anomaly_incidents:
         open_anomaly_incidents(store, store.read("dq_anomalies"))
@@ -168,23 +178,51 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
     store.overwrite_days("dq_run_context", ST.run_context(store.read("dq_day_stats")))
 
 
+def score_entities_all(store: Store, entities: Sequence[tuple[str, str]], limits: dict | None = None) -> DataFrame:
+    """Scored rows of every entity and day of the daily table; the stored state follows."""
+    kpis = materialize(A.entity_kpis(store.read("fact_events"), entities, include_overall=False))
+    store.replace_series_state(SS.state_of(kpis))
+    return A.score(A.kpis_long(kpis, None, "entity_id"), thresholds=limits)
+
+
+def score_entities_day(store: Store, day: dt.date, entities: Sequence[tuple[str, str]], limits: dict | None = None) -> DataFrame:
+    """Scored rows of the day's entities, from the stored state; the state follows.
+
+    Reads one day of events.  Where the state does not reach up to the day before, or a
+    rerun goes further back than it does, the daily table is scored as a whole.
+    """
+    state, today = store.read(SERIES_TABLE), F.lit(day)
+    before = store.read("dq_day_stats").where(F.col("event_date") < today).agg(F.max("event_date")).first()[0]
+    upto = state.agg(F.max("last_day")).first()[0]
+    if (before is not None and (upto is None or upto < before)) or not SS.can_score(state, day):
+        return score_entities_all(store, entities, limits).where(F.col("anomaly_date") == today)
+    kpis = materialize(A.entity_kpis(store.read("fact_events").where(F.col("event_date") == today), entities, include_overall=False))
+    scored = materialize(SS.score_day(state, kpis, day, limits))
+    store.replace_series_state(SS.advanced(state, kpis, day))
+    return scored
+
+
 def reset_replay(store: Store) -> None:
     """Empty the daily fact table and its stored aggregates (history is untouched)."""
     store.truncate("fact_events")
     store.truncate("dq_day_stats")
     store.truncate("dq_day_digest")
+    store.replace_series_state(store.spark.createDataFrame([], SS.SERIES_STATE))
 
 
 # ---- late data -------------------------------------------------------------------
 
-def recompute(store: Store, rules: Sequence[R.Rule] | None = None, anomaly_incidents: bool = False) -> dict[str, list[dt.date]]:
+def recompute(store: Store, rules: Sequence[R.Rule] | None = None, anomaly_incidents: bool = False,
+              entities: Sequence[tuple[str, str]] = (), entity_limits: dict | None = None) -> dict[str, list[dt.date]]:
     """Bring the store up to a history that changed, touching only what depends on the change.
 
     Days whose rows differ from what was ingested are found by their digests (one scan
     of the history, one small row per day and task).  Those days are ingested again; days
     that read them through a rule (the calendar day after) or through a frame (the next
     14 rows) get new check and anomaly rows; partitions of all other days keep their
-    files.  The result is that of a full ``backfill``.  Returns the days of each kind;
+    files.  The result is that of a full ``backfill``.  With ``entities`` every scored day
+    from the first changed one on is written anew: frames count an entity's own rows, so
+    a change may reach any later day.  Returns the days of each kind;
     lists of days come to the driver, never rows.
     """
     rules = list(rules or R.default_rules())
@@ -206,12 +244,14 @@ def recompute(store: Store, rules: Sequence[R.Rule] | None = None, anomaly_incid
 
     present = [r[0] for r in store.read("dq_day_stats").select("event_date").distinct().collect()]
     checked = DG.days_checked(changed, present, any("latest_event_ts" in r.needs for r in rules))
-    scored = DG.days_scored(changed, present, A.BASELINE_ROWS)
+    scored = [d for d in sorted(present) if d >= changed[0]] if entities else DG.days_scored(changed, present, A.BASELINE_ROWS)
     if checked:
         results = R.evaluate_rules(_stored_stats(store), rules).where(F.col("check_date").isin(checked))
         store.overwrite_days("dq_check_results", results)
     if scored:
         rows = A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats"))))
+        if entities:
+            rows = rows.unionByName(score_entities_all(store, entities, entity_limits))
         store.overwrite_days("dq_anomalies", rows.where(F.col("anomaly_date").isin(scored)))
     open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date").isin(checked)))
     if anomaly_incidents:

@@ -408,7 +408,7 @@ def _anomaly_incidents_sql() -> str:
   FROM episodes"""
 
 
-ENTITY_CTE = """fanned AS (
+_ENTITY = """fanned AS (
   SELECT event_date, event_type, price, 'overall' AS entity_type, CAST(NULL AS VARCHAR) AS entity_id FROM fact_events
   UNION ALL SELECT event_date, event_type, price, 'category', category_id FROM fact_events
   UNION ALL SELECT event_date, event_type, price, 'product', product_id FROM fact_events
@@ -420,7 +420,7 @@ ekpis AS (
               AS DOUBLE) AS revenue
   FROM fanned GROUP BY event_date, entity_type, entity_id
 ),
-erows AS (
+{ZERO}erows AS (
   SELECT d AS anomaly_date, entity_type, entity_id, 'events_count' AS metric_name, events_count AS actual_value FROM ekpis
   UNION ALL SELECT d, entity_type, entity_id, 'revenue', revenue FROM ekpis
   UNION ALL SELECT d, entity_type, entity_id, 'cvr', CASE WHEN events_count = 0 THEN NULL
@@ -464,6 +464,35 @@ SELECT event_date, CASE WHEN sum(y) = 0 THEN 'missing' WHEN sum(x) = 0 THEN 'for
   CAST(sum(greatest(x - y, 0)) AS BIGINT) AS missing_rows, CAST(sum(greatest(y - x, 0)) AS BIGINT) AS extra_rows,
   CAST(sum(CASE WHEN x = 0 THEN y ELSE 0 END) AS BIGINT) AS foreign_rows
 FROM counted GROUP BY event_date"""
+ENTITY_CTE = _ENTITY.replace("{ZERO}", "")
+# Every calendar day between an entity's first and last one.
+ZERO_CTE = _ENTITY.replace("{ZERO}", """days AS (
+  SELECT entity_type, entity_id, CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM ekpis GROUP BY entity_type, entity_id
+),
+filled AS (
+  SELECT c.d, c.entity_type, c.entity_id, COALESCE(k.events_count, 0) AS events_count, COALESCE(k.purchases, 0) AS purchases,
+         COALESCE(k.revenue, 0) AS revenue
+  FROM days c LEFT JOIN ekpis k ON k.d = c.d AND k.entity_type = c.entity_type AND k.entity_id IS NOT DISTINCT FROM c.entity_id
+),
+""").replace("ELSE purchases / events_count END FROM ekpis", "ELSE purchases / events_count END FROM filled").replace(
+    "events_count AS actual_value FROM ekpis", "events_count AS actual_value FROM filled").replace(
+    "'revenue', revenue FROM ekpis", "'revenue', revenue FROM filled")
+
+ROBUST_SQL = """SELECT anomaly_date, entity_type, entity_id, metric_name, actual_value, baseline_value, baseline_mad, z_score, pct_change,
+    CASE WHEN baseline_value IS NULL THEN 'N' WHEN abs(z_score) > 3.5 THEN 'Y'
+      WHEN pct_change > CASE metric_name WHEN 'cvr' THEN 0.50 ELSE 0.60 END THEN 'Y'
+      WHEN pct_change < CASE metric_name WHEN 'cvr' THEN -0.50 WHEN 'revenue' THEN -0.40 ELSE -0.60 END THEN 'Y'
+      ELSE 'N' END AS anomaly_flag, 'robust z>|3.5| OR day_change' AS notes
+  FROM (
+    SELECT *, (actual_value - baseline_value) / nullif(1.4826::DOUBLE * baseline_mad, 0) AS z_score,
+      (actual_value - prev) / nullif(prev, 0) AS pct_change
+    FROM (SELECT *, list_aggregate(list_transform(vals, lambda v: abs(v - baseline_value)), 'median') AS baseline_mad
+      FROM (SELECT *, list_aggregate(vals, 'median') AS baseline_value
+        FROM (SELECT *, list_filter(list(actual_value) OVER w, lambda v: v IS NOT NULL) AS vals,
+                     lag(actual_value) OVER (PARTITION BY entity_type, entity_id, metric_name ORDER BY anomaly_date) AS prev
+              FROM erows WINDOW w AS (PARTITION BY entity_type, entity_id, metric_name ORDER BY anomaly_date
+                                      ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING)))))"""
 
 
 def _sql() -> dict[str, str]:
@@ -541,6 +570,9 @@ def _sql() -> dict[str, str]:
         "anomalies_latest_day": FKS + f"SELECT {ANOMALY_COLS} FROM scored WHERE anomaly_date = "
                                       "(SELECT max(event_date) FROM fact_events)",
         "anomalies_by_entity": _with(FACT_CTE, ENTITY_CTE, scored_cte("erows")) + f"SELECT {ANOMALY_COLS} FROM scored",
+        "rerun_entity_anomalies_idempotent": _with(FACT_CTE, ENTITY_CTE, scored_cte("erows")) + f"SELECT {ANOMALY_COLS} FROM scored",
+        "anomalies_by_entity_zero_days": _with(FACT_CTE, ZERO_CTE, scored_cte("erows")) + f"SELECT {ANOMALY_COLS} FROM scored",
+        "anomalies_robust": _with(FACT_CTE, ENTITY_CTE) + ROBUST_SQL,
         "anomaly_episodes": _with(FACT_CTE, ENTITY_CTE, scored_cte("erows"), flagged_runs(2)) + "SELECT * FROM episodes",
         "check_episodes": _with(DIRTY_CTE, DIRTY_FACT, STATS_CTE, "checks AS (" + " UNION ALL ".join(RULES[k] for k in (
             "freshness", "volume_dirty", "purchase_prev", "null_rate", "purchase_run", "dup")) + ")") + CHECK_EPISODES,
@@ -619,7 +651,8 @@ def _sql() -> dict[str, str]:
         "day_over_day_change": ["actual_value", "prev_value", "pct_change"],
         "rolling_median_14": ["actual_value", "baseline_median"],
         "anomaly_zscore": ["z_score"],
-        "check_detail_trend": ["metric_value", "metric_change"], "anomaly_episodes": ["peak_z"], "check_episodes": [],
+        "check_detail_trend": ["metric_value", "metric_change"], "anomaly_episodes": ["peak_z"], "rerun_entity_anomalies_idempotent": ANOMALY_DBL,
+        "anomalies_robust": [*ANOMALY_DBL, "baseline_mad"], "check_episodes": [],
         "late_data_anomalies": ANOMALY_DBL, "late_data_checks": ["metric_value"], "dirty_checks_every_day": ["metric_value"],
         "root_cause_pareto": ["cumulative_pct"],
         "incident_related_failing_checks": ["metric_value"],

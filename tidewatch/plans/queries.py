@@ -399,6 +399,21 @@ def q_rerun_anomalies_idempotent(spark, sf_dir):
     return _no_created(store.read("dq_anomalies"))
 
 
+@query("rerun_entity_anomalies_idempotent")
+def q_rerun_entity_anomalies_idempotent(spark, sf_dir):
+    """Overall and entity anomalies as the store has them: all days but two at once, two from the stored state, both again."""
+    events = materialize(fact(spark, sf_dir))
+    last = events.agg(F.max("event_date")).first()[0]
+    days = [last - dt.timedelta(days=1), last]
+    store = Store.scratch(spark, "entities")
+    daily.load_history(store, events.where(F.col("event_date") < F.lit(days[0])))
+    daily.backfill(store, entities=A.ENTITY_LEVELS)
+    daily.append_days(store, events.where(F.col("event_date").isin(days)))
+    for day in (*days, *days):
+        daily.run_day(store, day, entities=A.ENTITY_LEVELS)
+    return _no_created(store.read("dq_anomalies"))
+
+
 @query("replay_progress")
 def q_replay_progress(spark, sf_dir):
     return ST.replay_progress(fact(spark, sf_dir))
@@ -495,6 +510,18 @@ def q_anomalies_by_entity(spark, sf_dir):
     return A.anomalies_by_entity(fact(spark, sf_dir))
 
 
+@query("anomalies_by_entity_zero_days")
+def q_anomalies_by_entity_zero_days(spark, sf_dir):
+    """Entity anomalies with days without events as zeros between an entity's first and last day."""
+    return A.anomalies_by_entity(fact(spark, sf_dir), zero_days=True)
+
+
+@query("anomalies_robust")
+def q_anomalies_robust(spark, sf_dir):
+    """Overall and entity KPIs against median and median absolute deviation."""
+    return A.score_robust(A.kpis_long(A.entity_kpis(fact(spark, sf_dir)), None, "entity_id"))
+
+
 # ---- rules ---------------------------------------------------------------------
 
 def _rule_all_days(spark, sf_dir, rule: R.Rule) -> DataFrame:

@@ -13,6 +13,7 @@ dq_day_digest                 event_date           digest of the ingested rows
 dq_check_results              check_date           rules
 dq_anomalies                  anomaly_date         anomaly scoring
 dq_run_context                run_date             last step of a run (marker)
+dq_series_state               bucketed by series   new version, then location swap
 dq_incidents                  –                    append of new ids only
 dq_incident_status_log        –                    append
 ============================  ===================  ==========================
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 
 from tidewatch import schemas
 from tidewatch.functions.dates import DateLike, as_date
+from tidewatch.operators.series_state import KEY, SERIES_STATE
 from tidewatch.session import work_path
 
 # table -> (schema, partition column or None)
@@ -54,6 +56,9 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "dq_incident_status_log": (schemas.STORED_STATUS_LOG, None),
 }
 
+SERIES_TABLE = "dq_series_state"
+STATE_BUCKETS = 32
+
 # Tables with a handful of rows per day.
 SMALL_PER_DAY = ("dq_day_stats", "dq_day_digest", "dq_check_results", "dq_anomalies", "dq_run_context")
 
@@ -83,8 +88,10 @@ def _ddl_columns(schema: T.StructType) -> str:
 class Store:
     """The engine's tables in one catalog database under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, database: str | None = None,
+                 state_buckets: int = STATE_BUCKETS):
         self.spark = spark
+        self.state_buckets = state_buckets
         self.database = database or "tidewatch"
         self.root = (root or work_path(spark, "store", self.database)).rstrip("/")
 
@@ -123,8 +130,16 @@ class Store:
                 except Exception as e:  # noqa: BLE001 - a new table has no folder yet
                     if "FileNotFound" not in str(e) and "does not exist" not in str(e):
                         raise
+        if not self.spark.catalog.tableExists(f"{self.database}.{SERIES_TABLE}"):
+            # state is derived: a store opened anew starts without, and the first run that needs it makes it
+            self._create_series_table(SERIES_TABLE, f"{self.root}/{SERIES_TABLE}/none")
         return self
 
+    def _create_series_table(self, name: str, location: str) -> None:
+        by = ", ".join(KEY)
+        self.spark.sql(f"CREATE TABLE {self.name(name)} ({_ddl_columns(SERIES_STATE)}) USING parquet "
+                       f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.state_buckets} BUCKETS LOCATION '{location}'")
+
     # -- writes --------------------------------------------------------------
     def _ordered(self, table: str, df: DataFrame) -> DataFrame:
         schema, part = TABLES[table]
@@ -181,6 +196,19 @@ class Store:
         with overwrite_mode(self.spark, "static"):
             rows.write.insertInto(self.name(table), overwrite=True)
 
+    def replace_series_state(self, state: DataFrame) -> None:
+        """Write a new version of the bucketed state beside the old one, then point the table at it.
+
+        Readers see the old version until the last step; a run that fails before leaves it.
+        """
+        version = os.urandom(6).hex()
+        location, staged = f"{self.root}/{SERIES_TABLE}/{version}", f"{SERIES_TABLE}_{version}"
+        self._create_series_table(staged, location)
+        state.select(*SERIES_STATE.names).write.insertInto(self.name(staged))
+        self.spark.sql(f"ALTER TABLE {self.name(SERIES_TABLE)} SET LOCATION '{location}'")
+        self.spark.sql(f"DROP TABLE {self.name(staged)}")
+        self.spark.catalog.refreshTable(self.name(SERIES_TABLE))
+
     def clear_days(self, table: str, days: Iterable[dt.date]) -> None:
         """Empty the partitions of some days; other days' files are not touched."""
         empty = self.spark.createDataFrame([], TABLES[table][0])
