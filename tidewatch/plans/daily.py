@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidewatch.functions.arith import stable_bucket
@@ -29,8 +29,9 @@ from tidewatch.operators import incidents as I
 from tidewatch.operators import rules as R
 from tidewatch.operators import series_state as SS
 from tidewatch.operators import stats as ST
-from tidewatch.operators.clean import clean_events
-from tidewatch.session import materialize
+from tidewatch.operators.clean import clean_events, sorted_out
+from tidewatch.session import materialize, scratch_path
+from tidewatch.sources.publish import DayRun
 from tidewatch.sources.raw_csv import read_raw_csv
 from tidewatch.sources.tables import SERIES_TABLE, Store, export_csv
 
@@ -65,9 +66,38 @@ def append_days(store: Store, source: DataFrame) -> None:
     store.overwrite_days("fact_events_all", source.hint("rebalance", "event_date"))
 
 
-def load_raw_csv(store: Store, path: str) -> None:
-    """Raw CSV → clean → history table."""
-    load_history(store, clean_events(read_raw_csv(store.spark, path)))
+def load_raw_csv(store: Store, path: str, quarantine: bool = False) -> dict[str, int]:
+    """Raw CSV → clean → history table; with ``quarantine`` also rejected rows → ``dq_rejected_rows``.
+
+    Returns the counts of the quarantine (empty without it).
+    """
+    raw = read_raw_csv(store.spark, path)
+    if quarantine:
+        return load_with_quarantine(store, raw)
+    load_history(store, clean_events(raw))
+    return {}
+
+
+def load_with_quarantine(store: Store, raw: DataFrame) -> dict[str, int]:
+    """Full load that loses no row: kept rows are the history, the others ``dq_rejected_rows`` with a reason.
+
+    The raw rows are scanned and parsed once, into a folder with a part for each kind;
+    counts are observed in that scan.  A history that does not hold exactly the rows that
+    were not rejected fails the load.
+    """
+    seen = Observation("load")
+    rows = sorted_out(raw).withColumn("rejected", F.col("kept").isNull())
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("raw_rows"), F.count_if("rejected").alias("rejected_rows"),
+                        F.count_if("unread_price").alias("unread_prices"))
+    path = scratch_path(store.spark, "load")
+    rows.write.partitionBy("rejected").parquet(path)
+    staged = store.spark.read.schema(rows.schema).parquet(path)
+    load_history(store, staged.where("NOT rejected").select("kept.*"))
+    store.replace("dq_rejected_rows", staged.where("rejected").select("raw.*", "reason"))
+    counts = {**seen.get, "kept_rows": store.read("fact_events_all").count()}  # from the files' footers
+    if counts["kept_rows"] + counts["rejected_rows"] != counts["raw_rows"]:
+        raise RuntimeError(f"rows of the load do not add up: {counts}")
+    return counts
 
 
 # ---- fault injection (testing the rules) ---------------------------------------
@@ -86,6 +116,24 @@ def mask_sessions(fact: DataFrame, day: DateLike, rate: float = SPIKE_RATE,
 
 # ---- one day -------------------------------------------------------------------
 
+def _staged_ingest(store: Store, run: DayRun, spike: tuple[DateLike, float] | None,
+                   with_dups: bool) -> tuple[DataFrame, DataFrame]:
+    """Stage the day's facts, their digest and aggregates; returns facts and aggregates.
+
+    Refuses a copy that does not have the rows it was made from.
+    """
+    rows = store.read("fact_events_all").where(F.col("event_date") == F.lit(run.day))
+    digest = run.write("dq_day_digest", DG.day_digests(rows))
+    if spike is not None and as_date(spike[0]) == run.day:
+        rows = mask_sessions(rows, run.day, spike[1])
+    facts = run.write("fact_events", rows)
+    stats = run.write("dq_day_stats", stats_for(facts, with_dups))
+    copied, source = (df.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0] for df, c in ((stats, "n_events"), (digest, "n_rows")))
+    if copied != source:
+        raise RuntimeError(f"{run.day}: {copied} of {source} rows were copied")
+    return facts, stats
+
+
 def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None = None,
                with_dups: bool = False) -> None:
     """Replace the day in ``fact_events`` with the history's rows of that day.
@@ -93,14 +141,9 @@ def ingest_day(store: Store, day: DateLike, spike: tuple[DateLike, float] | None
     The day's stored aggregates follow the facts in the same step, so checks of
     later days never read aggregates of rows that are no longer there.
     """
-    d = as_date(day)
-    rows = store.read("fact_events_all").where(F.col("event_date") == F.lit(d))
-    store.overwrite_day("dq_day_digest", DG.day_digests(rows), d)
-    if spike is not None and as_date(spike[0]) == d:
-        rows = mask_sessions(rows, d, spike[1])
-    store.overwrite_day("fact_events", rows, d)
-    day_fact = store.read("fact_events").where(F.col("event_date") == F.lit(d))
-    store.overwrite_day("dq_day_stats", stats_for(day_fact, with_dups), d)
+    run = DayRun(store, as_date(day))
+    _staged_ingest(store, run, spike, with_dups)
+    run.publish()
 
 
 def stats_for(fact: DataFrame, with_dups: bool) -> DataFrame:
@@ -125,31 +168,35 @@ def run_day(store: Store, day: DateLike, rules: Sequence[R.Rule] | None = None,
             entities: Sequence[tuple[str, str]] = (), entity_limits: dict | None = None) -> None:
     """Ingest, aggregate, check and score one day; rerunning it is a no-op.
 
+    The day's partitions are written beside the tables and published together, the run
+    context last: a run that fails leaves the day as it was.  Incidents follow from the
+    published rows.
+
     ``anomaly_incidents`` also opens incidents from runs of flagged KPI days.  ``entities``
     (such as ``anomalies.ENTITY_LEVELS``) also scores every entity of the day, with limits
     of their own if given.
     """
     rules = list(rules or R.default_rules())
     d = as_date(day)
-    spark = store.spark
-    ingest_day(store, d, spike, needs_dups(rules))
-
-    stats = _stored_stats(store, d)
-    spine = spark.range(1).select(F.lit(d).alias("check_date"))
-    checks = R.evaluate_rules(stats, rules, spine)
-    store.overwrite_day("dq_check_results", checks, d)
-
-    kpis = A.kpis_from_stats(store.read("dq_day_stats").where(F.col("event_date") <= F.lit(d)))
-    scored = A.score(A.kpis_long(kpis)).where(F.col("anomaly_date") == F.lit(d))
+    run = DayRun(store, d)
+    facts, day_stats = _staged_ingest(store, run, spike, needs_dups(rules))
+
+    stats = run.with_day("dq_day_stats", day_stats).where(F.col("event_date") <= F.lit(d))
+    spine = store.spark.range(1).select(F.lit(d).alias("check_date"))
+    checks = run.write("dq_check_results", R.evaluate_rules(stats, rules, spine))
+    if checks.count() != len(rules):
+        raise RuntimeError(f"{d}: every rule must have one result")
+    scored = A.score(A.kpis_long(A.kpis_from_stats(stats))).where(F.col("anomaly_date") == F.lit(d))
     if entities:
-        scored = scored.unionByName(score_entities_day(store, d, entities, entity_limits))
-    store.overwrite_day("dq_anomalies", scored, d)
+        scored = scored.unionByName(score_entities_day(store, run, facts, entities, entity_limits))
+    run.write("dq_anomalies", scored)
+    run.write("dq_run_context", ST.run_context(day_stats))
+    run.publish()
 
     open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date") == F.lit(d)))
     if anomaly_incidents:
         open_anomaly_incidents(store, store.read("dq_anomalies").where(F.col("anomaly_date") <= F.lit(d)))
     reconcile_incidents(store, anomaly_incidents)
-    store.overwrite_day("dq_run_context", ST.run_context(stats.where(F.col("event_date") == F.lit(d))), d)
 
 
 # ---- all days ------------------------------------------------------------------
@@ -169,7 +216,7 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
     store.overwrite_days("dq_check_results", R.evaluate_rules(_stored_stats(store), rules))
     scored = A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats"))))
     if entities:
-        scored = scored.unionByName(score_entities_all(store, entities, entity_limits))
+        scored = scored.unionByName(score_entities_all(store, store.read("fact_events"), entities, entity_limits))
     store.overwrite_days("dq_anomalies", scored)
     open_new_incidents(store, store.read("dq_check_results"))
     if anomaly_incidents:
@@ -178,27 +225,32 @@ def backfill(store: Store, rules: Sequence[R.Rule] | None = None,
     store.overwrite_days("dq_run_context", ST.run_context(store.read("dq_day_stats")))
 
 
-def score_entities_all(store: Store, entities: Sequence[tuple[str, str]], limits: dict | None = None) -> DataFrame:
-    """Scored rows of every entity and day of the daily table; the stored state follows."""
-    kpis = materialize(A.entity_kpis(store.read("fact_events"), entities, include_overall=False))
+def score_entities_all(store: Store, facts: DataFrame, entities: Sequence[tuple[str, str]],
+                       limits: dict | None = None) -> DataFrame:
+    """Scored rows of every entity and day of ``facts``; the stored state follows."""
+    kpis = materialize(A.entity_kpis(facts, entities, include_overall=False))
     store.replace_series_state(SS.state_of(kpis))
     return A.score(A.kpis_long(kpis, None, "entity_id"), thresholds=limits)
 
 
-def score_entities_day(store: Store, day: dt.date, entities: Sequence[tuple[str, str]], limits: dict | None = None) -> DataFrame:
-    """Scored rows of the day's entities, from the stored state; the state follows.
+def score_entities_day(store: Store, run: DayRun, facts: DataFrame, entities: Sequence[tuple[str, str]],
+                       limits: dict | None = None) -> DataFrame:
+    """Scored rows of the entities of the run's day, from the stored state; the state follows.
 
-    Reads one day of events.  Where the state does not reach up to the day before, or a
-    rerun goes further back than it does, the daily table is scored as a whole.
+    Reads one day of events (``facts``).  Where the state does not reach up to the day
+    before, or a rerun goes further back than it does, the daily table is scored as a
+    whole.  The state is a cache of the facts: a run that fails after this step finds
+    the day in it and replaces it.
     """
-    state, today = store.read(SERIES_TABLE), F.lit(day)
+    state, today = store.read(SERIES_TABLE), F.lit(run.day)
     before = store.read("dq_day_stats").where(F.col("event_date") < today).agg(F.max("event_date")).first()[0]
     upto = state.agg(F.max("last_day")).first()[0]
-    if (before is not None and (upto is None or upto < before)) or not SS.can_score(state, day):
-        return score_entities_all(store, entities, limits).where(F.col("anomaly_date") == today)
-    kpis = materialize(A.entity_kpis(store.read("fact_events").where(F.col("event_date") == today), entities, include_overall=False))
-    scored = materialize(SS.score_day(state, kpis, day, limits))
-    store.replace_series_state(SS.advanced(state, kpis, day))
+    if (before is not None and (upto is None or upto < before)) or not SS.can_score(state, run.day):
+        whole = run.with_day("fact_events", facts)
+        return score_entities_all(store, whole, entities, limits).where(F.col("anomaly_date") == today)
+    kpis = materialize(A.entity_kpis(facts, entities, include_overall=False))
+    scored = materialize(SS.score_day(state, kpis, run.day, limits))
+    store.replace_series_state(SS.advanced(state, kpis, run.day))
     return scored
 
 
@@ -251,7 +303,7 @@ def recompute(store: Store, rules: Sequence[R.Rule] | None = None, anomaly_incid
     if scored:
         rows = A.score(A.kpis_long(A.kpis_from_stats(store.read("dq_day_stats"))))
         if entities:
-            rows = rows.unionByName(score_entities_all(store, entities, entity_limits))
+            rows = rows.unionByName(score_entities_all(store, store.read("fact_events"), entities, entity_limits))
         store.overwrite_days("dq_anomalies", rows.where(F.col("anomaly_date").isin(scored)))
     open_new_incidents(store, store.read("dq_check_results").where(F.col("check_date").isin(checked)))
     if anomaly_incidents:
@@ -318,8 +370,11 @@ def incidents_now(store: Store) -> DataFrame:
 
 # ---- exports ---------------------------------------------------------------------
 
-def export_reports(store: Store, out_dir: str) -> dict[str, str]:
-    """health_daily, check_results_with_incidents, incidents, anomalies as CSV."""
+def export_reports(store: Store, out_dir: str, anomaly_parts: int = 0) -> dict[str, str]:
+    """health_daily, check_results_with_incidents, incidents, anomalies as CSV.
+
+    ``anomaly_parts``: write the anomalies as that many ordered files (entities make many rows).
+    """
     from tidewatch.operators import reports as V
 
     checks = store.read("dq_check_results")
@@ -333,5 +388,5 @@ def export_reports(store: Store, out_dir: str) -> dict[str, str]:
         "incidents": export_csv(incidents, f"{out}/incidents",
                                 [F.col("opened_at").desc(), "incident_id"]),
         "anomalies": export_csv(store.read("dq_anomalies"), f"{out}/anomalies",
-                                ["anomaly_date", "entity_type", "entity_id", "metric_name"]),
+                                ["anomaly_date", "entity_type", "entity_id", "metric_name"], parts=anomaly_parts),
     }

@@ -10,6 +10,7 @@ import datetime as dt
 
 from tidewatch.plans.queries import (
     DIGITS,
+    MANUAL_ID,
     DETAIL_CHECK,
     RUN_DATE,
     SPIKE_DAY,
@@ -580,6 +581,15 @@ def _sql() -> dict[str, str]:
         "late_data_anomalies": FKS + f"SELECT {ANOMALY_COLS} FROM scored",
         "late_data_checks": FS + " UNION ALL ".join(RULES[k] for k in (
             "freshness", "volume", "purchase_prev", "null_rate", "dup", "latest_24h")),
+        "dirty_quarantine": _with(DIRTY_CTE) + """SELECT event_time, event_type, product_id, category_id, category_code, brand, price,
+    user_id, user_session, CASE WHEN NULLIF(trim(event_time), '') IS NULL THEN 'no event time' ELSE 'unreadable event time' END AS reason
+  FROM (SELECT * REPLACE (NULLIF(event_time, '') AS event_time, NULLIF(event_type, '') AS event_type, NULLIF(brand, '') AS brand,
+          NULLIF(category_code, '') AS category_code, NULLIF(price, '') AS price) FROM raw_events) r
+  WHERE event_time IS NULL OR event_time = 'junk'""",
+        "store_manual_incidents": FCI + f"""SELECT {INCIDENT_COLS.replace("status,", "CASE status WHEN 'OPEN' THEN 'MITIGATED' ELSE status END AS status,")}
+    FROM current_incidents UNION ALL SELECT '{MANUAL_ID}', {RD} + INTERVAL 9 HOUR, {RD} + INTERVAL 81 HOUR, 'P1', 'RESOLVED', 'Seen by hand.',
+    NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+        "export_entity_anomalies_csv": _with(FACT_CTE, ENTITY_CTE, scored_cte("erows")) + f"SELECT {ANOMALY_COLS} FROM scored",
         "load_audit": _with(FACT_CTE) + ", " + AUDIT_SQL,
         "dirty_checks_every_day": _with(DIRTY_CTE, DIRTY_FACT, STATS_CTE, EVERY_DAY) + " UNION ALL ".join(
             r.replace("FROM cal", "FROM every_day") for r in WARNING_RULES),
@@ -651,7 +661,7 @@ def _sql() -> dict[str, str]:
         "day_over_day_change": ["actual_value", "prev_value", "pct_change"],
         "rolling_median_14": ["actual_value", "baseline_median"],
         "anomaly_zscore": ["z_score"],
-        "check_detail_trend": ["metric_value", "metric_change"], "anomaly_episodes": ["peak_z"], "rerun_entity_anomalies_idempotent": ANOMALY_DBL,
+        "check_detail_trend": ["metric_value", "metric_change"], "anomaly_episodes": ["peak_z"], "export_entity_anomalies_csv": ANOMALY_DBL, "rerun_entity_anomalies_idempotent": ANOMALY_DBL,
         "anomalies_robust": [*ANOMALY_DBL, "baseline_mad"], "check_episodes": [],
         "late_data_anomalies": ANOMALY_DBL, "late_data_checks": ["metric_value"], "dirty_checks_every_day": ["metric_value"],
         "root_cause_pareto": ["cumulative_pct"],

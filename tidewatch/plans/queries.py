@@ -47,6 +47,7 @@ VOLUME_MIN_MIX = 330  # gives both PASS and FAIL on the sf0.01 tables
 VOLUME_MIN_DIRTY = 260  # the same on the careless events
 WARN_BELOW = 280  # fewer events of a careless day warn, below VOLUME_MIN_DIRTY they fail
 WARN_NULL_PCT = 10.0
+MANUAL_ID = f"INC-{RUN_DATE.isoformat()}-BY-HAND"
 COARSE_DUP_KEY = ("user_id", "event_type")
 DETAIL_CHECK = "null_rate_session_id_run_date"
 TOP_N = 10
@@ -80,6 +81,13 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TT.raw_events_from_dir(spark, sf_dir)
 
 
+def _finished(store: Store, result: DataFrame) -> DataFrame:
+    """The result of a query that made a store for itself; the store is dropped."""
+    out = materialize(result)
+    store.drop()
+    return out
+
+
 def _no_created(df: DataFrame) -> DataFrame:
     return df.drop("created_at")
 
@@ -126,6 +134,16 @@ def q_dirty_clean_events(spark, sf_dir):
     return clean_events(TT.dirty_events_from_dir(spark, sf_dir))
 
 
+@query("dirty_quarantine")
+def q_dirty_quarantine(spark, sf_dir):
+    """Rows that a load of careless CSV rejects, with the reason, as the store keeps them."""
+    path = scratch_path(spark, "dirty-csv")
+    write_raw_csv(TT.dirty_events_from_dir(spark, sf_dir), path)
+    store = Store.scratch(spark, "quarantine")
+    daily.load_raw_csv(store, path, quarantine=True)
+    return _finished(store, store.read("dq_rejected_rows"))
+
+
 @query("dirty_load_counts")
 def q_dirty_load_counts(spark, sf_dir):
     return load_counts(TT.dirty_events_from_dir(spark, sf_dir))
@@ -251,7 +269,7 @@ def q_ingest_day_idempotent(spark, sf_dir):
     store = _store_with_history(spark, sf_dir, "ingest")
     daily.ingest_day(store, RUN_DATE)
     daily.ingest_day(store, RUN_DATE)
-    return store.read("fact_events")
+    return _finished(store, store.read("fact_events"))
 
 
 @query("backfill_all_days")
@@ -260,7 +278,7 @@ def q_backfill_all_days(spark, sf_dir):
     store = _store_with_history(spark, sf_dir, "backfill")
     daily.backfill(store)
     daily.backfill(store)
-    return store.read("fact_events")
+    return _finished(store, store.read("fact_events"))
 
 
 @query("reset_then_ingest")
@@ -269,7 +287,7 @@ def q_reset_then_ingest(spark, sf_dir):
     daily.backfill(store)
     daily.reset_replay(store)
     daily.ingest_day(store, RUN_DATE)
-    return store.read("fact_events")
+    return _finished(store, store.read("fact_events"))
 
 
 @query("reset_then_run_day")
@@ -279,7 +297,7 @@ def q_reset_then_run_day(spark, sf_dir):
     daily.backfill(store)
     daily.reset_replay(store)
     daily.run_day(store, RUN_DATE)
-    return _no_created(store.read("dq_check_results").where(F.col("check_date") == F.lit(RUN_DATE)))
+    return _finished(store, _no_created(store.read("dq_check_results").where(F.col("check_date") == F.lit(RUN_DATE))))
 
 
 @query("reload_replaces_history")
@@ -287,7 +305,7 @@ def q_reload_replaces_history(spark, sf_dir):
     """A second full load that starts at run_date leaves no earlier day behind."""
     store = _store_with_history(spark, sf_dir, "reload")
     daily.load_history(store, fact(spark, sf_dir).where(F.col("event_date") >= F.lit(RUN_DATE)))
-    return store.read("fact_events_all")
+    return _finished(store, store.read("fact_events_all"))
 
 
 @query("store_incident_state")
@@ -296,7 +314,7 @@ def q_store_incident_state(spark, sf_dir):
     store = _store_with_history(spark, sf_dir, "incidents")
     daily.backfill(store)
     daily.backfill(store)
-    return daily.incidents_now(store)
+    return _finished(store, daily.incidents_now(store))
 
 
 def _replay_rules() -> list[R.Rule]:
@@ -323,7 +341,24 @@ def q_store_incident_replay(spark, sf_dir):
     daily.append_days(store, _without_purchases(events, RUN_DATE, again).where(F.col("event_date").isin(RUN_DATE, again)))
     for day in (RUN_DATE, again, again):
         daily.run_day(store, day, rules)
-    return daily.incidents_now(store)
+    return _finished(store, daily.incidents_now(store))
+
+
+@query("store_manual_incidents")
+def q_store_manual_incidents(spark, sf_dir):
+    """An incident logged by hand and changes by hand, on top of the log that runs have written."""
+    store = _store_with_history(spark, sf_dir, "manual")
+    daily.backfill(store)
+    at = dt.datetime.combine(RUN_DATE, dt.time(9))
+    daily.log_incident(store, spark.createDataFrame(
+        [(MANUAL_ID, at, "P1", "Seen by hand.")], "incident_id string, opened_at timestamp, severity string, summary string"))
+    later = [(MANUAL_ID, "TRIAGING", 1), (MANUAL_ID, "RESOLVED", 3)]
+    changes = spark.createDataFrame([(i, s, at + dt.timedelta(days=n), "by hand") for i, s, n in later], schemas.INCIDENT_STATUS_LOG)
+    still_open = daily.incidents_now(store).where(f"status = 'OPEN' AND incident_id <> '{MANUAL_ID}'").selectExpr(
+        "incident_id", "'MITIGATED' AS status", "opened_at + INTERVAL 60 DAY AS changed_at", "'by hand' AS note")
+    daily.record_status(store, materialize(changes.unionByName(still_open)))
+    daily.backfill(store)  # changes by hand stay
+    return _finished(store, daily.incidents_now(store))
 
 
 @query("store_anomaly_incidents")
@@ -334,7 +369,7 @@ def q_store_anomaly_incidents(spark, sf_dir):
     daily.backfill(store, anomaly_incidents=True)
     daily.run_day(store, RUN_DATE, anomaly_incidents=True)
     daily.backfill(store, anomaly_incidents=True)
-    return daily.incidents_now(store).where("detected_by LIKE 'anomaly/%'")
+    return _finished(store, daily.incidents_now(store).where("detected_by LIKE 'anomaly/%'"))
 
 
 LATE_DAY, LOST_DAY = RUN_DATE + dt.timedelta(days=4), RUN_DATE + dt.timedelta(days=9)
@@ -358,14 +393,16 @@ def _recomputed_store(spark, sf_dir, rules=None) -> Store:
 @query("late_data_anomalies")
 def q_late_data_anomalies(spark, sf_dir):
     """Anomalies after late data: the rows a full backfill gives."""
-    return _no_created(_recomputed_store(spark, sf_dir).read("dq_anomalies"))
+    store = _recomputed_store(spark, sf_dir)
+    return _finished(store, _no_created(store.read("dq_anomalies")))
 
 
 @query("late_data_checks")
 def q_late_data_checks(spark, sf_dir):
     """Checks after late data, the duplicate rule and the running newest event among them."""
     rules = R.default_rules() + [R.dup_composite_key(), R.latest_event_24h()]
-    return _no_created(_recomputed_store(spark, sf_dir, rules).read("dq_check_results"))
+    store = _recomputed_store(spark, sf_dir, rules)
+    return _finished(store, _no_created(store.read("dq_check_results")))
 
 
 @query("load_audit")
@@ -387,7 +424,7 @@ def q_rerun_checks_idempotent(spark, sf_dir):
     daily.backfill(store)
     daily.run_day(store, RUN_DATE)
     daily.backfill(store)
-    return _no_created(store.read("dq_check_results"))
+    return _finished(store, _no_created(store.read("dq_check_results")))
 
 
 @query("rerun_anomalies_idempotent")
@@ -396,7 +433,7 @@ def q_rerun_anomalies_idempotent(spark, sf_dir):
     daily.backfill(store)
     daily.run_day(store, RUN_DATE)
     daily.run_day(store, RUN_DATE)
-    return _no_created(store.read("dq_anomalies"))
+    return _finished(store, _no_created(store.read("dq_anomalies")))
 
 
 @query("rerun_entity_anomalies_idempotent")
@@ -411,7 +448,7 @@ def q_rerun_entity_anomalies_idempotent(spark, sf_dir):
     daily.append_days(store, events.where(F.col("event_date").isin(days)))
     for day in (*days, *days):
         daily.run_day(store, day, entities=A.ENTITY_LEVELS)
-    return _no_created(store.read("dq_anomalies"))
+    return _finished(store, _no_created(store.read("dq_anomalies")))
 
 
 @query("replay_progress")
@@ -705,6 +742,14 @@ def q_export_incidents_csv(spark, sf_dir):
                     [F.col("opened_at").desc(), "incident_id"], schemas.INCIDENTS)
 
 
+@query("export_entity_anomalies_csv")
+def q_export_entity_anomalies_csv(spark, sf_dir):
+    """Entity anomalies written as eight ordered files, read back."""
+    path = scratch_path(spark, "entity-anomalies")
+    export_csv(A.anomalies_by_entity(fact(spark, sf_dir)), path, ["anomaly_date", "entity_type", "entity_id", "metric_name"], parts=8)
+    return read_csv_extract(spark, path, T.StructType([f for f in schemas.ANOMALIES.fields if f.name != "created_at"]))
+
+
 @query("export_anomalies_csv")
 def q_export_anomalies_csv(spark, sf_dir):
     df = A.anomalies_all_days(fact(spark, sf_dir))

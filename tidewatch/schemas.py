@@ -19,6 +19,9 @@ EVENTS_RAW = _struct(
     ("category_code", S), ("brand", S), ("price", S), ("user_id", S), ("user_session", S),
 )
 
+# Raw rows that a load could not use, and why.
+REJECTED_ROWS = T.StructType(EVENTS_RAW.fields + _struct(("reason", S)).fields)
+
 FACT_EVENTS = _struct(
     ("user_id", S), ("session_id", S), ("product_id", S), ("category_id", S),
     ("category_code", S), ("brand", S), ("event_type", S), ("event_ts", NTZ),

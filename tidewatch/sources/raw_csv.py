@@ -24,5 +24,6 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_raw_csv(raw: DataFrame, path: str) -> None:
-    """Write raw text rows as header CSV (one file per task, no single-writer funnel)."""
-    raw.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    """Write raw text rows as header CSV (one file per task, no single-writer funnel), blanks as they are."""
+    (raw.write.mode("overwrite").option("header", True).option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

@@ -7,23 +7,24 @@ location under the shared work folder (``spark.checkpoint.dir``):
 table                         partitioned by       written by
 ============================  ===================  ==========================
 fact_events_all (history)     event_date           load (static overwrite)
-fact_events (daily replay)    event_date           ingest (static overwrite)
+fact_events (daily replay)    event_date           ingest (published by day)
 dq_day_stats                  event_date           per-day aggregates
 dq_day_digest                 event_date           digest of the ingested rows
 dq_check_results              check_date           rules
 dq_anomalies                  anomaly_date         anomaly scoring
 dq_run_context                run_date             last step of a run (marker)
 dq_series_state               bucketed by series   new version, then location swap
+dq_rejected_rows              –                    load (static overwrite)
 dq_incidents                  –                    append of new ids only
 dq_incident_status_log        –                    append
 ============================  ===================  ==========================
 
-Rewriting one day uses ``INSERT OVERWRITE ... PARTITION (col = DATE 'd')``
-(static), which also clears the day when the new version is empty; a
-multi-day rewrite uses dynamic partition overwrite, which replaces exactly
-the days present in the new data.  A task lost mid-write is retried by
-Spark's commit protocol; a failed job leaves the previous partition
-versions in place, and rerunning the same call converges.
+Rewriting one day writes a new version of its partitions beside the tables and
+then points the tables at it (``sources.publish``); a daily run does so for all
+its tables together.  A multi-day rewrite uses dynamic partition overwrite,
+which replaces exactly the days present in the new data.  A task lost mid-write
+is retried by Spark's commit protocol; a failed job leaves the previous
+partition versions in place, and rerunning the same call converges.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import os
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,7 @@ from tidewatch import schemas
 from tidewatch.functions.dates import DateLike, as_date
 from tidewatch.operators.series_state import KEY, SERIES_STATE
 from tidewatch.session import work_path
+from tidewatch.sources import publish
 
 # table -> (schema, partition column or None)
 TABLES: dict[str, tuple[T.StructType, str | None]] = {
@@ -52,6 +54,7 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "dq_check_results": (schemas.CHECK_RESULTS, "check_date"),
     "dq_anomalies": (schemas.ANOMALIES, "anomaly_date"),
     "dq_run_context": (schemas.RUN_CONTEXT, "run_date"),
+    "dq_rejected_rows": (schemas.REJECTED_ROWS, None),
     "dq_incidents": (schemas.INCIDENTS, None),
     "dq_incident_status_log": (schemas.STORED_STATUS_LOG, None),
 }
@@ -116,11 +119,13 @@ class Store:
         partitions are registered again with ``RECOVER PARTITIONS``.
         """
         sql = self.spark.sql
+        anew = False
         sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/_db'")
         for table, (schema, part) in TABLES.items():
             exists = self.spark.catalog.tableExists(f"{self.database}.{table}")
             if exists:
                 continue
+            anew = True
             by = f"PARTITIONED BY ({part})" if part else ""
             sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl_columns(schema)}) "
                 f"USING parquet {by} LOCATION '{self.root}/{table}'")
@@ -133,15 +138,48 @@ class Store:
         if not self.spark.catalog.tableExists(f"{self.database}.{SERIES_TABLE}"):
             # state is derived: a store opened anew starts without, and the first run that needs it makes it
             self._create_series_table(SERIES_TABLE, f"{self.root}/{SERIES_TABLE}/none")
+        publish.complete(self, all_days=anew)
         return self
 
+    def drop(self) -> None:
+        """Drop the database and remove the store's folder (for stores made for one run)."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
+        self.remove(self.root)
+
+    # -- folders -------------------------------------------------------------
+    def _folder(self, path: str):
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def exists(self, path: str) -> bool:
+        fs, at = self._folder(path)
+        return fs.exists(at)
+
+    def remove(self, path: str) -> bool:
+        """Remove a folder of this store; False when it is not there."""
+        if path != self.root and not path.startswith(f"{self.root}/"):
+            raise ValueError(f"{path} is not a folder of this store")
+        fs, at = self._folder(path)
+        return fs.delete(at, True)
+
     def _create_series_table(self, name: str, location: str) -> None:
         by = ", ".join(KEY)
         self.spark.sql(f"CREATE TABLE {self.name(name)} ({_ddl_columns(SERIES_STATE)}) USING parquet "
                        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.state_buckets} BUCKETS LOCATION '{location}'")
 
     # -- writes --------------------------------------------------------------
-    def _ordered(self, table: str, df: DataFrame) -> DataFrame:
+    @staticmethod
+    def partition_column(table: str) -> str | None:
+        return TABLES[table][1]
+
+    def point_day(self, table: str, day: DateLike, location: str) -> None:
+        """Make the folder ``location`` the day's partition."""
+        spec = f"{TABLES[table][1]} = DATE '{as_date(day).isoformat()}'"
+        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{location}'")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} PARTITION ({spec}) SET LOCATION '{location}'")
+
+    def ordered(self, table: str, df: DataFrame) -> DataFrame:
         schema, part = TABLES[table]
         # Catalog order: data columns, then the partition column (insertInto
         # matches by position).
@@ -158,19 +196,14 @@ class Store:
         return df.select(*cols)
 
     def overwrite_day(self, table: str, df: DataFrame, day: DateLike) -> None:
-        """Replace one day partition with ``df``'s rows of that day (static spec)."""
-        schema, part = TABLES[table]
-        d = as_date(day)
-        rows = self._ordered(table, df).where(F.col(part) == F.lit(d)).drop(part)
-        view = f"_tw_day_{os.urandom(4).hex()}"
-        rows.createOrReplaceTempView(view)
-        try:
-            cols = ", ".join(f"`{c}`" for c in rows.columns)
-            with overwrite_mode(self.spark, "static"):
-                self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} "
-                               f"PARTITION ({part} = DATE '{d.isoformat()}') SELECT {cols} FROM {view}")
-        finally:
-            self.spark.catalog.dropTempView(view)
+        """Replace one day partition with ``df``'s rows of that day, which may be none.
+
+        The new version is staged and published (``sources.publish``), so ``df`` may read
+        the day it replaces.
+        """
+        run = publish.DayRun(self, as_date(day))
+        run.write(table, df)
+        run.publish()
 
     def overwrite_days(self, table: str, df: DataFrame) -> None:
         """Replace every day present in ``df`` (dynamic partition overwrite).
@@ -180,7 +213,7 @@ class Store:
         event tables are written as they come, so a large day stays spread
         over many tasks.
         """
-        rows = self._ordered(table, df)
+        rows = self.ordered(table, df)
         _, part = TABLES[table]
         if table in SMALL_PER_DAY:
             rows = rows.repartition(part)
@@ -189,7 +222,7 @@ class Store:
 
     def replace(self, table: str, df: DataFrame) -> None:
         """Make ``df`` the whole table: partitions it lacks are removed (static overwrite)."""
-        rows = self._ordered(table, df)
+        rows = self.ordered(table, df)
         _, part = TABLES[table]
         if table in SMALL_PER_DAY:
             rows = rows.repartition(part)
@@ -216,32 +249,45 @@ class Store:
             self.overwrite_day(table, empty, d)
 
     def append(self, table: str, df: DataFrame) -> None:
-        self._ordered(table, df).write.insertInto(self.name(table), overwrite=False)
+        self.ordered(table, df).write.insertInto(self.name(table), overwrite=False)
 
     def truncate(self, table: str) -> None:
         """Remove every row (external tables refuse ``TRUNCATE``): a static
         overwrite with no rows and no partition spec clears all partitions."""
         schema, _ = TABLES[table]
-        empty = self._ordered(table, self.spark.createDataFrame([], schema))
+        empty = self.ordered(table, self.spark.createDataFrame([], schema))
         with overwrite_mode(self.spark, "static"):
             empty.write.insertInto(self.name(table), overwrite=True)
 
 
-def export_csv(df: DataFrame, path: str, order_by: list, single_file: bool = True) -> str:
+def export_csv(df: DataFrame, path: str, order_by: list, single_file: bool = True, parts: int = 0) -> str:
     """Sorted header CSV for dashboards.
 
     ``single_file`` funnels the rows through one task: only for the small
-    report tables (one row per day and rule, or per incident).  NULL is
-    written as an empty field, timestamps without a zone suffix.
+    report tables (one row per day and rule, or per incident).  ``parts`` writes
+    that many ranges of the order instead, each in a file of its own, and
+    ``<path>_manifest`` with the files in order: file, rows, and rows before it.
+    NULL is written as an empty field, timestamps without a zone suffix.
     """
+    if parts:
+        _write_csv(df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by), path)
+        files = df.sparkSession.read.option("header", True).csv(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.count(F.lit(1)).alias("rows"))
+        before = F.coalesce(F.sum("rows").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        _write_csv(files.withColumn("rows_before", before).orderBy("file").coalesce(1), f"{path}_manifest")  # one row per file
+        return path
     out = df.orderBy(*order_by)
     if single_file:
         out = out.coalesce(1)
+    _write_csv(out, path)
+    return path
+
+
+def _write_csv(out: DataFrame, path: str) -> None:
     (out.write.mode("overwrite").option("header", True).option("emptyValue", "")
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .option("dateFormat", "yyyy-MM-dd").csv(path))
-    return path
 
 
 def read_csv_extract(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
