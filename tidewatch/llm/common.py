@@ -35,6 +35,15 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def fresh(docs: DataFrame, stem: str) -> str:
+    """A column name that ``docs`` does not have."""
+    have = {c.lower() for c in docs.columns}
+    name = f"_{stem}"
+    while name in have:
+        name += "_"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, _UPPER, _UPPER.lower())
