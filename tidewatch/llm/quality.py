@@ -157,19 +157,24 @@ def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, bin
     low, high = np.quantile(x, [0.025, 0.975], axis=0)
     wide = high > low
     lin = (np.clip(x, low, high) - low) / np.where(wide, high - low, 1) * wide
-    a = np.concatenate([np.array(columns, dtype=np.float64).reshape(len(columns), n).T, lin], axis=1)
-    mean, scale = a.mean(0), np.maximum(a.std(0), 0.05)
-    a = (a - mean) / scale
+    # one matrix in single precision, standardised in place a column at a time
+    a = np.empty((n, len(columns) + d), np.float32, order="F")
+    mean, scale = np.zeros(a.shape[1]), np.zeros(a.shape[1])
+    for j in range(a.shape[1]):
+        own = columns[j].astype(np.float64) if j < len(columns) else lin[:, j - len(columns)]
+        mean[j], scale[j] = own.mean(), max(own.std(), 0.05)
+        a[:, j] = (own - mean[j]) / scale[j]
+    del columns, lin
     # accelerated proximal gradient (FISTA) for mean log loss + penalty * |w|
     w, v, b, vb, t = np.zeros(a.shape[1]), np.zeros(a.shape[1]), empty["bias"], empty["bias"], 1.0
-    u = rng.normal(size=a.shape[1])
+    u = rng.normal(size=a.shape[1]).astype(np.float32)
     for _ in range(12):
         u = a.T @ (a @ u)
         u /= np.linalg.norm(u)
     lip = 0.25 * (np.linalg.norm(a @ u) ** 2 / n + 1)
     for _ in range(steps):
-        r = 1 / (1 + np.exp(-(a @ v + vb))) - y
-        new = v - (a.T @ r) / n / lip
+        r = 1 / (1 + np.exp(-((a @ v.astype(np.float32)).astype(np.float64) + vb))) - y
+        new = v - (a.T @ r.astype(np.float32)).astype(np.float64) / n / lip
         new = np.sign(new) * np.maximum(np.abs(new) - penalty / lip, 0)
         nb = vb - r.mean() / lip
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
