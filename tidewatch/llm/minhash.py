@@ -17,8 +17,8 @@ Candidates never are all pairs of a bucket:
    shingle hashes; whole sets, if they are no larger) are intersected by matrix products.
    Only pairs within reach of the threshold leave a block (a pair at the threshold fails
    this with a chance under 1e-6), and of a block with many of them only the edges of a
-   spanning forest; links are verified, components contracted, and the blocks that held
-   edges back are met again until none does.
+   spanning forest.  Links are verified and components contracted; if a block held edges
+   back, the classes that are still apart meet once more and none is held back.
 
 No bucket is capped.  Verification reads whole texts.  What stays quadratic is the work
 (not the rows) of step 4 within a group of classes that share keys and are no links: it
@@ -385,13 +385,12 @@ def _class_groups(sketch: DataFrame, texts: DataFrame, k: int, similarity: float
 
     # classes of different components that still share a bucket
     facts = None
-    thin = True
-    while True:
+    for thin in (True, False):
         group = written(components(links, "minhash-star"), "minhash-stars")
         left = _parts(hubs, group)
         mixed = left.groupBy("hub").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("hub")
         left = written(left.join(mixed, "hub"), "minhash-mixed")
-        if facts is None:  # the classes of later rounds are among the first round's
+        if facts is None:  # the classes of the second round are among the first round's
             some = classes.join(left.select("cid").distinct(), "cid", "left_semi")
             wide = samples(texts.join(some.select(F.col("id").alias("doc_id")).distinct(), "doc_id"), k)
             # rows that share an id: the class's own text is the one whose set it has
@@ -400,12 +399,10 @@ def _class_groups(sketch: DataFrame, texts: DataFrame, k: int, similarity: float
             facts = written(facts.dropDuplicates(["cid"]), "minhash-samples")
         met = written(_meetings(left.join(facts, "cid"), similarity, percent, thin), "minhash-met")
         more = met.filter("not held").select("a", "b").distinct()
-        found = written(_verified(more, classes, texts, k, percent), "minhash-more-links")
-        grew = not found.isEmpty()
-        links = links.unionByName(found)
+        links = written(links.unionByName(_verified(more, classes, texts, k, percent)), "minhash-all-links")
         if met.filter("held").isEmpty():
-            return classes, written(links, "minhash-all-links")
-        thin = grew  # a round of forests without any link: all pairs of its blocks
+            break
+    return classes, links
 
 
 def near_groups(docs: DataFrame, k: int = 5, similarity: float = 0.8,
