@@ -268,7 +268,7 @@ def _block_pairs(rows: dict[str, list], similarity: float, percent: int, thin: b
     sets = [np.frombuffer(rows["sample"][i], np.uint32) for i in used]
     inter = _common(sets)[np.searchsorted(used, x), np.searchsorted(used, y)]
     # both samples are whole up to the smaller of their ends
-    whole = size[used] <= SAMPLE
+    whole = size[used] == [len(t) for t in sets]
     ends = np.where(whole, np.iinfo(np.uint32).max, [t[-1] for t in sets])
     keep = np.zeros(len(x), bool)
     for i, (p, q) in enumerate(zip(np.searchsorted(used, x), np.searchsorted(used, y), strict=True)):
