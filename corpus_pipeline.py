@@ -3,7 +3,11 @@
 quality classifier -> MinHash near-dedup -> secret scan -> source mixing ->
 SentencePiece.  Every stage takes (spark, docs, sf_dir) and returns a DataFrame that
 is written as Parquet and read again as the next stage's ``docs``; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``, also those named like a stage's own.
+
+Defined results: texts that are null or empty are scored like any other, are no near
+copies, hold no secret and give no ids; rows without an id are never near copies; rows
+that repeat id and text are one after near-dedup; empty tables pass through empty.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import minhash, mixing, pieces, quality, secrets
-from tidewatch.llm.common import table, written
+from tidewatch.llm.common import shielded, table, written
 
 #: Documents scored below this are rejected.
 QUALITY_CUT = 0.3
@@ -24,8 +28,8 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble does not reject; it learns from all labels."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, out="_score").filter(F.col("_score") >= QUALITY_CUT).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return shielded(docs, lambda rows: quality.score(rows, model, out="_score").filter(
+        F.col("_score") >= QUALITY_CUT).select(*[F.col(f"`{c}`") for c in rows.columns]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +39,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts."""
-    return secrets.redact(docs)
+    return shielded(docs, secrets.redact)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the tempered weights of their sources ask, each at least once."""
-    return mixing.mixed_rows(docs, budget=None)
+    return shielded(docs, lambda rows: mixing.mixed_rows(rows, budget=None))
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,43 @@ def test_stages_take_effect(spark, tmp_path):
         assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(map(str, whole)) == sorted(map(str, kept["sentencepiece"]))
+
+
+ODD_NAMES = ("_score", "_stats", "_id", "_n", "_source", "_block", "_text", "_all", "_new", "_mark", "_left", "kept_id")
+
+
+def _write(spark, folder, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in ODD_NAMES)
+    spark.createDataFrame([(*r, *ODD_NAMES) for r in rows], schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_odd_rows_and_clashing_names_pass_all_stages(spark, tmp_path):
+    rng = random.Random(2)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    same = text(50)
+    rows = [(1, same, "en", "a", 1), (2, same, "en", "a", 1), (3, None, "en", None, None), (4, "", None, "b", 0), (5, " \n", "de", "b", 3),
+            (6, text(40_000), "fr", "b", 9), (7, "secret = 0123456789abcdef", "en", "c", 25), (8, text(30), "en", "a", 1),
+            (8, text(30), "en", "a", 1), (9, "one", "en", "a", 3), (9, "one", "en", "a", 3), (None, same, "en", "a", 1), (None, None, None, None, None)]
+    _write(spark, tmp_path, rows)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        docs = stage(spark, docs, str(tmp_path))
+        assert len(docs.columns) == 5 + len(ODD_NAMES)
+        docs.write.parquet(f"{tmp_path}/{k}.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{k}.parquet")
+        assert all(r[c] == c for r in docs.collect() for c in ODD_NAMES)
+        seen.append(sorted((r["doc_id"] or 0, r["text"] or "") for r in docs.collect()))
+    assert seen[0] == sorted((r[0] or 0, r[1] or "") for r in rows)  # no labels: nothing is rejected
+    once = [r for i, r in enumerate(rows) if r[0] != 2 and r not in rows[:i]]
+    assert seen[1] == sorted((r[0] or 0, r[1] or "") for r in once)
+    assert (7, "secret = <SECRET>") in seen[2] and len(seen[2]) == len(seen[1])
+    assert set(seen[3]) == set(seen[2])
+    last = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(last) == len(seen[3])
+
+
+def test_empty_tables_pass_all_stages(spark, tmp_path):
+    _write(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

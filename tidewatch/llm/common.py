@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,27 @@ def fresh(docs: DataFrame, stem: str) -> str:
     return name
 
 
+def shielded(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` of ``docs`` with the columns that start with ``_`` out of its way.
+
+    Steps that carry whole rows name their own columns so; the input's have other
+    names meanwhile.
+    """
+    safe, back = [], {}
+    for c in docs.columns:
+        name = c
+        if c.startswith("_"):
+            name = f"kept{c}"
+            while name in back or name in docs.columns:
+                name += "_"
+            back[name] = c
+        safe.append(name)
+    if not back:
+        return step(docs)
+    out = step(docs.toDF(*safe))
+    return out.toDF(*[back.get(c, c) for c in out.columns])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, _UPPER, _UPPER.lower())
