@@ -32,12 +32,16 @@ def _secret_sql() -> str:
     return f"""
     with docs as (select row_number() over () as row, doc_id, coalesce(text, '') as text, source, lang from documents),
     spans as ({" union all ".join(_kind_sql(k) for k in secrets.KINDS)}),
-    live as (select hash from spans where kind = {cred} group by hash
-             having count(distinct coalesce(source, '')) <= {secrets.MAX_LIVE_OWNERS}),
-    kept as (select * from spans where kind < {cred} or hash in (select hash from live))
+    owned as (select hash, count(distinct coalesce(source, '')) as n_owners,
+                     count(distinct (coalesce(source, ''), coalesce(lang, ''))) as n_repos from spans group by hash),
+    met as (select s.*, n_owners, n_repos, n_owners <= {secrets.MAX_LIVE_OWNERS}
+                   and n_repos <= {secrets.MAX_LIVE_REPOS} as live from spans s join owned using (hash))
     select d.doc_id, {counts}, sha256({base}) as base_sha256,
-           coalesce(string_agg(([{names}])[kind + 1] || ':' || a || ':' || b, ',' order by a, kind), '') as spans
-    from docs d left join kept k on k.row = d.row group by d.row, d.doc_id"""
+           coalesce(string_agg(([{names}])[kind + 1] || ':' || a || ':' || b, ',' order by a, kind)
+                    filter (kind < {cred} or live), '') as spans,
+           coalesce(max(n_owners), 0)::bigint as n_owners, coalesce(max(n_repos), 0)::bigint as n_repos,
+           count(kind) filter (live)::bigint as n_live
+    from docs d left join met k on k.row = d.row group by d.row, d.doc_id"""
 
 
 def _mix_sql() -> str:

@@ -7,7 +7,9 @@ example (documentation keys, vendor samples); one that stays with its owner
 looks like a live credential.
 
 The three base kinds are always reported.  Provider-shaped credentials
-(``cred``) are added only when ownership says that they are owner-specific.
+(``cred``) are added only when ownership says that they are owner-specific: few
+owners, and few repositories of theirs.  Every kind's candidates are folded, and
+each text carries the figures of its own.
 
 Defined results: null or empty texts have no spans; a null id is kept as it is;
 repeated rows each get their own result and count once per repository and owner;
@@ -16,9 +18,14 @@ a null owner or repository counts as one (unnamed) owner or repository.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: The base kinds, in the order in which equal starts are listed.
 BASE_KINDS = ("assign", "access", "hex")
 ADDED_KIND = "cred"
@@ -39,8 +46,13 @@ PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "cred": CRED}
 MIN_ASSIGN_VALUE = 12
 #: A candidate of more distinct owners than this is a copied example.
 MAX_LIVE_OWNERS = 2
+#: So is one that stays with few owners but is found in more of their repositories than this.
+MAX_LIVE_REPOS = 3
+#: Verdicts of hashes with at least one in so many of all uses are broadcast (at most so many hashes).
+HOT_SHARE = 1000
 
 _SPAN = "struct<start:int,kind:int,end:int,value_start:int,hash:string>"
+_JUDGED = "struct<start:int,kind:int,end:int,value_start:int,hash:string,live:boolean>"
 
 
 def _matches(kind: str, pieces: Column, found: Column) -> Column:
@@ -89,11 +101,12 @@ def with_spans(docs: DataFrame, text_col: str = "text", kinds: tuple[str, ...] =
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """Per candidate hash: distinct documents' repositories and owners, and whether it looks live.
+    """Per candidate hash: uses, distinct repositories and owners, and whether it looks live.
 
     ``spans`` has ``hash``, ``repo`` and ``owner``, one row per occurrence.  Both
     counts start from distinct (hash, repo, owner) rows, so a string copied into
     a third of the corpus is folded inside each task before anything is shuffled.
+    A repository belongs to its owner: the same name under two owners counts twice.
     """
     part = spans.select("hash", F.coalesce("repo", F.lit("")).alias("repo"),
                         F.coalesce("owner", F.lit("")).alias("owner"))
@@ -101,7 +114,7 @@ def ownership(spans: DataFrame) -> DataFrame:
     owners = part.groupBy("hash", "owner").agg(F.sum("n").alias("n"), F.count("repo").alias("repos"))
     return owners.groupBy("hash").agg(
         F.sum("n").alias("n_uses"), F.sum("repos").alias("n_repos"), F.count("owner").alias("n_owners"),
-    ).withColumn("live", F.col("n_owners") <= MAX_LIVE_OWNERS)
+    ).withColumn("live", (F.col("n_owners") <= MAX_LIVE_OWNERS) & (F.col("n_repos") <= MAX_LIVE_REPOS))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: tuple[str, ...]) -> DataFrame:
@@ -111,26 +124,43 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols
         F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo_cols]).alias("repo"))
 
 
+def scanned(rows: DataFrame) -> DataFrame:
+    """(doc_id, key, repo, owner, spans) of every row: the one scan of the texts, written without them."""
+    return written(with_spans(rows).select(
+        "doc_id", F.sha2("text", 256).alias("key"), "repo", "owner", F.col("_spans").alias("spans")), "secret-spans")
+
+
+def _owned(found: DataFrame) -> DataFrame:
+    return ownership(found.select("repo", "owner", F.explode("spans").alias("s"))
+                     .select("repo", "owner", F.col("s.hash").alias("hash")))
+
+
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
              repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """(hash, n_uses, n_repos, n_owners, live) of every candidate, base and added kinds alike."""
-    rows = with_spans(_rows(docs, id_col, text_col, owner_col, repo_cols))
-    return ownership(rows.select("repo", "owner", F.explode("_spans").alias("s"))
-                     .select("repo", "owner", F.col("s.hash").alias("hash")))
+    return _owned(scanned(_rows(docs, id_col, text_col, owner_col, repo_cols)))
 
 
-def live_added(rows: DataFrame) -> DataFrame:
-    """(doc_id, key, added): the added spans, of each text that has any, which ownership calls live.
+def judged(found: DataFrame) -> DataFrame:
+    """(doc_id, key, n, found, n_owners, n_repos, n_live) of the texts of ``scanned`` that hold a candidate.
 
-    Texts without such a candidate are left at the first look; the others are few.
+    One row per doc_id and text, ``n`` of them in the input; ``found`` holds the
+    spans with their verdict.  Verdicts meet the candidates by hash: those of
+    hashes that make up a ``1 / HOT_SHARE`` of all uses or more (so at most
+    ``HOT_SHARE`` hashes, whatever the corpus) are broadcast, the others joined.
     """
-    rows = with_spans(rows.filter(F.col("text").rlike(CRED)), "text", (ADDED_KIND,))
-    rows = rows.select("doc_id", F.sha2("text", 256).alias("key"), "repo", "owner", "_spans")
-    rows = rows.select("doc_id", "key", "repo", "owner", F.explode("_spans").alias("s"))
-    rows = rows.withColumn("hash", F.col("s.hash"))
-    live = ownership(rows).filter("live").select("hash")
-    return (rows.join(live, "hash").groupBy("doc_id", "key")
-            .agg(F.array_sort(F.collect_set("s")).alias("added")))
+    owned = written(_owned(found), "secret-owners")
+    total = owned.agg(F.sum("n_uses").alias("total"))
+    hot = owned.crossJoin(F.broadcast(total)).filter(F.col("n_uses") * HOT_SHARE >= F.col("total"))
+    hot = F.broadcast(hot.drop("total"))
+    texts = found.filter(F.size("spans") > 0).groupBy("doc_id", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.first("spans").alias("spans"))
+    spans = texts.select("doc_id", "key", "n", F.explode("spans").alias("s")).withColumn("hash", F.col("s.hash"))
+    met = spans.join(hot, "hash").unionByName(spans.join(hot, "hash", "left_anti").join(owned, "hash"))
+    return met.groupBy("doc_id", "key").agg(
+        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("s.*", "live"))).alias("found"),
+        F.max("n_owners").alias("n_owners"), F.max("n_repos").alias("n_repos"),
+        F.count_if("live").alias("n_live"))
 
 
 def _joined(spans: Column) -> Column:
@@ -139,6 +169,11 @@ def _joined(spans: Column) -> Column:
         ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _reported(span: Column) -> Column:
+    """Base kinds always, added ones if they look live."""
+    return (span["kind"] < len(BASE_KINDS)) | span["live"]
+
+
 def _count(spans: Column, kind: str) -> Column:
     k = KINDS.index(kind)
     return F.size(F.filter(spans, lambda s: s["kind"] == k)).cast("long")
@@ -146,43 +181,44 @@ def _count(spans: Column, kind: str) -> Column:
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                  repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """Per row: doc_id, counts of the base kinds, digest of the base spans, all spans as text."""
-    rows = _rows(docs, id_col, text_col, owner_col, repo_cols)
-    base = with_spans(rows, "text", BASE_KINDS).select(
-        "doc_id", F.sha2("text", 256).alias("key"), F.col("_spans").alias("base"))
-    added = live_added(rows).select(F.col("doc_id").alias("a_id"), F.col("key").alias("a_key"), "added")
-    # texts stay where they are: only ids, digests and spans are joined
-    out = base.join(added, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("key") == F.col("a_key")), "left")
-    everything = F.array_sort(F.concat("base", F.coalesce("added", F.expr(f"cast(array() as array<{_SPAN}>)"))))
+    """Per row: doc_id, counts of the base kinds, digest of the base spans, all spans as text; over all of the
+    text's candidates the most owners and repositories of one, and how many look live."""
+    found = scanned(_rows(docs, id_col, text_col, owner_col, repo_cols))
+    some = judged(found).withColumn("use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    none = found.filter(F.size("spans") == 0).select(
+        "doc_id", F.expr(f"cast(array() as array<{_JUDGED}>)").alias("found"),
+        *[F.lit(0).cast("long").alias(c) for c in ("n_owners", "n_repos", "n_live")])
+    out = some.select(none.columns).unionByName(none)
+    base = F.filter("found", lambda s: s["kind"] < len(BASE_KINDS))
     return out.select(
-        "doc_id", *[_count(F.col("base"), k).alias(f"n_{k}") for k in BASE_KINDS],
-        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(everything).alias("spans"))
+        "doc_id", *[_count(F.col("found"), k).alias(f"n_{k}") for k in BASE_KINDS],
+        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.filter("found", _reported)).alias("spans"),
+        "n_owners", "n_repos", "n_live")
 
 
 def redact(docs: DataFrame, mark: str = "<SECRET>", text_col: str = "text", id_col: str = "doc_id",
            owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang"),
-           n_chars_col: str | None = "n_chars") -> DataFrame:
-    """``docs`` with every found secret's value replaced by ``mark``; all rows and columns stay.
+           n_chars_col: str | None = "n_chars", only_live: bool = False) -> DataFrame:
+    """``docs`` with every reported secret's value replaced by ``mark``; all rows and columns stay.
 
-    Overlapping values are replaced once, together.  ``n_chars`` follows the new text.
+    ``only_live`` leaves values of the base kinds too where ownership calls them
+    copied examples.  Overlapping values are replaced once, together.  ``n_chars``
+    follows the new text.
     """
     names = docs.columns
-    rows = docs.withColumns({
-        "_id": F.col(id_col), "_text": F.coalesce(F.col(text_col), F.lit("")),
-        "_owner": F.col(owner_col).cast("string"),
-        "_repo": F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo_cols])})
-    has = F.col("_text").rlike(CRED)
-    added = live_added(rows.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"),
-                                   F.col("_owner").alias("owner"), F.col("_repo").alias("repo")))
-    added = added.select(F.col("doc_id").alias("_a_id"), F.col("key").alias("_a_key"), F.col("added").alias("_added"))
-    # only texts with an added candidate are shuffled
+    rows = docs.withColumns({"_id": F.col(id_col), "_text": F.coalesce(F.col(text_col), F.lit(""))})
+    verdicts = judged(scanned(_rows(docs, id_col, text_col, owner_col, repo_cols))).select(
+        F.col("doc_id").alias("_a_id"), F.col("key").alias("_a_key"), F.col("found").alias("_found"))
+    has = reduce(or_, [F.col("_text").rlike(p) for p in PATTERNS.values()])
+    # only texts that may hold a candidate are shuffled
     some = rows.filter(has).withColumn("_key", F.sha2("_text", 256)).join(
-        added, F.col("_id").eqNullSafe(F.col("_a_id")) & (F.col("_key") == F.col("_a_key")), "left").drop(
+        verdicts, F.col("_id").eqNullSafe(F.col("_a_id")) & (F.col("_key") == F.col("_a_key")), "left").drop(
         "_a_id", "_a_key", "_key")
-    rest = rows.filter(~has).withColumn("_added", F.lit(None).cast(f"array<{_SPAN}>"))
-    none = F.expr(f"cast(array() as array<{_SPAN}>)")
-    rows = with_spans(rest.unionByName(some), "_text", BASE_KINDS).withColumn("_all", F.array_sort(F.transform(
-        F.concat("_spans", F.coalesce("_added", none)),
+    none = F.expr(f"cast(array() as array<{_JUDGED}>)")
+    rows = rows.filter(~has).withColumn("_found", none).unionByName(some)
+    wanted = (lambda s: s["live"]) if only_live else _reported
+    rows = rows.withColumn("_all", F.array_sort(F.transform(
+        F.filter(F.coalesce("_found", none), wanted),
         lambda s: F.struct(s["value_start"].alias("a"), s["end"].alias("b")))))
 
     def step(acc: Column, s: Column) -> Column:
