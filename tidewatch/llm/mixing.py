@@ -8,7 +8,7 @@ where small sources would then repeat more often than a limit, it is raised to t
 smallest exponent that keeps the limit.
 
 The weights are realised as token quotas.  A source's documents are dealt into
-about sqrt(n) blocks by hash; each pass (epoch) over a source visits its blocks in
+about sqrt(n) blocks by a hash of id and text; each pass (epoch) over a source visits its blocks in
 another hashed order.  Whole epochs repeat every document; the last, partial epoch
 takes whole blocks, then documents of one cut block, as far as the quota goes.  So
 no step orders a whole source: windows hold the blocks of a source or the
@@ -16,7 +16,8 @@ documents of a block.
 
 Defined results: a null source is one source of its own, reported as null; null texts have no
 tokens; documents without tokens cost nothing and are taken with the block that
-they are in; rows that repeat are separate documents; of no rows the result is empty.
+they are in; rows that repeat are separate documents, dealt by their texts if
+they share an id or have none; of no rows the result is empty.
 """
 
 from __future__ import annotations
@@ -124,15 +125,17 @@ def _hash(*parts: Column) -> Column:
 
 
 def _sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """``docs`` with _id, _source (never null) and _n (tokens)."""
+    """``docs`` with _id, _source (never null), _n (tokens) and _hash (of the text)."""
     return docs.withColumns({
         "_id": F.col(id_col), "_n": word_tokens(F.col(text_col)),
+        "_hash": F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
         "_source": F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))})
 
 
 def _dealt(rows: DataFrame, entropy: float | None, max_repeats: float | None, budget: float | None) -> DataFrame:
     """``rows`` (of ``_sized``) as often as the weights ask, with _epoch, _block and _at (order in the block)."""
-    sizes = written(rows.select(F.col("_id"), F.col("_source").alias("source"), F.col("_n").alias("n_tokens")), "mix-sizes")
+    sizes = written(rows.select(F.col("_id"), F.col("_source").alias("source"), F.col("_n").alias("n_tokens"), "_hash"),
+                    "mix-sizes")
     shares = written(source_shares(sizes), "mix-shares")
     few = shares.count()
     a = exponent(shares, entropy, max_repeats, budget) if few else 1.0
@@ -140,7 +143,7 @@ def _dealt(rows: DataFrame, entropy: float | None, max_repeats: float | None, bu
     parts = shares.select(F.col("source").alias("_source"), F.ceil(F.sqrt("n_docs")).cast("long").alias("_parts"))
     # joined before blocks are known: a source may hold a third of all rows, so not by shuffle unless sources are many
     parts = F.broadcast(parts) if few <= FEW_SOURCES else parts
-    spot = F.conv(F.substring(_hash(F.lit("block"), F.col("_id")), 1, 12), 16, 10).cast("long")
+    spot = F.conv(F.substring(_hash(F.lit("block"), F.col("_id"), F.col("_hash")), 1, 12), 16, 10).cast("long")
 
     def placed(x: DataFrame) -> DataFrame:
         return x.join(parts, "_source").withColumn("_block", F.pmod(spot, F.col("_parts"))).drop("_parts")
@@ -152,7 +155,8 @@ def _dealt(rows: DataFrame, entropy: float | None, max_repeats: float | None, bu
     before = F.sum("block_tokens").over(last.rowsBetween(Window.unboundedPreceding, 0)) - F.col("block_tokens")
     blocks = blocks.select(F.col("source").alias("_source"), F.col("block").alias("_block"),
                            F.col("full").alias("_full"), (F.col("rest") - before).alias("_left"))
-    inner = Window.partitionBy("_source", "_block").orderBy(_hash(F.col("_source"), F.col("_id")), "_id", "_n")
+    inner = Window.partitionBy("_source", "_block").orderBy(
+        _hash(F.col("_source"), F.col("_id"), F.col("_hash")), "_id", "_hash")
     out = placed(rows).join(blocks, ["_source", "_block"]).withColumns({
         "_at": F.row_number().over(inner),
         "_upto": F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, 0))})
@@ -167,7 +171,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
 
     Reading a source's rows by epoch, block_order and doc_order gives its stream.
     """
-    rows = _sized(docs, id_col, source_col, text_col).select("_id", "_source", "_n")
+    rows = _sized(docs, id_col, source_col, text_col).select("_id", "_source", "_n", "_hash")
     return _dealt(rows, entropy, max_repeats, budget).select(
         F.col("_id").alias("doc_id"),
         F.when(F.col("_source") != "", F.expr("substring(_source, 2)")).alias("source"), F.col("_n").alias("n_tokens"),

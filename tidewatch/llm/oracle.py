@@ -53,7 +53,7 @@ def _mix_sql() -> str:
 
     return f"""
     with sized as (select doc_id, coalesce('=' || source, '') as source,
-        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as n_tokens from documents),
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as n_tokens, md5(coalesce(text, '')) as hash from documents),
     sums as (select source, count(*) as n_docs, sum(n_tokens)::bigint as tokens from sized group by source),
     shares as (select *, sum(tokens) over ()::bigint as total,
         case when sum(tokens) over () > 0 then tokens / sum(tokens) over ()::double else 0 end as p from sums),
@@ -67,7 +67,7 @@ def _mix_sql() -> str:
     plan as (select *, floor(total * case when p > 0 then weight else 0 end)::bigint as quota from weighted),
     parts as (select *, case when tokens > 0 then quota // tokens else 0 end as whole,
         quota - (case when tokens > 0 then quota // tokens else 0 end) * tokens as rest from plan),
-    dealt as (select d.*, (('0x' || substr({h("'block'", "doc_id")}, 1, 12))::bigint % ceil(sqrt(n_docs))::bigint) as block,
+    dealt as (select d.*, (('0x' || substr({h("'block'", "doc_id", "hash")}, 1, 12))::bigint % ceil(sqrt(n_docs))::bigint) as block,
         whole, rest from sized d join parts using (source)),
     blocks as (select source, block, any_value(whole) as whole, any_value(rest) as rest, sum(n_tokens)::bigint as bt
         from dealt group by source, block),
@@ -76,7 +76,7 @@ def _mix_sql() -> str:
     used as (select d.*, left_over,
         row_number() over w as doc_order, sum(n_tokens) over (w rows unbounded preceding) as upto
         from dealt d join cut using (source, block)
-        window w as (partition by source, block order by {h("source", "doc_id")}, doc_id, n_tokens)),
+        window w as (partition by source, block order by {h("source", "doc_id", "hash")}, doc_id, hash)),
     copies as (select *, unnest(range(0, (whole + case when upto <= left_over then 1 else 0 end)::bigint)) as epoch from used)
     select doc_id, case when source <> '' then substr(source, 2) end as source, n_tokens, epoch::int as epoch,
         block::int as block, {h("epoch", "source", "block")} as block_order, doc_order::int as doc_order from copies"""
