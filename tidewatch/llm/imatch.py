@@ -29,8 +29,10 @@ from .common import BLANKS, id_text, written
 LOW, HIGH = 1 / 500, 1 / 4
 #: Each random lexicon keeps one term in so many.
 KEEP = (2, 2, 2, 2, 8, 8, 8, 8, 32, 32, 32, 32, 128, 128, 128, 128)
-#: Rows for which blocks of neighbouring ids are cut, and the most blocks.
-BLOCK_ROWS, MAX_BLOCKS = 1000, 65_536
+#: Rows aimed at in a block, the blocks aimed at where that makes too many, and hashed cuts a block.
+BLOCK_ROWS, MAX_BLOCKS, FINE = 1000, 16_384, 8
+#: First characters of a text that cuts between rows of one id, or of none, tell apart; cuts looked at together.
+KEY_CHARS, WIDE = 64, 128
 
 _EMPTY = "0" * 8
 _SIDE = 1 << 16  # marks terms of the edited text
@@ -84,26 +86,36 @@ def likeness(a: Column, b: Column) -> Column:
 def in_blocks(rows: DataFrame) -> DataFrame:
     """``rows`` with ``block``, and per block one row more (``extra``): the first row of the next block.
 
-    Blocks are id ranges.  With the extra row, every row's successor is in its
-    own block, and texts are shuffled once, by block.
+    Blocks are ranges of (doc_id, start of the text), cut at every FINE-th of the keys
+    that a hash picks, so they hold about as many rows each whatever the ids are: far apart,
+    repeated or missing.  Only rows of the same id, or of none, whose texts start with
+    the same KEY_CHARS characters cannot be parted.  With the extra row, every row's successor
+    is in its own block, and texts are shuffled once, by block.
     """
-    ids = written(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "imatch-ids")
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.sum("n")).first()
-    if n is None:
-        return rows.withColumns({"block": F.lit(0).cast("long"), "extra": F.lit(0)})
-    low, high = low or 0, high or 0
-    blocks = max(1, min(MAX_BLOCKS, n // BLOCK_ROWS))
-    width = -(-(high - low + 1) // blocks)
-    block = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("long"),
-                       F.lit(-1).cast("long"))
-    # at most MAX_BLOCKS + 1 rows from here to the join
-    heads = ids.groupBy(block.alias("of")).agg(F.min("doc_id").alias("head"))
+    n = rows.count()
+    key = F.struct("doc_id", F.substring("text", 1, KEY_CHARS).alias("start"))
+    step = max(1, max(BLOCK_ROWS, -(-n // MAX_BLOCKS)) // FINE)
+    # about FINE * MAX_BLOCKS keys at most
+    picked = rows.select(key.alias("key")).filter(F.pmod(F.xxhash64("key"), F.lit(step)) == 0).distinct()
+    cuts = picked.agg(F.filter(F.array_sort(F.collect_list("key")), lambda c, i: i % FINE == FINE - 1).alias("cuts"))
+    cuts = written(cuts.select(F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("cuts") / WIDE).cast("int")),
+        lambda g: F.slice("cuts", g * WIDE + 1, WIDE)).alias("cuts")), "imatch-cuts")
+    cuts = cuts.withColumn("firsts", F.transform("cuts", lambda g: F.get(g, F.lit(0))))
+    listed = rows.crossJoin(F.broadcast(cuts)).withColumn("key", key)
+    group = F.size(F.filter("firsts", lambda c: c <= F.col("key")))
+    listed = listed.withColumn("group", group)
+    among = F.size(F.filter(F.get("cuts", F.col("group") - 1), lambda c: c <= F.col("key")))
+    block = F.when(F.col("group") == 0, 0).otherwise((F.col("group") - 1) * WIDE + among).cast("long")
+    listed = listed.select("doc_id", "text", block.alias("block"), "key")
+    # a row a block from here to the join
     order = Window.orderBy("of")
-    heads = heads.select(
-        F.coalesce(F.lag("of").over(order), F.max("of").over(Window.partitionBy())).alias("block"), "head")
-    first = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("head")))
-    first = first.groupBy("block", "doc_id").agg(F.min("text").alias("text"))
-    return (rows.withColumns({"block": block, "extra": F.lit(0)})
+    heads = listed.groupBy(F.col("block").alias("of")).agg(F.min("key").alias("head")).select(
+        F.coalesce(F.lag("of").over(order), F.max("of").over(Window.partitionBy())).alias("before"), "of", "head")
+    first = listed.join(F.broadcast(heads), (F.col("block") == F.col("of")) & (F.col("key") == F.col("head")))
+    first = first.groupBy(F.col("before").alias("block")).agg(
+        F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    return (listed.select("doc_id", "text", "block", F.lit(0).alias("extra"))
             .unionByName(first.withColumn("extra", F.lit(1))))
 
 
