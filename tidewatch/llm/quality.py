@@ -6,8 +6,8 @@
 3. Lasso logistic weights for the rules and the (scaled) statistics; most become zero.
 4. The remaining rules are compiled into one Spark column expression.
 
-Fitting uses a bounded sample of labelled rows (``max_rows``, by hash of the id); it
-alone comes to the driver, as numbers.  Scoring is map-only.
+Fitting uses a bounded sample of labelled rows (``max_rows``, by hash of the id); one
+task fits on its numbers, and only the rules come to the driver.  Scoring is map-only.
 
 Defined results: null and empty texts have all statistics at zero and get the
 score of those; ids that repeat among the labels count once, by their mean label
@@ -17,6 +17,7 @@ is 0.5; rows that repeat each get a row; null ids are kept.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +86,7 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("_stats", _stats_udf(F.col(text_col)))
 
 
-# ---- fitting (driver, on at most MAX_ROWS rows of numbers)
+# ---- fitting (one task, on at most MAX_ROWS rows of numbers)
 
 
 def _grow(bins: np.ndarray, grad: np.ndarray, hess: np.ndarray, rows: np.ndarray, feats: np.ndarray, depth: int,
@@ -219,6 +220,13 @@ def score_numpy(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-z))
 
 
+def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The model of all rows of a task, as JSON (which keeps doubles exactly)."""
+    frames = list(batches) or [pd.DataFrame(columns=["doc_id", "y", *STATS])]
+    got = pd.concat(frames).sort_values("doc_id")
+    yield pd.DataFrame({"model": [json.dumps(fit_rules(got[list(STATS)].to_numpy(np.float64), got["y"].to_numpy(np.float64)))]})
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", max_rows: int = MAX_ROWS) -> dict:
     """Fit on at most ``max_rows`` labelled documents, chosen by hash of the id."""
@@ -228,9 +236,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = id_text(docs, id_col, text_col).join(F.broadcast(marked), "doc_id")
     # an id that repeats among the documents counts once
-    got = with_stats(rows).select("doc_id", "y", "_stats.*").dropDuplicates(["doc_id"]).toPandas()
-    got = got.sort_values("doc_id")
-    return fit_rules(got[list(STATS)].to_numpy(np.float64), got["y"].to_numpy(np.float64))
+    got = with_stats(rows).select("doc_id", "y", "_stats.*").dropDuplicates(["doc_id"])
+    fitted = got.repartition(1).mapInPandas(_fit, "model string").first()
+    return json.loads(fitted["model"]) if fitted else fit_rules(np.zeros((0, len(STATS))), np.zeros(0))
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "score") -> DataFrame:
