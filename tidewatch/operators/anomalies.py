@@ -114,6 +114,30 @@ def baselines(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:
 def score(long: DataFrame, baseline_rows: int = BASELINE_ROWS,
           thresholds: dict | None = None) -> DataFrame:
     """Baseline, z-score, day change and flag for each row of each series."""
+    return _flagged(baselines(long, baseline_rows), thresholds)
+
+
+def score_kpis(kpis: DataFrame, entity_id: str = "entity_id", baseline_rows: int = BASELINE_ROWS,
+               thresholds: dict | None = None) -> DataFrame:
+    """``score`` of ``kpis_long``, from entity KPIs that are unpivoted after the window.
+
+    The metrics of an entity have the same days, so one row per entity and day is shuffled
+    and sorted instead of one per metric.
+    """
+    order = "OVER (PARTITION BY entity_type, entity_id ORDER BY anomaly_date"
+    frame = f"{order} ROWS BETWEEN {int(baseline_rows)} PRECEDING AND 1 PRECEDING)"
+    rows = kpis.selectExpr("d AS anomaly_date", "entity_type", f"CAST({entity_id} AS STRING) AS entity_id",
+                           *[f"CAST({m} AS DOUBLE) AS {m}" for m in METRICS])
+    rows = rows.selectExpr("anomaly_date", "entity_type", "entity_id", *[c for m in METRICS for c in (
+        m, f"avg({m}) {frame} AS {m}_avg", f"stddev_samp({m}) {frame} AS {m}_sd", f"lag({m}) {order}) AS {m}_prev")])
+    each = ", ".join(f"'{m}', {m}, {m}_avg, {m}_sd, {m}_prev" for m in METRICS)
+    return _flagged(rows.selectExpr(
+        "anomaly_date", "entity_type", "entity_id",
+        f"stack({len(METRICS)}, {each}) AS (metric_name, actual_value, baseline_value, baseline_sd, prev_value)"), thresholds)
+
+
+def _flagged(rows: DataFrame, thresholds: dict | None) -> DataFrame:
+    """z-score, day change and flag of rows with their ``baselines``."""
     t = thresholds or THRESHOLDS
     z = "(actual_value - baseline_value) / nullif(baseline_sd, 0.0D)"
     pct = "(actual_value - prev_value) / nullif(prev_value, 0.0D)"
@@ -121,7 +145,7 @@ def score(long: DataFrame, baseline_rows: int = BASELINE_ROWS,
             f"WHEN abs({z}) > {_by_metric(0, t)} THEN 'Y' "
             f"WHEN {pct} > {_by_metric(1, t)} THEN 'Y' "
             f"WHEN {pct} < {_by_metric(2, t)} THEN 'Y' ELSE 'N' END")
-    return baselines(long, baseline_rows).selectExpr(
+    return rows.selectExpr(
         "anomaly_date", "entity_type", "entity_id", "metric_name", "actual_value",
         "baseline_value", f"{z} AS z_score", f"{pct} AS pct_change",
         f"{flag} AS anomaly_flag", f"{_by_metric(3, t)} AS notes",
@@ -219,7 +243,7 @@ def anomalies_by_entity(fact: DataFrame, levels: Sequence[tuple[str, str]] = ENT
     series) unless ``zero_days``: then they are zeros between its first and last day.
     """
     kpis = entity_kpis(fact, levels, include_overall)
-    return score(kpis_long(zero_filled(kpis) if zero_days else kpis, None, "entity_id"), **kw)
+    return score_kpis(zero_filled(kpis) if zero_days else kpis, **kw)
 
 
 def rolling_median(long: DataFrame, baseline_rows: int = BASELINE_ROWS) -> DataFrame:

@@ -45,9 +45,15 @@ def keyed(kpis: DataFrame) -> DataFrame:
     return kpis.withColumn("entity_key", F.expr("coalesce(concat('=', entity_id), '')")).drop("entity_id", "cvr")
 
 
-def state_of(kpis: DataFrame, keep: int = KEEP) -> DataFrame:
-    """State after all days of ``kpis`` (``anomalies.entity_kpis``)."""
-    rows = keyed(kpis).selectExpr(*KEY, f"{_ENTRY} AS entry",
+def state_of(kpis: DataFrame, keep: int = KEEP, buckets: int = 0) -> DataFrame:
+    """State after all days of ``kpis`` (``anomalies.entity_kpis``).
+
+    With ``buckets`` the rows are dealt as the table is, so each bucket is written by one task, as one file.
+    """
+    series = keyed(kpis)
+    if buckets:
+        series = series.repartition(buckets, *KEY)
+    rows = series.selectExpr(*KEY, f"{_ENTRY} AS entry",
                                   "row_number() OVER (PARTITION BY entity_type, entity_key ORDER BY d DESC) AS n")
     return rows.where(F.col("n") <= keep + 1).groupBy(*KEY).agg(
         F.max("entry.d").alias("last_day"), (F.max("n") > keep).alias("cut"),
@@ -55,15 +61,20 @@ def state_of(kpis: DataFrame, keep: int = KEEP) -> DataFrame:
 
 
 def advanced(state: DataFrame, day_kpis: DataFrame, day: dt.date, keep: int = KEEP) -> DataFrame:
-    """State with the rows of ``day`` in place of those it had for that day."""
+    """State with the rows of ``day`` in place of those it had for that day.
+
+    Most series have none on either side: their history passes through as it is.
+    """
     today = keyed(day_kpis).selectExpr(*KEY, f"{_ENTRY} AS today")
-    rows = state.join(today, list(KEY), "full").selectExpr(
+    rows = state.join(today.hint("merge"), list(KEY), "full").selectExpr(
         *KEY, "coalesce(cut, false) AS cut",
+        f"CASE WHEN today IS NULL AND last_day < DATE '{day.isoformat()}' AND history[0].d IS NOT NULL THEN history ELSE "
         f"array_sort(concat(filter(coalesce(history, array()), x -> x.d <> DATE '{day.isoformat()}'), "
-        "if(today IS NULL, array(), array(today)))) AS entries")
+        "if(today IS NULL, array(), array(today)))) END AS entries")
     return rows.where("size(entries) > 0").selectExpr(
         *KEY, "element_at(entries, -1).d AS last_day", f"cut OR size(entries) > {int(keep)} AS cut",
-        f"slice(entries, greatest(1, size(entries) - {int(keep) - 1}), {int(keep)}) AS history")
+        f"CASE WHEN size(entries) > {int(keep)} THEN slice(entries, size(entries) - {int(keep) - 1}, {int(keep)}) "
+        "ELSE entries END AS history")
 
 
 def can_score(state: DataFrame, day: dt.date) -> bool:
@@ -76,9 +87,10 @@ def can_score(state: DataFrame, day: dt.date) -> bool:
 def score_day(state: DataFrame, day_kpis: DataFrame, day: dt.date, thresholds: dict | None = None) -> DataFrame:
     """Scored rows of ``day`` for the series that have events on it."""
     today = keyed(day_kpis).selectExpr(*KEY, f"{_ENTRY} AS today")
-    rows = today.join(state.select(*KEY, "history"), list(KEY), "left").selectExpr(
+    # the state grows with the series and is never broadcast, however small its files are
+    rows = today.join(state.select(*KEY, "history").hint("merge"), list(KEY), "left").selectExpr(
         *KEY, f"filter(coalesce(history, array()), x -> x.d < DATE '{day.isoformat()}') AS before", "today")
     rows = rows.selectExpr(*KEY, f"inline(concat(slice(before, greatest(1, size(before) - {BASELINE - 1}), {BASELINE}), array(today)))")
     kpis = rows.selectExpr("*", "purchases / nullif(events_count, 0.0D) AS cvr")
-    scored = A.score(A.kpis_long(kpis, None, "entity_key"), thresholds=thresholds).where(F.col("anomaly_date") == F.lit(day))
+    scored = A.score_kpis(kpis, "entity_key", thresholds=thresholds).where(F.col("anomaly_date") == F.lit(day))
     return scored.withColumn("entity_id", F.expr("CASE WHEN entity_id <> '' THEN substring(entity_id, 2) END"))

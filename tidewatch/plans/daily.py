@@ -229,8 +229,8 @@ def score_entities_all(store: Store, facts: DataFrame, entities: Sequence[tuple[
                        limits: dict | None = None) -> DataFrame:
     """Scored rows of every entity and day of ``facts``; the stored state follows."""
     kpis = materialize(A.entity_kpis(facts, entities, include_overall=False))
-    store.replace_series_state(SS.state_of(kpis))
-    return A.score(A.kpis_long(kpis, None, "entity_id"), thresholds=limits)
+    store.replace_series_state(SS.state_of(kpis, buckets=store.state_buckets))
+    return A.score_kpis(kpis, thresholds=limits)
 
 
 def score_entities_day(store: Store, run: DayRun, facts: DataFrame, entities: Sequence[tuple[str, str]],
